@@ -57,9 +57,21 @@ def parse_items(text: Column | str) -> Column:
     return F.map_from_entries(item_entries(text))
 
 
-def items_total(items: Column | str) -> Column:
-    """Sum of the prices of a basket map."""
-    return F.aggregate(F.map_values(_col(items)), F.lit(0.0).cast("double"), lambda acc, v: acc + v)
+def items_total(items: Column | str, scale: int | None = 2) -> Column:
+    """Sum of the prices of a basket map.
+
+    With ``scale`` the prices are added in fixed point (rounded to ``scale``
+    decimals, summed as integers), so the total does not depend on the
+    order of the map entries.
+    """
+    values = F.map_values(_col(items))
+    if scale is None:
+        return F.aggregate(values, F.lit(0.0).cast("double"), lambda acc, v: acc + v)
+    factor = 10**scale
+    cents = F.aggregate(
+        values, F.lit(0).cast("long"), lambda acc, v: acc + F.round(v * factor).cast("long")
+    )
+    return cents / F.lit(factor)
 
 
 def format_total(total: Column | str) -> Column:

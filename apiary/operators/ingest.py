@@ -107,7 +107,7 @@ def parse_messages(messages: DataFrame, strict: bool = False) -> DataFrame:
 
 def to_readings(parsed: DataFrame, strict: bool = False, keep: Sequence[str] = ()) -> DataFrame:
     """Good parsed messages → stored reading columns + ``bucket_date``."""
-    good = parsed if strict else parsed.where(F.col("reason").isNull())
+    good = parsed.where(F.col("reason").isNull()) if "reason" in parsed.columns and not strict else parsed
     time = F.col("sensor_snapshot")
     sid = require_uuid("serial_number") if strict else sensor_id("serial_number")
     return good.select(

@@ -12,12 +12,30 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from apiary.functions import readings as readings_fn
+from apiary.functions.baskets import item_entries
 from apiary.functions.buckets import bucket
-from apiary.operators import aggregate, joins, topology
+from apiary.functions.readings import UUID_PATTERN, latlong, pick_value
+from apiary.operators import (
+    aggregate,
+    ingest,
+    joins,
+    lookup,
+    retention,
+    summaries,
+    topology,
+    upsert,
+    windows,
+)
+from apiary.operators import transactions as txn_ops
+from apiary.operators.strategy import join_small
 from apiary.plans import testbed as tb
+from apiary.schemas import READING_KEY
+from apiary.session import work_path
+from apiary.streaming import ingest as stream_ingest
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -214,3 +232,447 @@ for _unit, _expr in _SQL_BUCKET.items():
         f"bucket_{_unit}",
         f"SELECT event_id, ts AS time, {_expr} AS bucket FROM events",
     )(_bucket_query(_unit))
+
+
+# --------------------------------------------------------------------------
+# Messages: parse, validate, choose the value, project, encode
+
+SQL_REC = f"""
+rec AS (
+  SELECT CAST(e.event_id AS VARCHAR) AS key, e.event_id, e.event_type,
+         CAST(json_extract_string(e.props, '$.k') AS INTEGER) AS k,
+         {sql_uuid('e.user_id')} AS sensor_id, e.ts,
+         c.c_nationkey AS hive, CAST(floor(c.c_acctbal / 1000) AS INTEGER) AS level,
+         c.c_mktsegment AS wing,
+         CAST(CAST(c.c_acctbal / 100 AS FLOAT) AS VARCHAR) || ', '
+           || CAST(CAST(c.c_custkey / 1000 AS FLOAT) AS VARCHAR) AS latlong,
+         CASE e.event_type WHEN 'click' THEN 'Temperature' WHEN 'view' THEN 'Humidity'
+              WHEN 'purchase' THEN 'Movement' ELSE 'Pressure' END AS sensor_type,
+         CASE e.event_type WHEN 'click' THEN CAST(e.value AS FLOAT)
+              WHEN 'view' THEN CAST(e.value * 2 AS FLOAT)
+              WHEN 'purchase' THEN CAST(floor(e.value) AS FLOAT) END AS value
+  FROM events e JOIN customer c ON e.user_id = c.c_custkey)"""
+
+SQL_GOOD = """
+good AS (
+  SELECT key, sensor_id, date_trunc('day', t) AS bucket_ts, t AS time, hive, level, wing,
+         sensor_type, value, latlong, CAST(t AS DATE) AS bucket_date
+  FROM (SELECT *, date_trunc('millisecond', ts) AS t FROM rec)
+  WHERE event_type IN ('click', 'view', 'purchase') AND k NOT IN (1, 2, 3))"""
+
+
+def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tb.sensor_messages(spark, sf_dir).select("key", "value")
+
+
+@query("parse_readings", sql_with(SQL_REC, SQL_GOOD) + "SELECT * FROM good")
+def parse_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parsed = ingest.parse_messages(_messages(spark, sf_dir))
+    return tb.to_ntz(ingest.to_readings(parsed, keep=["key"]))
+
+
+@query(
+    "quarantine_readings",
+    sql_with(SQL_REC)
+    + """
+SELECT key, reason FROM (
+  SELECT key, CASE WHEN event_type = 'error' OR k = 1 THEN 'malformed'
+                   WHEN k = 2 THEN 'missing_field'
+                   WHEN k = 3 THEN 'bad_sensor_id'
+                   WHEN event_type = 'signup' THEN 'bad_sensor_type' END AS reason
+  FROM rec) WHERE reason IS NOT NULL""",
+)
+def quarantine_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parsed = ingest.parse_messages(_messages(spark, sf_dir))
+    return ingest.quarantined(parsed).select("key", "reason")
+
+
+@query("pick_reading", sql_with(SQL_REC) + "SELECT key, sensor_type, value FROM rec")
+def pick_reading(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = tb.sensor_records(spark, sf_dir)
+    return r.select("key", "sensor_type", pick_value("sensor_type").alias("value"))
+
+
+@query("reading_latlong", sql_with(SQL_REC) + "SELECT key, latlong FROM rec")
+def reading_latlong(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = tb.sensor_records(spark, sf_dir)
+    return r.select("key", latlong("latitude", "longitude").alias("latlong"))
+
+
+_UUID_SQL_PATTERN = UUID_PATTERN
+
+
+@query(
+    "valid_sensor_id",
+    sql_with(SQL_REC)
+    + f"""
+SELECT key, serial_number,
+       CASE WHEN regexp_matches(lower(trim(serial_number)), '{_UUID_SQL_PATTERN}')
+            THEN lower(trim(serial_number)) END AS sensor_id
+FROM (SELECT key, CASE WHEN k = 3 THEN 'abc' WHEN k = 4 THEN upper(sensor_id)
+                       WHEN k = 5 THEN substr(sensor_id, 1, 35) WHEN k = 6 THEN ' ' || sensor_id
+                       ELSE sensor_id END AS serial_number FROM rec)""",
+)
+def valid_sensor_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = tb.sensor_records(spark, sf_dir)
+    s = F.col("serial_number")
+    k = F.col("k")
+    serial = (
+        F.when(k == 3, F.lit("abc"))
+        .when(k == 4, F.upper(s))
+        .when(k == 5, F.substring(s, 1, 35))
+        .when(k == 6, F.concat(F.lit(" "), s))
+        .otherwise(s)
+    )
+    out = r.select("key", serial.alias("serial_number"))
+    return out.withColumn("sensor_id", readings_fn.sensor_id("serial_number"))
+
+
+SQL_PROJECTION = """
+SELECT key, sensor_id, date_trunc('day', ts) AS bucket_ts, ts AS time, hive, level, wing,
+       sensor_type, value, latlong, CAST(ts AS DATE) AS bucket_date
+FROM rec"""
+
+
+@query("readings_projection", sql_with(SQL_REC) + SQL_PROJECTION)
+def readings_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tb.to_ntz(ingest.to_readings(tb.sensor_records(spark, sf_dir), keep=["key"]))
+
+
+@query(
+    "encode_readings",
+    sql_with(SQL_REC)
+    + """
+SELECT key, sensor_id, date_trunc('day', ts) AS bucket_ts, date_trunc('millisecond', ts) AS time,
+       hive, level, wing, sensor_type, value, latlong
+FROM rec""",
+)
+def encode_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    projected = ingest.to_readings(tb.sensor_records(spark, sf_dir), keep=["key"])
+    encoded = ingest.encode_readings(projected, keep=["key"])
+    return tb.to_ntz(ingest.decode_readings(encoded, keep=["key"]))
+
+
+# --------------------------------------------------------------------------
+# Upsert and streaming ingest
+
+UPSERT_COLUMNS = ("event_id", "sensor_id", "bucket_ts", "time", "sensor_type", "value", "bucket_date")
+CORRECTION_OFFSET = 1_000_000_000
+
+
+@query(
+    "upsert_readings",
+    sql_with(SQL_READINGS)
+    + f"""
+, allr AS (
+  SELECT {', '.join(UPSERT_COLUMNS)} FROM readings
+  UNION ALL
+  SELECT event_id + {CORRECTION_OFFSET}, sensor_id, bucket_ts, time, sensor_type,
+         CAST(CAST(value AS DOUBLE) + 1 AS FLOAT), bucket_date
+  FROM readings WHERE sensor_type = 'click')
+SELECT {', '.join(UPSERT_COLUMNS)} FROM (
+  SELECT *, row_number() OVER (PARTITION BY sensor_id, bucket_ts, time ORDER BY event_id DESC) AS rn
+  FROM allr) WHERE rn = 1""",
+)
+def upsert_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load all readings into a day-partitioned table, then upsert corrections."""
+    base = tb.readings(spark, sf_dir).select(*UPSERT_COLUMNS)
+    path = work_path(spark, "tables", "upsert_readings")
+    upsert.upsert_partitions(base, path, READING_KEY, ["event_id"])
+    corrections = base.where(F.col("sensor_type") == "click").select(
+        (F.col("event_id") + CORRECTION_OFFSET).alias("event_id"),
+        "sensor_id", "bucket_ts", "time", "sensor_type",
+        (F.col("value").cast("double") + 1).cast("float").alias("value"),
+        "bucket_date",
+    )
+    upsert.upsert_partitions(corrections, path, READING_KEY, ["event_id"])
+    return tb.to_ntz(upsert.read_table(spark, path, base.schema))
+
+
+FEED_FILES = 8
+
+
+def _run_ingest_stream(spark: SparkSession, sf_dir: str) -> stream_ingest.IngestPaths:
+    feed = work_path(spark, "feeds")
+    _messages(spark, sf_dir).select("value").repartition(FEED_FILES).write.text(feed)
+    paths = stream_ingest.IngestPaths(
+        table=work_path(spark, "tables", "sensor_data"),
+        quarantine=work_path(spark, "tables", "quarantine"),
+        counts=work_path(spark, "tables", "batch_counts"),
+        checkpoint=work_path(spark, "checkpoints"),
+    )
+    stream = stream_ingest.message_stream(spark, "text", feed, max_files_per_trigger=2)
+    q = stream_ingest.start_ingest(stream, paths, trigger={"availableNow": True})
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return paths
+
+
+STORED_COLUMNS = (
+    "sensor_id", "bucket_ts", "time", "hive", "level", "wing", "sensor_type", "value", "latlong",
+    "bucket_date",
+)
+
+
+@query(
+    "stream_ingest_readings",
+    sql_with(SQL_REC, SQL_GOOD) + f"SELECT {', '.join(STORED_COLUMNS)} FROM good",
+)
+def stream_ingest_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = _run_ingest_stream(spark, sf_dir)
+    return tb.to_ntz(spark.read.parquet(paths.table).select(*STORED_COLUMNS))
+
+
+@query("stream_batch_counts")
+def stream_batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = _run_ingest_stream(spark, sf_dir)
+    return stream_ingest.read_counts(spark, paths.counts)
+
+
+# --------------------------------------------------------------------------
+# Event-time windows
+
+SQL_WINDOW_READINGS = f"""
+wr AS (SELECT ts, event_type AS sensor_type, CAST(value AS FLOAT) AS value,
+              date_trunc('hour', ts) AS h FROM events)"""
+
+
+@query(
+    "window_tumbling",
+    sql_with(SQL_WINDOW_READINGS)
+    + f"""
+SELECT h AS window_start, h + INTERVAL 1 HOUR AS window_end, sensor_type,
+       count(value) AS n, {sql_fixed_sum('value')} AS total
+FROM wr GROUP BY h, sensor_type""",
+)
+def window_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tb.to_ntz(windows.windowed(tb.readings(spark, sf_dir), "time", "1 hour", keys=["sensor_type"]))
+
+
+@query(
+    "window_sliding",
+    sql_with(SQL_WINDOW_READINGS)
+    + f"""
+SELECT ws AS window_start, ws + INTERVAL 2 HOUR AS window_end, sensor_type,
+       count(value) AS n, {sql_fixed_sum('value')} AS total
+FROM (SELECT CASE WHEN o = 0 THEN h ELSE h - INTERVAL 1 HOUR END AS ws, sensor_type, value
+      FROM wr CROSS JOIN (VALUES (0), (1)) AS t(o))
+GROUP BY ws, sensor_type""",
+)
+def window_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = tb.readings(spark, sf_dir)
+    return tb.to_ntz(windows.windowed(r, "time", "2 hours", "1 hour", keys=["sensor_type"]))
+
+
+# --------------------------------------------------------------------------
+# Summaries
+
+_HALF_DAY_SQL = "CASE WHEN hour(time) >= 12 THEN date_trunc('day', time) + INTERVAL 12 HOUR ELSE date_trunc('day', time) END"
+
+
+def _summary_sql(precision: int) -> str:
+    unit = summaries.PRECISION_UNITS[precision]
+    return f"""
+SELECT r.sensor_id, {_HALF_DAY_SQL} AS bucket_ts, {precision} AS precision,
+       date_trunc('{unit}', time) AS time, s.hive, s.level, s.wing, r.sensor_type, s.latlong,
+       {sql_fixed_sum('value')} AS value_sum, count(value) AS value_count
+FROM readings r LEFT JOIN sensors s ON r.sensor_id = s.sensor_id
+GROUP BY ALL"""
+
+
+def _sensor_summary(spark: SparkSession, sf_dir: str, precision: int) -> DataFrame:
+    return summaries.sensor_summary(tb.readings(spark, sf_dir), precision, sensors=tb.sensors(spark, sf_dir))
+
+
+@query("sensor_summary_minute", sql_with(SQL_READINGS, SQL_SENSORS) + _summary_sql(60))
+def sensor_summary_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tb.to_ntz(_sensor_summary(spark, sf_dir, 60))
+
+
+@query("sensor_summary_hour", sql_with(SQL_READINGS, SQL_SENSORS) + _summary_sql(3600))
+def sensor_summary_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tb.to_ntz(_sensor_summary(spark, sf_dir, 3600))
+
+
+@query("summary_rollup", sql_with(SQL_READINGS, SQL_SENSORS) + _summary_sql(3600))
+def summary_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hour summary re-aggregated from the minute summary."""
+    minute = _sensor_summary(spark, sf_dir, 60)
+    return tb.to_ntz(summaries.rollup_sensor_summary(minute, 3600))
+
+
+@query(
+    "hive_summary",
+    sql_with(SQL_READINGS, SQL_SENSORS)
+    + f", ss AS ({_summary_sql(60)})"
+    + f"""
+SELECT hive, bucket_ts, precision, level, time, sensor_type,
+       {sql_fixed_sum('value_sum')} AS value_sum, CAST(sum(value_count) AS BIGINT) AS value_count
+FROM ss GROUP BY hive, bucket_ts, precision, level, time, sensor_type""",
+)
+def hive_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tb.to_ntz(summaries.hive_summary(_sensor_summary(spark, sf_dir, 60)))
+
+
+RETENTION_AS_OF = "2024-04-15"
+
+
+@query(
+    "retention_filter",
+    sql_with(SQL_READINGS)
+    + f"""
+SELECT sensor_id, time, sensor_type, value, bucket_date FROM readings
+WHERE time >= CAST(DATE '{RETENTION_AS_OF}' - INTERVAL {retention.RAW_DAYS} DAY AS TIMESTAMP)""",
+)
+def retention_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = retention.retained(tb.readings(spark, sf_dir), as_of=RETENTION_AS_OF)
+    return tb.to_ntz(kept.select("sensor_id", "time", "sensor_type", "value", "bucket_date"))
+
+
+# --------------------------------------------------------------------------
+# Transactions
+
+SQL_TXN = """
+txn AS (
+  SELECT CAST(event_id AS VARCHAR) AS txn_id, CAST(user_id AS VARCHAR) AS cc_no,
+         CAST(user_id AS VARCHAR) AS user_id, ts AS txn_time, value AS amount,
+         CAST(json_extract_string(props, '$.k') AS INTEGER) % 10 AS init_status
+  FROM events),
+flagged AS (
+  SELECT *, CASE WHEN init_status < 5 THEN 'REJECTED' WHEN init_status >= 5 THEN 'ACCEPTED' END AS status
+  FROM txn)"""
+
+
+def _flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return txn_ops.flag(tb.transactions_input(spark, sf_dir))
+
+
+@query("txn_flag", sql_with(SQL_TXN) + "SELECT txn_id, init_status, status FROM flagged")
+def txn_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _flagged(spark, sf_dir).select("txn_id", "init_status", "status")
+
+
+TXN_CALENDAR_COLUMNS = (
+    "txn_id", "cc_no", "user_id", "year", "month", "day", "hour", "min", "date_text",
+    "txn_time", "amount", "status",
+)
+
+
+@query(
+    "txn_calendar",
+    sql_with(SQL_TXN)
+    + """
+SELECT txn_id, cc_no, user_id, CAST(year(txn_time) AS INTEGER) AS year,
+       CAST(month(txn_time) AS INTEGER) AS month, CAST(day(txn_time) AS INTEGER) AS day,
+       CAST(hour(txn_time) AS INTEGER) AS hour, CAST(minute(txn_time) AS INTEGER) AS min,
+       strftime(txn_time, '%Y-%m-%d') AS date_text, txn_time, amount, status
+FROM flagged""",
+)
+def txn_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = txn_ops.to_transactions(_flagged(spark, sf_dir))
+    return tb.to_ntz(stored.select(*TXN_CALENDAR_COLUMNS))
+
+
+@query(
+    "txn_count_min",
+    sql_with(SQL_TXN)
+    + """
+, m AS (
+  SELECT CAST(year(txn_time) AS INTEGER) AS year, CAST(month(txn_time) AS INTEGER) AS month,
+         CAST(day(txn_time) AS INTEGER) AS day, CAST(hour(txn_time) AS INTEGER) AS hour,
+         CAST(minute(txn_time) AS INTEGER) AS minute,
+         CAST(count(*) AS INTEGER) AS ttl_txn_min,
+         CAST(count_if(status = 'ACCEPTED') AS INTEGER) AS approved_txn_min
+  FROM flagged GROUP BY ALL),
+h AS (
+  SELECT *, CAST(sum(ttl_txn_min) OVER (PARTITION BY year, month, day, hour) AS INTEGER) AS ttl_txn_hr,
+         CAST(sum(approved_txn_min) OVER (PARTITION BY year, month, day, hour) AS INTEGER) AS approved_txn_hr
+  FROM m)
+SELECT year, month, day, hour, minute,
+       approved_txn_hr / ttl_txn_hr AS approved_rate_hr,
+       approved_txn_min / ttl_txn_min AS approved_rate_min,
+       approved_txn_hr, approved_txn_min, ttl_txn_hr, ttl_txn_min
+FROM h""",
+)
+def txn_count_min(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return txn_ops.txn_count_min(_flagged(spark, sf_dir))
+
+
+SQL_BASKET_ITEMS = f"""
+p AS (
+  SELECT l_orderkey, 'Item_' || CAST(l_partkey AS VARCHAR) AS item,
+         {sql_fixed_sum('l_extendedprice', 2)} AS price
+  FROM lineitem GROUP BY l_orderkey, l_partkey)"""
+
+
+def _baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = tb.table(spark, sf_dir, "lineitem")
+    return txn_ops.baskets(lines, "l_orderkey", "l_partkey", "l_extendedprice")
+
+
+@query(
+    "basket_render",
+    sql_with(SQL_BASKET_ITEMS)
+    + """
+SELECT l_orderkey, string_agg(item || '->' || printf('%1.2f', price), ',' ORDER BY item) AS items_text
+FROM p GROUP BY l_orderkey""",
+)
+def basket_render(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return txn_ops.basket_text(_baskets(spark, sf_dir), "l_orderkey")
+
+
+@query("basket_parse", sql_with(SQL_BASKET_ITEMS) + "SELECT l_orderkey, item, price FROM p")
+def basket_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = txn_ops.basket_text(_baskets(spark, sf_dir), "l_orderkey")
+    entries = text.select("l_orderkey", F.explode(item_entries("items_text")).alias("e"))
+    return entries.select("l_orderkey", "e.item", "e.price")
+
+
+@query(
+    "basket_total",
+    sql_with(SQL_BASKET_ITEMS)
+    + """
+SELECT l_orderkey, total, printf('%1.2f', total) AS total_text FROM (
+  SELECT l_orderkey, CAST(sum(CAST(round(price * 100) AS BIGINT)) AS DOUBLE) / 100 AS total
+  FROM p GROUP BY l_orderkey)""",
+)
+def basket_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return txn_ops.basket_totals(_baskets(spark, sf_dir), "l_orderkey")
+
+
+# --------------------------------------------------------------------------
+# Range lookup
+
+
+def nation_share_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cumulative share of customers per nation, in nation-key order: (hi, name)."""
+    counts = tb.table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(F.count("*").alias("n"))
+    nation = tb.table(spark, sf_dir, "nation")
+    named = join_small(counts, nation.withColumnRenamed("n_nationkey", "c_nationkey"), "c_nationkey")
+    # One row per nation: the window below runs over at most a few hundred rows.
+    running = Window.orderBy("c_nationkey").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    everything = Window.partitionBy(F.lit(1))
+    return named.select(
+        (F.sum("n").over(running) / F.sum("n").over(everything)).alias("hi"),
+        F.col("n_name").alias("name"),
+    )
+
+
+@query(
+    "range_lookup",
+    """
+WITH cnt AS (SELECT c_nationkey, count(*) AS n FROM customer GROUP BY c_nationkey),
+b AS (SELECT n_name AS name, sum(n) OVER (ORDER BY c_nationkey) / sum(n) OVER () AS hi
+      FROM cnt JOIN nation ON c_nationkey = n_nationkey),
+bl AS (SELECT name, hi, lag(hi) OVER (ORDER BY hi) AS lo FROM b),
+pr AS (SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) / 100 AS u FROM events)
+SELECT pr.event_id, pr.u, coalesce(bl.name, 'All Other') AS name
+FROM pr LEFT JOIN bl ON (bl.lo IS NULL OR pr.u > bl.lo) AND pr.u <= bl.hi""",
+)
+def range_lookup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = tb.table(spark, sf_dir, "events").select(
+        "event_id", (tb.props_k() / 100).alias("u")
+    )
+    bounds = nation_share_bounds(spark, sf_dir)
+    return lookup.range_lookup(events, "u", bounds).select("event_id", "u", "name")
