@@ -77,10 +77,16 @@ def parse_messages(messages: DataFrame, strict: bool = False) -> DataFrame:
     if not strict:
         schema = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
     key = F.col("key").cast("string") if "key" in messages.columns else F.lit(None).cast("string")
+    # The parsed struct comes out of a one-element generator: filters on its
+    # fields (reason IS NULL downstream) then stay above it. Without that
+    # barrier the optimizer pushes such a filter below the projection and
+    # copies the whole from_json into it, parsing every message twice.
     parsed = messages.select(
         key.alias("key"),
         F.col("value").cast("string").alias("value"),
-        F.from_json(F.col("value").cast("string"), schema, _json_options(strict)).alias("m"),
+        F.explode(
+            F.array(F.from_json(F.col("value").cast("string"), schema, _json_options(strict)))
+        ).alias("m"),
     ).select("key", "value", "m.*")
     missing = None
     for name in REQUIRED_MESSAGE_FIELDS:
