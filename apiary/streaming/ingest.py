@@ -26,6 +26,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from apiary.operators.ingest import parse_messages, quarantined, to_readings
 from apiary.operators.upsert import upsert_partitions
+from apiary.sources.messages import message_stream  # noqa: F401  (re-exported)
 from apiary.schemas import READING_KEY, READING_PARTITION
 
 ORDER_COLUMNS = ("batch_id", "batch_seq")
@@ -40,37 +41,6 @@ BATCH_COUNTS = T.StructType(
 )
 
 
-def message_stream(
-    spark: SparkSession,
-    kind: str = "text",
-    path: str | None = None,
-    topic: str | None = None,
-    bootstrap_servers: str | None = None,
-    starting_offsets: str = "latest",
-    max_files_per_trigger: int | None = None,
-    max_offsets_per_trigger: int | None = None,
-) -> DataFrame:
-    """Streaming DataFrame ``(key STRING, value STRING)`` of raw messages."""
-    if kind == "kafka":
-        reader = (
-            spark.readStream.format("kafka")
-            .option("kafka.bootstrap.servers", bootstrap_servers)
-            .option("subscribe", topic)
-            .option("startingOffsets", starting_offsets)
-        )
-        if max_offsets_per_trigger:
-            reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
-        return reader.load().select(
-            F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value")
-        )
-    if kind != "text":
-        raise ValueError(f"unknown source kind {kind!r}")
-    reader = spark.readStream.format("text")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.load(path).select(F.lit(None).cast("string").alias("key"), F.col("value"))
-
-
 @dataclass
 class IngestPaths:
     table: str
