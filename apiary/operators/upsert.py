@@ -1,5 +1,14 @@
 """Keyed upsert: the newest row per key wins, on Parquet tables.
 
+Two ways to keep a table keyed:
+
+* copy-on-write (``upsert_partitions``): merge a batch into the day
+  partitions it touches and rewrite them; for batch loads and compaction;
+* merge-on-read (``append_batch`` + ``read_latest`` + ``compact_days``):
+  each micro-batch writes only its own ``day/batch`` folders, readers keep
+  the newest row per key, and closed days are compacted later. A 1-second
+  stream then writes O(batch), never O(day).
+
 ``latest_per_key`` keeps, for each key, the row with the greatest ordering
 value. It is one aggregate with ``max_by``: rows are combined map-side
 before the shuffle, so a key holding a large share of all rows still sends
@@ -63,7 +72,9 @@ def upsert_partitions(
     else:
         merged = latest_per_key(batch, keys, order_by)
     stage = work_path(spark, "staging")
-    merged.write.partitionBy(partition_col).parquet(stage)
+    # Rebalance by day before the partitioned write: few files per day, and
+    # adaptive execution splits a day holding a large share of the rows.
+    merged.hint("rebalance", partition_col).write.partitionBy(partition_col).parquet(stage)
     staged = spark.read.schema(merged.schema).parquet(stage)
     (
         staged.select(*batch.columns)
@@ -76,3 +87,95 @@ def upsert_partitions(
 
 def read_table(spark: SparkSession, table_path: str, schema) -> DataFrame:
     return spark.read.schema(schema).parquet(table_path)
+
+
+def append_batch(
+    batch: DataFrame, table_path: str, partition_col: str = "bucket_date", batch_col: str = "batch_id"
+) -> None:
+    """Write one batch into its own (day, batch) folders.
+
+    Dynamic partition overwrite replaces exactly the folders of this batch,
+    so a replayed batch rewrites its own output and adds nothing.
+    """
+    (
+        batch.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(partition_col, batch_col)
+        .parquet(table_path)
+    )
+
+
+def read_latest(
+    spark: SparkSession,
+    table_path: str,
+    schema,
+    keys: Sequence[str],
+    order_by: Sequence[str],
+    where=None,
+) -> DataFrame:
+    """Merge-on-read view: newest row per key (optionally of some days only)."""
+    df = spark.read.schema(schema).parquet(table_path)
+    if where is not None:
+        df = df.where(where)
+    return latest_per_key(df, keys, order_by)
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return jvm, hpath, hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def compact_days(
+    spark: SparkSession,
+    table_path: str,
+    schema,
+    keys: Sequence[str],
+    order_by: Sequence[str],
+    days: Sequence[str],
+    partition_col: str = "bucket_date",
+    batch_col: str = "batch_id",
+) -> None:
+    """Merge the batch folders of closed ``days`` into one folder per day.
+
+    The newest row per key is written to a staging table under the shared
+    work folder; then each day folder is replaced by its staged copy (one
+    delete and one rename per day). The compacted folder carries the day's
+    largest batch id, so later batches still win. Run it on days no stream
+    writes any more; a reader sees every key throughout, as the merge-on-read
+    view removes the duplicates a reader may meet during the swap.
+    """
+    if not days:
+        return
+    day_lit = [F.lit(d).cast("date") for d in days]
+    rows = spark.read.schema(schema).parquet(table_path).where(F.col(partition_col).isin(day_lit))
+    latest = latest_per_key(rows, keys, order_by)
+    newest = latest.groupBy(partition_col).agg(F.max(batch_col).alias("_newest"))
+    latest = join_small(latest.drop(batch_col), newest, partition_col).withColumnRenamed(
+        "_newest", batch_col
+    )
+    stage = work_path(spark, "staging")
+    latest.hint("rebalance", partition_col).write.partitionBy(partition_col, batch_col).parquet(stage)
+    jvm, root, fs = _fs(spark, table_path)
+    staged_root = jvm.org.apache.hadoop.fs.Path(stage)
+    for status in fs.listStatus(staged_root):
+        name = status.getPath().getName()
+        if not status.isDirectory() or not name.startswith(partition_col + "="):
+            continue
+        target = jvm.org.apache.hadoop.fs.Path(root, name)
+        if fs.exists(target):
+            fs.delete(target, True)
+        fs.rename(status.getPath(), target)
+
+
+def list_partitions(spark: SparkSession, table_path: str, partition_col: str = "bucket_date") -> list[str]:
+    """Values of the top-level partition folders (one per day: a short list)."""
+    _, root, fs = _fs(spark, table_path)
+    if not fs.exists(root):
+        return []
+    prefix = partition_col + "="
+    return sorted(
+        st.getPath().getName()[len(prefix):]
+        for st in fs.listStatus(root)
+        if st.isDirectory() and st.getPath().getName().startswith(prefix)
+    )

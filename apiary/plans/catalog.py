@@ -36,6 +36,7 @@ from apiary.plans import testbed as tb
 from apiary.schemas import READING_KEY
 from apiary.session import work_path
 from apiary.streaming import ingest as stream_ingest
+from apiary.streaming import windows as stream_windows
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -271,6 +272,24 @@ def parse_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tb.to_ntz(ingest.to_readings(parsed, keep=["key"]))
 
 
+@query(
+    "parse_readings_strict",
+    sql_with(SQL_REC)
+    + """
+SELECT key, sensor_id, date_trunc('day', t) AS bucket_ts, t AS time, hive, level, wing,
+       sensor_type, value, latlong, CAST(t AS DATE) AS bucket_date
+FROM (SELECT *, date_trunc('millisecond', ts) AS t FROM rec)
+WHERE event_type IN ('click', 'view', 'purchase')""",
+)
+def parse_readings_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Strict mode over the sensor events' messages without injected faults."""
+    records = tb.sensor_records(spark, sf_dir).where(
+        F.col("event_type").isin(list(tb.EVENT_SENSOR_TYPES))
+    )
+    msgs = ingest.encode_messages(records)
+    return tb.to_ntz(ingest.to_readings(ingest.parse_messages(msgs, strict=True), strict=True, keep=["key"]))
+
+
 @query(
     "quarantine_readings",
     sql_with(SQL_REC)
@@ -420,8 +439,10 @@ STORED_COLUMNS = (
     sql_with(SQL_REC, SQL_GOOD) + f"SELECT {', '.join(STORED_COLUMNS)} FROM good",
 )
 def stream_ingest_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stream the feed into the table, compact its (now closed) days, read it back."""
     paths = _run_ingest_stream(spark, sf_dir)
-    return tb.to_ntz(spark.read.parquet(paths.table).select(*STORED_COLUMNS))
+    stream_ingest.compact(spark, paths.table, upsert.list_partitions(spark, paths.table))
+    return tb.to_ntz(stream_ingest.read_readings(spark, paths.table).select(*STORED_COLUMNS))
 
 
 @query("stream_batch_counts")
@@ -450,6 +471,30 @@ def window_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tb.to_ntz(windows.windowed(tb.readings(spark, sf_dir), "time", "1 hour", keys=["sensor_type"]))
 
 
+# The replayed feed is not in time order (files are read in any order), so
+# the allowed lateness covers the whole month: no row is dropped as late.
+STREAM_WINDOW_DELAY = "31 days"
+
+
+@query("stream_window_tumbling", ORACLE["window_tumbling"])
+def stream_window_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hourly windows computed by a stream over the readings files."""
+    readings = tb.readings(spark, sf_dir).select("time", "sensor_type", "value")
+    feed = work_path(spark, "feeds", "readings")
+    readings.repartition(FEED_FILES).write.parquet(feed)
+    stream = spark.readStream.schema(readings.schema).option("maxFilesPerTrigger", 2).parquet(feed)
+    table = work_path(spark, "tables", "windows")
+    q = stream_windows.start_windowed(
+        stream, "time", "1 hour", table, work_path(spark, "checkpoints"),
+        keys=["sensor_type"], delay=STREAM_WINDOW_DELAY, trigger={"availableNow": True},
+    )
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    out = spark.read.parquet(table).select("window_start", "window_end", "sensor_type", "n", "total")
+    return tb.to_ntz(out)
+
+
 @query(
     "window_sliding",
     sql_with(SQL_WINDOW_READINGS)

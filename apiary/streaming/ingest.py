@@ -5,8 +5,10 @@ Source: a Kafka topic (value as text, key ignored, starting offsets
 files. Each micro-batch goes through ``foreachBatch``:
 
 1. parse and validate with the same functions as the batch path;
-2. upsert the good readings into the table partitioned by ``bucket_date``
-   (newest per (sensor_id, bucket_ts, time) by batch id and position);
+2. append the good readings to the table partitioned by ``bucket_date``
+   and ``batch_id`` (merge-on-read: :func:`read_readings` keeps the newest
+   row per (sensor_id, bucket_ts, time) by batch id and position, and
+   :func:`compact` merges the batch folders of closed days);
 3. write the quarantined messages and the batch's line counts, each into a
    ``batch_id`` partition with dynamic overwrite, so a replayed batch
    replaces its own output instead of adding to it.
@@ -17,6 +19,7 @@ committed batch.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,7 +28,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from apiary.operators.ingest import parse_messages, quarantined, to_readings
-from apiary.operators.upsert import upsert_partitions
+from apiary.operators.upsert import append_batch, compact_days, read_latest
 from apiary.sources.messages import message_stream  # noqa: F401  (re-exported)
 from apiary.schemas import READING_KEY, READING_PARTITION
 
@@ -49,14 +52,23 @@ class IngestPaths:
     checkpoint: str
 
 
-def ingest_batch(batch: DataFrame, batch_id: int, paths: IngestPaths) -> None:
-    """Process one micro-batch (also usable on a plain batch DataFrame)."""
+def ingest_batch(
+    batch: DataFrame,
+    batch_id: int,
+    paths: IngestPaths,
+    on_counts: Callable[[int, int, int, int], None] | None = None,
+) -> None:
+    """Process one micro-batch (also usable on a plain batch DataFrame).
+
+    ``on_counts(batch_id, lines, good, quarantined)`` is called with the
+    batch's counts (one aggregated row read back), e.g. to print them.
+    """
     parsed = parse_messages(batch).withColumn("batch_id", F.lit(batch_id).cast("long"))
     parsed = parsed.withColumn("batch_seq", F.monotonically_increasing_id())
     parsed = parsed.persist()
     try:
         good = to_readings(parsed, keep=list(ORDER_COLUMNS))
-        upsert_partitions(good, paths.table, READING_KEY, ORDER_COLUMNS, READING_PARTITION)
+        append_batch(good, paths.table, READING_PARTITION, "batch_id")
         (
             quarantined(parsed)
             .withColumn("batch_id", F.lit(batch_id).cast("long"))
@@ -77,19 +89,27 @@ def ingest_batch(batch: DataFrame, batch_id: int, paths: IngestPaths) -> None:
             .partitionBy("batch_id")
             .parquet(paths.counts)
         )
+        if on_counts is not None:
+            row = counts.first()
+            on_counts(batch_id, row["lines"], row["good"], row["quarantined"])
     finally:
         parsed.unpersist()
 
 
+def print_counts(batch_id: int, lines: int, good: int, quarantined: int) -> None:
+    print(f"batch {batch_id}: {lines} lines processed, {good} stored, {quarantined} quarantined")
+
+
 def start_ingest(
     messages: DataFrame,
     paths: IngestPaths,
     trigger: dict | None = None,
     query_name: str | None = None,
+    on_counts: Callable[[int, int, int, int], None] | None = None,
 ) -> StreamingQuery:
     """Start the ingest query; ``trigger`` defaults to 1-second micro-batches."""
     writer = (
-        messages.writeStream.foreachBatch(lambda df, bid: ingest_batch(df, bid, paths))
+        messages.writeStream.foreachBatch(lambda df, bid: ingest_batch(df, bid, paths, on_counts))
         .option("checkpointLocation", paths.checkpoint)
         .trigger(**(trigger or {"processingTime": "1 second"}))
     )
@@ -100,3 +120,25 @@ def start_ingest(
 
 def read_counts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(BATCH_COUNTS).parquet(path)
+
+
+def read_readings(spark: SparkSession, table: str, where=None) -> DataFrame:
+    """The ingested readings, newest per key (merge-on-read)."""
+    from apiary.sources.tables import STORED_READING
+
+    schema = T.StructType(
+        STORED_READING.fields
+        + [T.StructField("batch_id", T.LongType()), T.StructField("batch_seq", T.LongType())]
+    )
+    return read_latest(spark, table, schema, READING_KEY, ORDER_COLUMNS, where)
+
+
+def compact(spark: SparkSession, table: str, days) -> None:
+    """Merge the batch folders of closed days of the ingested table."""
+    from apiary.sources.tables import STORED_READING
+
+    schema = T.StructType(
+        STORED_READING.fields
+        + [T.StructField("batch_id", T.LongType()), T.StructField("batch_seq", T.LongType())]
+    )
+    compact_days(spark, table, schema, READING_KEY, ORDER_COLUMNS, [str(d) for d in days])

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from apiary.operators import ingest, windows
+from apiary.operators import ingest, upsert, windows
 from apiary.plans import testbed as tb
 from apiary.session import work_path
 from apiary.streaming import ingest as si
@@ -45,12 +45,33 @@ def test_stream_equals_batch_and_restart_resumes(spark):
     assert total[0] == msgs.count() == total[1] + total[2]
 
     batch = ingest.to_readings(ingest.parse_messages(msgs)).select(COLS)
-    stored = spark.read.parquet(paths.table).select(COLS)
+    stored = si.read_readings(spark, paths.table).select(COLS)
     assert sorted(stored.collect()) == sorted(batch.collect())
+    # compaction leaves one folder per day and the same rows
+    days = upsert.list_partitions(spark, paths.table)
+    si.compact(spark, paths.table, days)
+    assert sorted(si.read_readings(spark, paths.table).select(COLS).collect()) == sorted(batch.collect())
+    raw = spark.read.parquet(paths.table)
+    assert raw.count() == batch.count()
+    assert raw.select("bucket_date", "batch_id").distinct().count() == len(days)
     q = spark.read.parquet(paths.quarantine)
     assert q.count() == total[2]
 
 
+def test_newest_copy_wins_across_batches(spark):
+    msgs = tb.sensor_messages(spark, SF_SMALL).select("key", "value")
+    paths = _paths(spark)
+    si.ingest_batch(msgs, 0, paths)
+    n_good = si.read_readings(spark, paths.table).count()
+    corrected = msgs.select("key", F.regexp_replace("value", '"temperature":[-0-9.E]+', '"temperature":-1.0').alias("value"))
+    si.ingest_batch(corrected, 1, paths)
+    latest = si.read_readings(spark, paths.table)
+    assert latest.count() == n_good
+    temps = latest.where(F.col("sensor_type") == "Temperature").select("value").distinct().collect()
+    assert [r.value for r in temps] == [-1.0]
+    assert latest.where(F.col("sensor_type") != "Temperature").where(F.col("value") == -1.0).count() == 0
+
+
 def test_replayed_batch_leaves_outputs_unchanged(spark):
     msgs = tb.sensor_messages(spark, SF_SMALL).select("key", "value")
     paths = _paths(spark)
