@@ -19,7 +19,7 @@ from apiary.functions.baskets import (
 )
 from apiary.functions.transactions import ACCEPTED, calendar_columns, txn_status
 from apiary.operators.aggregate import fixed_sum
-from apiary.schemas import TRANSACTION, TXN_COUNT_MIN
+from apiary.schemas import MESSAGE_TIMESTAMP_FORMAT, TRANSACTION, TXN_COUNT_MIN, TXN_MESSAGE
 
 TRANSACTION_COLUMNS = tuple(f.name for f in TRANSACTION.fields)
 
@@ -46,10 +46,23 @@ def to_transactions(txns: DataFrame) -> DataFrame:
     return out.select(*cols)
 
 
-def txn_count_min(txns: DataFrame, status: str = "status", ts: str = "txn_time") -> DataFrame:
-    """Approved and total counts and approval rates per minute and its hour."""
+def parse_transactions(messages: DataFrame) -> DataFrame:
+    """JSON transaction messages → flagged rows in the stored layout.
+
+    Messages that are not valid JSON are dropped here; the count of lines
+    per batch is kept by the streaming sink.
+    """
+    opts = {"timestampFormat": MESSAGE_TIMESTAMP_FORMAT, "mode": "PERMISSIVE"}
+    parsed = messages.select(
+        F.explode(F.array(F.from_json(F.col("value").cast("string"), TXN_MESSAGE, opts))).alias("m")
+    ).select("m.*")
+    return to_transactions(flag(parsed.where(F.col("txn_id").isNotNull())))
+
+
+def minute_counts(txns: DataFrame, status: str = "status", ts: str = "txn_time") -> DataFrame:
+    """Total and approved transactions per calendar minute (partial + final)."""
     t = F.col(ts)
-    per_min = txns.groupBy(
+    return txns.groupBy(
         F.year(t).alias("year"),
         F.month(t).alias("month"),
         F.dayofmonth(t).alias("day"),
@@ -59,6 +72,10 @@ def txn_count_min(txns: DataFrame, status: str = "status", ts: str = "txn_time")
         F.count("*").cast("int").alias("ttl_txn_min"),
         F.count_if(F.col(status) == ACCEPTED).cast("int").alias("approved_txn_min"),
     )
+
+
+def with_hour_figures(per_min: DataFrame) -> DataFrame:
+    """Add the hour's totals and both approval rates to per-minute rows."""
     hour = Window.partitionBy("year", "month", "day", "hour")
     out = (
         per_min.withColumn("ttl_txn_hr", F.sum("ttl_txn_min").over(hour).cast("int"))
@@ -69,6 +86,18 @@ def txn_count_min(txns: DataFrame, status: str = "status", ts: str = "txn_time")
     return out.select(*[f.name for f in TXN_COUNT_MIN.fields])
 
 
+def txn_count_min(txns: DataFrame, status: str = "status", ts: str = "txn_time") -> DataFrame:
+    """Approved and total counts and approval rates per minute and its hour."""
+    return with_hour_figures(minute_counts(txns, status, ts))
+
+
+def encode_transactions(txns: DataFrame) -> DataFrame:
+    """Rows → JSON transaction messages (``value``), message fields only."""
+    fields = [f.name for f in TXN_MESSAGE.fields if f.name in txns.columns]
+    body = F.to_json(F.struct(*fields), {"timestampFormat": MESSAGE_TIMESTAMP_FORMAT})
+    return txns.select(body.alias("value"))
+
+
 def baskets(
     lines: DataFrame, basket: str, item: str, price: str, scale: int = 2
 ) -> DataFrame:

@@ -36,6 +36,7 @@ from apiary.plans import testbed as tb
 from apiary.schemas import READING_KEY
 from apiary.session import work_path
 from apiary.streaming import ingest as stream_ingest
+from apiary.streaming import transactions as stream_txn
 from apiary.streaming import windows as stream_windows
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -644,6 +645,48 @@ def txn_count_min(spark: SparkSession, sf_dir: str) -> DataFrame:
     return txn_ops.txn_count_min(_flagged(spark, sf_dir))
 
 
+def _run_txn_stream(spark: SparkSession, sf_dir: str) -> stream_txn.TxnPaths:
+    feed = work_path(spark, "feeds", "transactions")
+    msgs = txn_ops.encode_transactions(tb.transactions_input(spark, sf_dir))
+    msgs.repartition(FEED_FILES).write.text(feed)
+    paths = stream_txn.TxnPaths(
+        table=work_path(spark, "tables", "transactions"),
+        minutes=work_path(spark, "tables", "txn_minutes"),
+        counts=work_path(spark, "tables", "txn_lines"),
+        checkpoint=work_path(spark, "checkpoints"),
+    )
+    stream = stream_ingest.message_stream(spark, "text", feed, max_files_per_trigger=2)
+    q = stream_txn.start_txn_ingest(stream, paths, trigger={"availableNow": True})
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return paths
+
+
+@query(
+    "stream_txn_ingest",
+    sql_with(SQL_TXN)
+    + """
+SELECT txn_id, cc_no, user_id, CAST(year(txn_time) AS INTEGER) AS year,
+       CAST(month(txn_time) AS INTEGER) AS month, CAST(day(txn_time) AS INTEGER) AS day,
+       CAST(hour(txn_time) AS INTEGER) AS hour, CAST(minute(txn_time) AS INTEGER) AS min,
+       strftime(txn_time, '%Y-%m-%d') AS date_text, date_trunc('millisecond', txn_time) AS txn_time,
+       amount, status
+FROM flagged""",
+)
+def stream_txn_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions streamed as JSON, flagged, stored and read back."""
+    paths = _run_txn_stream(spark, sf_dir)
+    return tb.to_ntz(stream_txn.read_transactions(spark, paths.table).select(*TXN_CALENDAR_COLUMNS))
+
+
+@query("stream_txn_count_min", ORACLE["txn_count_min"])
+def stream_txn_count_min(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The per-minute approval rollup kept by the transaction stream."""
+    paths = _run_txn_stream(spark, sf_dir)
+    return stream_txn.read_txn_count_min(spark, paths.minutes)
+
+
 SQL_BASKET_ITEMS = f"""
 p AS (
   SELECT l_orderkey, 'Item_' || CAST(l_partkey AS VARCHAR) AS item,

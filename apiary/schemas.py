@@ -130,6 +130,21 @@ TRANSACTION = T.StructType(
 )
 TRANSACTION_KEY: tuple[str, ...] = ("cc_no", "year", "month", "day", "txn_time")
 
+# Incoming JSON transaction message (initial status before flagging).
+TXN_MESSAGE = T.StructType(
+    [
+        T.StructField("txn_id", T.StringType()),
+        T.StructField("cc_no", T.StringType()),
+        T.StructField("user_id", T.StringType()),
+        T.StructField("txn_time", T.TimestampType()),
+        T.StructField("amount", T.DoubleType()),
+        T.StructField("init_status", T.IntegerType()),
+        T.StructField("merchant", T.StringType()),
+        T.StructField("location", T.StringType()),
+        T.StructField("items", T.MapType(T.StringType(), T.DoubleType())),
+    ]
+)
+
 # Per-minute approval rollup.
 TXN_COUNT_MIN = T.StructType(
     [
