@@ -70,7 +70,17 @@ def upsert_partitions(
         )
         merged = latest_per_key(existing.unionByName(batch), keys, order_by)
     else:
+        # Nothing is read from the target: write it directly.
         merged = latest_per_key(batch, keys, order_by)
+        (
+            merged.hint("rebalance", partition_col)
+            .select(*batch.columns)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(partition_col)
+            .parquet(table_path)
+        )
+        return
     stage = work_path(spark, "staging")
     # Rebalance by day before the partitioned write: few files per day, and
     # adaptive execution splits a day holding a large share of the rows.
