@@ -31,6 +31,7 @@ from apiary.functions.readings import (
     require_uuid,
     sensor_id,
 )
+from apiary.operators.strategy import spread
 from apiary.schemas import (
     MESSAGE_TIMESTAMP_FORMAT,
     READING,
@@ -76,6 +77,7 @@ def parse_messages(messages: DataFrame, strict: bool = False) -> DataFrame:
     schema = SENSOR_MESSAGE
     if not strict:
         schema = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
+    messages = spread(messages)
     key = F.col("key").cast("string") if "key" in messages.columns else F.lit(None).cast("string")
     # The parsed struct comes out of a one-element generator: filters on its
     # fields (reason IS NULL downstream) then stay above it. Without that

@@ -54,3 +54,22 @@ def join_small(
         "_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1)).cast("array<bigint>"))
     )
     return salted_large.join(salted_small, keys + ["_salt"], how).drop("_salt")
+
+
+def spread(df: DataFrame, *cols: str) -> DataFrame:
+    """Spread a narrow input over all task slots before heavy per-row work.
+
+    When ``df`` has fewer partitions than the default parallelism (one large
+    file, a topic with few partitions), it is hash-partitioned over that
+    many partitions (by ``cols``, else by a hash of the whole row), so
+    parsing and encoding run on every core. An input that already has
+    enough partitions, as any large scan does, is returned unchanged: no
+    shuffle is added at scale. Streaming inputs are left as they are.
+    """
+    if df.isStreaming:
+        return df
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    keys = [F.col(c) for c in cols] or [F.xxhash64(*[F.col(c) for c in df.columns])]
+    return df.repartition(target, *keys)

@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from apiary.functions.buckets import bucket, bucket_date
 from apiary.functions.readings import latlong, uuid_text
 from apiary.operators.ingest import encode_messages
-from apiary.operators.strategy import join_small
+from apiary.operators.strategy import join_small, spread
 
 # Reference day of the test period: the last day of the generated events.
 AS_OF = "2024-01-30"
@@ -88,7 +88,8 @@ def sensor_type_of(event_type: F.Column) -> F.Column:
 
 def sensor_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed sensor snapshots (the message schema) with the event key."""
-    e = table(spark, sf_dir, "events")
+    # Messages are built per event (JSON encoding): spread a narrow scan.
+    e = spread(table(spark, sf_dir, "events"), "event_id")
     c = table(spark, sf_dir, "customer")
     # customer is the dimension side, events the large side.
     j = join_small(e, c.withColumn("user_id", F.col("c_custkey")), "user_id", "inner")

@@ -25,10 +25,17 @@ def _upsert_windows(table: str, keys: Sequence[str]):
     def write(batch: DataFrame, batch_id: int) -> None:
         # Update mode emits each changed window once per batch; the upsert
         # keeps the newest emission per window.
-        rows = batch.withColumn("batch_id", F.lit(batch_id).cast("long")).withColumn(
-            "window_date", F.to_date("window_start")
+        # The batch is used by several jobs of the upsert; caching it keeps
+        # the stateful plan of the micro-batch from running more than once.
+        rows = (
+            batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
+            .withColumn("window_date", F.to_date("window_start"))
+            .persist()
         )
-        upsert_partitions(rows, table, ["window_start", *keys], ["batch_id"], "window_date")
+        try:
+            upsert_partitions(rows, table, ["window_start", *keys], ["batch_id"], "window_date")
+        finally:
+            rows.unpersist()
 
     return write
 
