@@ -492,7 +492,9 @@ def stream_window_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    out = spark.read.parquet(table).select("window_start", "window_end", "sensor_type", "n", "total")
+    out = stream_windows.read_windows(spark, table, ["sensor_type"]).select(
+        "window_start", "window_end", "sensor_type", "n", "total"
+    )
     return tb.to_ntz(out)
 
 

@@ -1,41 +1,36 @@
 """Event-time windows on a stream, kept in a table keyed by window.
 
 The windowed aggregate runs in ``update`` mode: each micro-batch emits the
-windows it changed, with their totals so far. ``foreachBatch`` upserts those
-rows into a table keyed by (window, keys), newest batch winning, so the table
-always holds the current total of every window, and equals the batch
-aggregate once the input is consumed. The watermark bounds the state kept
-for open windows; rows later than the watermark are dropped by Spark, so
-choose the delay from the lateness the feed can have.
+windows it changed, with their totals so far. ``foreachBatch`` appends those
+rows to the batch's own folder (merge-on-read); :func:`read_windows` keeps
+the newest emission of every window, which is its current total, and equals
+the batch aggregate once the input is consumed. A batch writes only what it
+emitted, and a replayed batch overwrites its own folder. The watermark
+bounds the state kept for open windows; rows later than the watermark are
+dropped by Spark, so choose the delay from the lateness the feed can have.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from apiary.operators.upsert import upsert_partitions
+from apiary.operators.upsert import latest_per_key
 from apiary.operators.windows import windowed, with_watermark
 
 
-def _upsert_windows(table: str, keys: Sequence[str]):
+def _append_windows(table: str):
     def write(batch: DataFrame, batch_id: int) -> None:
-        # Update mode emits each changed window once per batch; the upsert
-        # keeps the newest emission per window.
-        # The batch is used by several jobs of the upsert; caching it keeps
-        # the stateful plan of the micro-batch from running more than once.
-        rows = (
+        (
             batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
-            .withColumn("window_date", F.to_date("window_start"))
-            .persist()
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch_id")
+            .parquet(table)
         )
-        try:
-            upsert_partitions(rows, table, ["window_start", *keys], ["batch_id"], "window_date")
-        finally:
-            rows.unpersist()
 
     return write
 
@@ -54,8 +49,14 @@ def start_windowed(
     agg = windowed(with_watermark(stream, time_col, delay), time_col, duration, slide, keys)
     return (
         agg.writeStream.outputMode("update")
-        .foreachBatch(_upsert_windows(table, list(keys)))
+        .foreachBatch(_append_windows(table))
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "1 second"}))
         .start()
     )
+
+
+def read_windows(spark: SparkSession, table: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Current total of every window: its newest emission."""
+    rows = spark.read.parquet(table)
+    return latest_per_key(rows, ["window_start", "window_end", *keys], ["batch_id"]).drop("batch_id")
