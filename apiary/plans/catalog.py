@@ -158,8 +158,10 @@ def sensor_day_join_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     "daily_topology",
     sql_with(SQL_SENSORS)
     + f"""
-SELECT CAST(d AS DATE) AS bucket_date, CAST(d AS TIMESTAMP) AS bucket_ts, s.*
-FROM sensors s CROSS JOIN generate_series(TIMESTAMP '{FIRST_DAY}', TIMESTAMP '{LAST_DAY}', INTERVAL 1 DAY) AS t(d)""",
+SELECT CAST(d AS DATE) AS bucket_date, CAST(d AS TIMESTAMP) AS bucket_ts,
+       sensor_id, hive, level, wing, latlong, sensor_type
+FROM (SELECT s.*, unnest(generate_series(TIMESTAMP '{FIRST_DAY}', TIMESTAMP '{LAST_DAY}', INTERVAL 1 DAY)) AS d
+      FROM sensors s)""",
 )
 def daily_topology(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tb.to_ntz(topology.daily_topology(tb.sensors(spark, sf_dir), as_of=tb.AS_OF))
@@ -505,7 +507,7 @@ def stream_window_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT ws AS window_start, ws + INTERVAL 2 HOUR AS window_end, sensor_type,
        count(value) AS n, {sql_fixed_sum('value')} AS total
 FROM (SELECT CASE WHEN o = 0 THEN h ELSE h - INTERVAL 1 HOUR END AS ws, sensor_type, value
-      FROM wr CROSS JOIN (VALUES (0), (1)) AS t(o))
+      FROM (SELECT *, unnest([0, 1]) AS o FROM wr))
 GROUP BY ws, sensor_type""",
 )
 def window_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,13 +24,15 @@ def message_stream(
     starting_offsets: str = "latest",
     max_files_per_trigger: int | None = None,
     max_offsets_per_trigger: int | None = None,
+    min_partitions: int | None = None,
 ) -> DataFrame:
     """Streaming DataFrame of raw messages from a topic or a folder of files.
 
     The topic form reads from the latest offsets by default; offsets are kept
     in the query's checkpoint, so a restart resumes where it stopped.
     ``max_offsets_per_trigger`` / ``max_files_per_trigger`` bound a
-    micro-batch (back-pressure).
+    micro-batch (back-pressure); ``min_partitions`` spreads a topic with few
+    partitions over more tasks.
     """
     if kind == "kafka":
         reader = (
@@ -41,6 +43,9 @@ def message_stream(
         )
         if max_offsets_per_trigger:
             reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
+        if min_partitions:
+            # Split large topic partitions over more tasks (parsing is CPU work).
+            reader = reader.option("minPartitions", str(min_partitions))
         return reader.load().select(
             F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value")
         )

@@ -60,3 +60,23 @@ def test_no_python_in_any_query(spark):
             continue
         plan = fn(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan, name
+
+
+def test_fallback_join_shuffles_and_salts(spark):
+    r = tb.readings(spark, SF_SMALL)
+    s = tb.sensors(spark, SF_SMALL)
+    df = joins.sensor_day_join(r, s, as_of="2024-01-30", max_broadcast_rows=10, salt_buckets=8)
+    n = df.count()
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert "_salt" in text
+    assert n == joins.sensor_day_join(r, s, as_of="2024-01-30").count()
+
+
+def test_spread_only_narrow_inputs(spark):
+    from apiary.operators.strategy import spread
+
+    narrow = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    assert narrow.rdd.getNumPartitions() == 1
+    assert spread(narrow).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    wide = spark.range(0, 100, numPartitions=spark.sparkContext.defaultParallelism * 2)
+    assert spread(wide) is wide
