@@ -68,16 +68,21 @@ def _json_options(strict: bool) -> dict[str, str]:
     return opts
 
 
-def parse_messages(messages: DataFrame, strict: bool = False) -> DataFrame:
+def parse_messages(messages: DataFrame, strict: bool = False, spread_narrow: bool = True) -> DataFrame:
     """``messages(value STRING[, key])`` → message fields + ``reason``.
 
     ``reason`` is null for a good message. In strict mode a bad message
-    raises instead and ``reason`` is always null.
+    raises instead and ``reason`` is always null. With ``spread_narrow`` a
+    batch input with fewer partitions than task slots is spread first
+    (:func:`apiary.operators.strategy.spread`); micro-batches pass False and
+    take their parallelism from the source (topic partitions,
+    ``minPartitions``, files) instead of a shuffle per trigger.
     """
     schema = SENSOR_MESSAGE
     if not strict:
         schema = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
-    messages = spread(messages)
+    if spread_narrow:
+        messages = spread(messages)
     key = F.col("key").cast("string") if "key" in messages.columns else F.lit(None).cast("string")
     # The parsed struct comes out of a one-element generator: filters on its
     # fields (reason IS NULL downstream) then stay above it. Without that

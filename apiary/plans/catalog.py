@@ -416,7 +416,9 @@ FEED_FILES = 8
 
 def _run_ingest_stream(spark: SparkSession, sf_dir: str) -> stream_ingest.IngestPaths:
     feed = work_path(spark, "feeds")
-    _messages(spark, sf_dir).select("value").repartition(FEED_FILES).write.text(feed)
+    # The feed is already spread over the task slots: coalescing to the
+    # file count needs no shuffle.
+    _messages(spark, sf_dir).select("value").coalesce(FEED_FILES).write.text(feed)
     paths = stream_ingest.IngestPaths(
         table=work_path(spark, "tables", "sensor_data"),
         quarantine=work_path(spark, "tables", "quarantine"),

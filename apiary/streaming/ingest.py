@@ -63,7 +63,7 @@ def ingest_batch(
     ``on_counts(batch_id, lines, good, quarantined)`` is called with the
     batch's counts (one aggregated row read back), e.g. to print them.
     """
-    parsed = parse_messages(batch).withColumn("batch_id", F.lit(batch_id).cast("long"))
+    parsed = parse_messages(batch, spread_narrow=False).withColumn("batch_id", F.lit(batch_id).cast("long"))
     parsed = parsed.withColumn("batch_seq", F.monotonically_increasing_id())
     parsed = parsed.persist()
     try:
