@@ -26,6 +26,7 @@ costs a recompute from durable files.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -189,3 +190,65 @@ def list_partitions(spark: SparkSession, table_path: str, partition_col: str = "
         for st in fs.listStatus(root)
         if st.isDirectory() and st.getPath().getName().startswith(prefix)
     )
+
+
+def compact_batches(
+    spark: SparkSession,
+    table_path: str,
+    schema,
+    keys: Sequence[str],
+    order_by: Sequence[str],
+    day: str,
+    upto_batch: int,
+    partition_col: str = "bucket_date",
+    batch_col: str = "batch_id",
+) -> int:
+    """Merge one day's batch folders up to ``upto_batch`` while later ones arrive.
+
+    For the day still being written by a stream: the folders of batches
+    ``<= upto_batch`` (all committed) are merged into the folder of the
+    newest of them. Steps, in an order that never hides a row from a reader
+    of the merge-on-read view:
+
+    1. the newest row per key of those folders is written to staging;
+    2. the staged files are moved into the newest folder (readers now see
+       duplicates of identical rows, which the view removes);
+    3. the folder's previous files and the older folders are deleted.
+
+    Returns the number of folders merged away.
+    """
+    jvm, root, fs = _fs(spark, table_path)
+    Path = jvm.org.apache.hadoop.fs.Path
+    day_dir = Path(root, f"{partition_col}={day}")
+    if not fs.exists(day_dir):
+        return 0
+    prefix = batch_col + "="
+    folders = {}
+    for st in fs.listStatus(day_dir):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(prefix) and int(name[len(prefix):]) <= upto_batch:
+            folders[int(name[len(prefix):])] = st.getPath()
+    if len(folders) <= 1:
+        return 0
+    newest = max(folders)
+    target = folders[newest]
+    old_files = [st.getPath() for st in fs.listStatus(target) if st.isFile()]
+    rows = (
+        spark.read.schema(schema)
+        .option("basePath", table_path)
+        .parquet(*[p.toString() for p in folders.values()])
+    )
+    merged = latest_per_key(rows, keys, order_by).drop(partition_col, batch_col)
+    stage = work_path(spark, "staging")
+    merged.write.parquet(stage)
+    tag = uuid.uuid4().hex[:12]
+    for st in fs.listStatus(Path(stage)):
+        name = st.getPath().getName()
+        if st.isFile() and name.endswith(".parquet"):
+            fs.rename(st.getPath(), Path(target, f"compacted-{tag}-{name}"))
+    for f in old_files:
+        fs.delete(f, False)
+    for b, p in folders.items():
+        if b != newest:
+            fs.delete(p, True)
+    return len(folders) - 1

@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from apiary.operators.ingest import parse_messages, quarantined, to_readings
-from apiary.operators.upsert import append_batch, compact_days, read_latest
+from apiary.operators.upsert import append_batch, compact_batches, compact_days, read_latest
 from apiary.sources.messages import message_stream  # noqa: F401  (re-exported)
 from apiary.schemas import READING_KEY, READING_PARTITION
 
@@ -124,21 +124,29 @@ def read_counts(spark: SparkSession, path: str) -> DataFrame:
 
 def read_readings(spark: SparkSession, table: str, where=None) -> DataFrame:
     """The ingested readings, newest per key (merge-on-read)."""
+    return read_latest(spark, table, _stored_schema(), READING_KEY, ORDER_COLUMNS, where)
+
+
+def _stored_schema() -> T.StructType:
     from apiary.sources.tables import STORED_READING
 
-    schema = T.StructType(
+    return T.StructType(
         STORED_READING.fields
         + [T.StructField("batch_id", T.LongType()), T.StructField("batch_seq", T.LongType())]
     )
-    return read_latest(spark, table, schema, READING_KEY, ORDER_COLUMNS, where)
 
 
 def compact(spark: SparkSession, table: str, days) -> None:
     """Merge the batch folders of closed days of the ingested table."""
-    from apiary.sources.tables import STORED_READING
+    compact_days(spark, table, _stored_schema(), READING_KEY, ORDER_COLUMNS, [str(d) for d in days])
 
-    schema = T.StructType(
-        STORED_READING.fields
-        + [T.StructField("batch_id", T.LongType()), T.StructField("batch_seq", T.LongType())]
+
+def compact_today(spark: SparkSession, table: str, day, upto_batch: int) -> int:
+    """Merge the folders of committed batches of the day a stream still writes.
+
+    ``upto_batch`` must be a committed batch id (e.g. the last one reported
+    by the query's progress); later batches keep arriving meanwhile.
+    """
+    return compact_batches(
+        spark, table, _stored_schema(), READING_KEY, ORDER_COLUMNS, str(day), upto_batch
     )
-    compact_days(spark, table, schema, READING_KEY, ORDER_COLUMNS, [str(d) for d in days])

@@ -93,3 +93,18 @@ def test_streaming_window_equals_batch(spark):
     got = sorted(spark.table("win_test").collect())
     want = sorted(windows.windowed(r, "time", "1 hour", keys=["sensor_type"]).collect())
     assert got == want
+
+
+def test_compact_today_keeps_every_row(spark):
+    msgs = tb.sensor_messages(spark, SF_SMALL).select("key", "value")
+    good = ingest.to_readings(ingest.parse_messages(msgs)).select(COLS)
+    paths = _paths(spark)
+    parts = [msgs.where(F.col("key").cast("long") % 3 == i) for i in range(3)]
+    for i, part in enumerate(parts):
+        si.ingest_batch(part, i, paths)
+    day = upsert.list_partitions(spark, paths.table)[5]
+    merged = si.compact_today(spark, paths.table, day, upto_batch=1)
+    assert merged == 1
+    folders = spark.read.parquet(paths.table).where(F.col("bucket_date") == day).select("batch_id").distinct()
+    assert sorted(r.batch_id for r in folders.collect()) == [1, 2]
+    assert sorted(si.read_readings(spark, paths.table).select(COLS).collect()) == sorted(good.collect())
