@@ -56,8 +56,17 @@ def join_daily_topology(
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     salt_buckets: int = 16,
 ) -> DataFrame:
-    """Inner join of readings with an explicit (sensor, day) driving set."""
+    """Inner join of readings with an explicit (sensor, day) driving set.
+
+    A driving set built by ``explode`` carries no filter, so Spark would not
+    add dynamic partition pruning; its first and last day (one aggregate
+    row of the small side) become a literal range on the partition column
+    instead, which prunes the stored table statically.
+    """
+    span = daily.agg(F.min("bucket_date").alias("lo"), F.max("bucket_date").alias("hi")).first()
     recent = readings.select(*columns)
+    if span is not None and span["lo"] is not None:
+        recent = recent.where(F.col("bucket_date").between(F.lit(span["lo"]), F.lit(span["hi"])))
     drive = daily.drop(*[c for c in columns if c not in ("sensor_id", "bucket_date") and c in daily.columns])
     return join_small(
         recent,

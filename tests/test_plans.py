@@ -80,3 +80,17 @@ def test_spread_only_narrow_inputs(spark):
     assert spread(narrow).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     wide = spark.range(0, 100, numPartitions=spark.sparkContext.defaultParallelism * 2)
     assert spread(wide) is wide
+
+
+def test_keyed_join_prunes_partitions(spark):
+    from apiary.operators import topology
+
+    r = tb.readings(spark, SF_SMALL).drop("event_id")
+    path = work_path(spark, "t-plan-keyed")
+    r.write.partitionBy("bucket_date").parquet(path)
+    stored = spark.read.parquet(path)
+    daily = topology.daily_topology(tb.sensors(spark, SF_SMALL), as_of="2024-01-30")
+    df = joins.join_daily_topology(stored, daily)
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket_date" in text and "2024-01-23" in text
+    assert df.count() == catalog.sensor_day_join(spark, SF_SMALL).count()
