@@ -47,7 +47,9 @@ def item_entries(text: Column | str) -> Column:
         F.filter(parts, lambda p: F.length(p) > 0),
         lambda p: F.struct(
             F.substring_index(p, PRICE_SEPARATOR, 1).alias("item"),
-            F.substring_index(p, PRICE_SEPARATOR, -1).cast("double").alias("price"),
+            # try_cast: a price that is no number gives null, not a failed job
+            # (ANSI mode is on by default).
+            F.substring_index(p, PRICE_SEPARATOR, -1).try_cast("double").alias("price"),
         ),
     )
 

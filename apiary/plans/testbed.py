@@ -76,7 +76,7 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def props_k(col: str = "props") -> F.Column:
-    return F.get_json_object(F.col(col), "$.k").cast("int")
+    return F.get_json_object(F.col(col), "$.k").try_cast("int")
 
 
 def sensor_type_of(event_type: F.Column) -> F.Column:

@@ -60,3 +60,9 @@ def test_baskets_sum_repeats(spark):
     assert totals[2] == (5.0, "5.00")
     text = {r.o: r.items_text for r in txn.basket_text(b, "o").collect()}
     assert text[1] == "Item_7->3.30,Item_8->0.01"
+
+
+def test_dirty_price_is_null_not_an_error(spark):
+    df = spark.createDataFrame([("Item_1->abc,Item_2->2.00",)], "s string")
+    entries = df.select(F.explode(item_entries("s")).alias("e")).select("e.*").collect()
+    assert [(e.item, e.price) for e in entries] == [("Item_1", None), ("Item_2", 2.0)]
