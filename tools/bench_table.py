@@ -6,7 +6,7 @@ import json
 import sys
 
 GROUPS = [
-    ("sensor join and per-hive aggregates", ("hive_", "sensor_day_join", "daily_topology", "topology_", "subday_")),
+    ("sensor join and per-hive aggregates", ("hive_count", "hive_average", "hive_filtered", "sensor_day_join", "daily_topology", "topology_", "subday_")),
     ("calendar buckets", ("bucket_",)),
     ("messages: parse, validate, encode", ("parse_", "quarantine_", "pick_", "reading_", "valid_", "readings_", "encode_")),
     ("upsert and streams", ("upsert_", "stream_")),
