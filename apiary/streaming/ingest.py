@@ -22,7 +22,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -34,6 +34,14 @@ from apiary.schemas import READING_KEY, READING_PARTITION
 
 ORDER_COLUMNS = ("batch_id", "batch_seq")
 
+BATCH_COUNTS_ROW = T.StructType(
+    [
+        T.StructField("lines", T.LongType()),
+        T.StructField("good", T.LongType()),
+        T.StructField("quarantined", T.LongType()),
+        T.StructField("batch_id", T.LongType()),
+    ]
+)
 BATCH_COUNTS = T.StructType(
     [
         T.StructField("batch_id", T.LongType()),
@@ -57,41 +65,54 @@ def ingest_batch(
     batch_id: int,
     paths: IngestPaths,
     on_counts: Callable[[int, int, int, int], None] | None = None,
+    strict: bool = False,
 ) -> None:
     """Process one micro-batch (also usable on a plain batch DataFrame).
 
-    ``on_counts(batch_id, lines, good, quarantined)`` is called with the
-    batch's counts (one aggregated row read back), e.g. to print them.
+    The batch's line counts are gathered by an ``Observation`` on the parsed
+    rows while the append job runs, so they cost no job of their own.
+    ``on_counts(batch_id, lines, good, quarantined)`` receives them, e.g. to
+    print them. With ``strict`` the first bad message fails the batch (and
+    the query), and nothing of that batch is written.
     """
-    parsed = parse_messages(batch, spread_narrow=False).withColumn("batch_id", F.lit(batch_id).cast("long"))
-    parsed = parsed.withColumn("batch_seq", F.monotonically_increasing_id())
-    parsed = parsed.persist()
+    spark = batch.sparkSession
+    bid = F.lit(batch_id).cast("long")
+    obs = Observation(f"ingest_{batch_id}")
+    parsed = (
+        parse_messages(batch, strict=strict, spread_narrow=False)
+        .observe(
+            obs,
+            F.count(F.lit(1)).alias("lines"),
+            F.count_if(F.col("reason").isNull()).alias("good"),
+            F.count_if(F.col("reason").isNotNull()).alias("quarantined"),
+        )
+        .withColumn("batch_id", bid)
+        .withColumn("batch_seq", F.monotonically_increasing_id())
+        .persist()
+    )
     try:
-        good = to_readings(parsed, keep=list(ORDER_COLUMNS))
+        good = to_readings(parsed, strict=strict, keep=list(ORDER_COLUMNS))
         append_batch(good, paths.table, READING_PARTITION, "batch_id")
         (
             quarantined(parsed)
-            .withColumn("batch_id", F.lit(batch_id).cast("long"))
+            .withColumn("batch_id", bid)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("batch_id")
             .parquet(paths.quarantine)
         )
-        counts = parsed.agg(
-            F.count("*").alias("lines"),
-            F.count_if(F.col("reason").isNull()).alias("good"),
-            F.count_if(F.col("reason").isNotNull()).alias("quarantined"),
-        ).withColumn("batch_id", F.lit(batch_id).cast("long"))
+        m = obs.get
+        counts = spark.createDataFrame(
+            [(m["lines"], m["good"], m["quarantined"], batch_id)], BATCH_COUNTS_ROW
+        )
         (
-            counts.select("lines", "good", "quarantined", "batch_id")
-            .write.mode("overwrite")
+            counts.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("batch_id")
             .parquet(paths.counts)
         )
         if on_counts is not None:
-            row = counts.first()
-            on_counts(batch_id, row["lines"], row["good"], row["quarantined"])
+            on_counts(batch_id, m["lines"], m["good"], m["quarantined"])
     finally:
         parsed.unpersist()
 
@@ -106,10 +127,13 @@ def start_ingest(
     trigger: dict | None = None,
     query_name: str | None = None,
     on_counts: Callable[[int, int, int, int], None] | None = None,
+    strict: bool = False,
 ) -> StreamingQuery:
     """Start the ingest query; ``trigger`` defaults to 1-second micro-batches."""
     writer = (
-        messages.writeStream.foreachBatch(lambda df, bid: ingest_batch(df, bid, paths, on_counts))
+        messages.writeStream.foreachBatch(
+            lambda df, bid: ingest_batch(df, bid, paths, on_counts, strict)
+        )
         .option("checkpointLocation", paths.checkpoint)
         .trigger(**(trigger or {"processingTime": "1 second"}))
     )

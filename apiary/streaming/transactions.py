@@ -21,7 +21,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -78,27 +78,27 @@ def txn_batch(
     on_counts: Callable[[int, int, int], None] | None = None,
 ) -> None:
     bid = F.lit(batch_id).cast("long")
-    lines = batch.select("value").persist()
+    # Line and transaction counts are observed while the append job runs.
+    seen_lines = Observation(f"txn_lines_{batch_id}")
+    seen_txns = Observation(f"txns_{batch_id}")
+    lines = batch.select("value").observe(seen_lines, F.count(F.lit(1)).alias("n"))
+    txns = (
+        parse_transactions(lines)
+        .observe(seen_txns, F.count(F.lit(1)).alias("n"))
+        .withColumn("batch_id", bid)
+        .withColumn("batch_seq", F.monotonically_increasing_id())
+        .persist()
+    )
     try:
-        txns = (
-            parse_transactions(lines)
-            .withColumn("batch_id", bid)
-            .withColumn("batch_seq", F.monotonically_increasing_id())
-            .persist()
-        )
-        try:
-            append_batch(txns, paths.table, TXN_PARTITION, "batch_id")
-            _overwrite_batch(minute_counts(txns).withColumn("batch_id", bid), paths.minutes)
-            # Two counts over the cached batch: one number each.
-            n_lines, n_txns = lines.count(), txns.count()
-            counts = batch.sparkSession.createDataFrame([(n_lines, n_txns, batch_id)], LINE_COUNTS)
-            _overwrite_batch(counts, paths.counts)
-            if on_counts is not None:
-                on_counts(batch_id, n_lines, n_txns)
-        finally:
-            txns.unpersist()
+        append_batch(txns, paths.table, TXN_PARTITION, "batch_id")
+        _overwrite_batch(minute_counts(txns).withColumn("batch_id", bid), paths.minutes)
+        n_lines, n_txns = seen_lines.get["n"], seen_txns.get["n"]
+        counts = batch.sparkSession.createDataFrame([(n_lines, n_txns, batch_id)], LINE_COUNTS)
+        _overwrite_batch(counts, paths.counts)
+        if on_counts is not None:
+            on_counts(batch_id, n_lines, n_txns)
     finally:
-        lines.unpersist()
+        txns.unpersist()
 
 
 def start_txn_ingest(

@@ -108,3 +108,16 @@ def test_compact_today_keeps_every_row(spark):
     folders = spark.read.parquet(paths.table).where(F.col("bucket_date") == day).select("batch_id").distinct()
     assert sorted(r.batch_id for r in folders.collect()) == [1, 2]
     assert sorted(si.read_readings(spark, paths.table).select(COLS).collect()) == sorted(good.collect())
+
+
+def test_strict_stream_batch_fails_on_a_bad_message(spark):
+    import pytest
+
+    msgs = tb.sensor_messages(spark, SF_SMALL).select("key", "value")
+    records = tb.sensor_records(spark, SF_SMALL).where(F.col("event_type").isin(list(tb.EVENT_SENSOR_TYPES)))
+    clean = ingest.encode_messages(records)
+    paths = _paths(spark)
+    si.ingest_batch(clean, 0, paths, strict=True)
+    assert si.read_readings(spark, paths.table).count() == clean.count()
+    with pytest.raises(Exception):
+        si.ingest_batch(msgs, 1, _paths(spark), strict=True)
