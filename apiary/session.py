@@ -34,18 +34,46 @@ SESSION_CONF: dict[str, str] = {
 }
 
 
+def cluster_conf(total_cores: int) -> dict[str, str]:
+    """Sizing for a large cluster reading tens of terabytes.
+
+    * scan splits of 256 MB: a 100 TB scan is ~400k tasks, each well inside
+      an executor's memory, instead of ~800k tasks of scheduling overhead;
+    * shuffles start at 4 partitions per core and adaptive execution merges
+      them towards 256 MB each, so small stages do not run thousands of
+      empty tasks and large ones do not spill;
+    * a shuffle partition counts as skewed above 5× the median and 512 MB,
+      and is then split (joins) or rebalanced (writes).
+    """
+    return {
+        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.shuffle.partitions": str(4 * total_cores),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(4 * total_cores),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    }
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "apiary",
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
+    cluster_cores: int | None = None,
 ) -> SparkSession:
-    """Create (or fetch) a session with the library's settings applied."""
+    """Create (or fetch) a session with the library's settings applied.
+
+    ``cluster_cores`` (total executor cores) adds :func:`cluster_conf`.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     for key, value in SESSION_CONF.items():
         builder = builder.config(key, value)
+    for key, value in (cluster_conf(cluster_cores) if cluster_cores else {}).items():
+        builder = builder.config(key, value)
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in (extra or {}).items():
