@@ -8,6 +8,11 @@ the batch aggregate once the input is consumed. A batch writes only what it
 emitted, and a replayed batch overwrites its own folder. The watermark
 bounds the state kept for open windows; rows later than the watermark are
 dropped by Spark, so choose the delay from the lateness the feed can have.
+
+The state store's partition count is taken from ``spark.sql.shuffle.partitions``
+when the query first starts and is then fixed by its checkpoint: set it for
+the stream (a few per core the stream uses) before the first start, not to
+the thousands a batch session on a large cluster uses.
 """
 
 from __future__ import annotations
