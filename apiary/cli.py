@@ -5,6 +5,7 @@
     python -m apiary.cli hive-average --readings DIR --sensors DIR [--as-of 2017-01-29] [--days-back 7]
     python -m apiary.cli compact --table DIR [--day 2017-01-29 --upto-batch N]
     python -m apiary.cli expire --table DIR --as-of 2017-04-15 [--days 90]
+    python -m apiary.cli summaries --readings DIR --sensors DIR --out DIR --as-of 2017-01-29 [--days-back 0]
 
 ``--root`` is a shared folder holding the job's tables and checkpoint; a
 restarted ingest resumes from its checkpoint. Settings come from flags with
@@ -120,6 +121,26 @@ def cmd_expire(spark, args) -> None:
     print(f"dropped {len(dropped)} day partitions")
 
 
+def cmd_summaries(spark, args) -> None:
+    """Minute and hour summaries per sensor and per hive for a day range."""
+    import time
+
+    from apiary.operators.joins import in_days
+    from apiary.operators.summaries import hive_summary, rollup_sensor_summary, sensor_summary
+    from apiary.sources.tables import read_sensors, save_hive_summary, save_sensor_summary
+    from apiary.streaming.ingest import read_readings
+
+    run_id = int(time.time())
+    readings = in_days(read_readings(spark, args.readings), args.as_of, args.days_back)
+    minute = sensor_summary(readings, 60, sensors=read_sensors(spark, args.sensors))
+    minute = minute.checkpoint()  # cut lineage: both tables below read it
+    hour = rollup_sensor_summary(minute, 3600)
+    for precision, summary in ((60, minute), (3600, hour)):
+        save_sensor_summary(summary, os.path.join(args.out, "sensor_data_summary"), run_id)
+        save_hive_summary(hive_summary(summary), os.path.join(args.out, "hive_summary"), run_id)
+        print(f"precision {precision}: saved")
+
+
 def parser() -> argparse.ArgumentParser:
     ap = argparse.ArgumentParser(prog="apiary")
     sub = ap.add_subparsers(dest="cmd", required=True)
@@ -147,6 +168,12 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--table", required=True)
     p.add_argument("--day")
     p.add_argument("--upto-batch", type=int)
+    p = sub.add_parser("summaries")
+    p.add_argument("--readings", required=True)
+    p.add_argument("--sensors", required=True)
+    p.add_argument("--out", required=True)
+    p.add_argument("--as-of")
+    p.add_argument("--days-back", type=int, default=0)
     p = sub.add_parser("expire")
     p.add_argument("--table", required=True)
     p.add_argument("--as-of", required=True)
@@ -160,6 +187,7 @@ COMMANDS = {
     "hive-average": cmd_hive_average,
     "compact": cmd_compact,
     "expire": cmd_expire,
+    "summaries": cmd_summaries,
 }
 
 

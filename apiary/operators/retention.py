@@ -53,7 +53,10 @@ def expire(
         name = status.getPath().getName()
         if not status.isDirectory() or not name.startswith(partition_col + "="):
             continue
-        day = dt.date.fromisoformat(name.split("=", 1)[1])
+        try:
+            day = dt.date.fromisoformat(name.split("=", 1)[1])
+        except ValueError:  # e.g. the folder of null partition values
+            continue
         if day < first:
             fs.delete(status.getPath(), True)
             dropped.append(str(day))

@@ -23,3 +23,28 @@ def test_ingest_then_hive_average_then_compact(spark, capsys):
     cli.main(["hive-average", "--readings", f"{root}/sensor_data", "--sensors", sensors, "--as-of", tb.AS_OF], spark)
     again = [ln for ln in capsys.readouterr().out.splitlines() if ln.startswith("Average for hive")]
     assert again == lines
+
+
+def test_summaries_job_is_rerunnable(spark, capsys):
+    from pyspark.sql import functions as F
+
+    from apiary.sources.tables import read_hive_summary, read_sensor_summary
+
+    root = work_path(spark, "t-cli-sum")
+    feed = work_path(spark, "t-cli-sum-feed")
+    tb.sensor_messages(spark, SF_SMALL).select("value").coalesce(1).write.text(feed)
+    cli.main(["ingest", "--kind", "text", "--path", feed, "--root", root, "--available-now"], spark)
+    sensors = work_path(spark, "t-cli-sum-sensors")
+    tb.sensors(spark, SF_SMALL).write.parquet(sensors)
+    out = work_path(spark, "t-cli-sum-out")
+    args = ["summaries", "--readings", f"{root}/sensor_data", "--sensors", sensors, "--out", out,
+            "--as-of", tb.AS_OF, "--days-back", "7"]
+    cli.main(args, spark)
+    first = sorted(read_sensor_summary(spark, f"{out}/sensor_data_summary").drop("run_id").collect())
+    cli.main(args, spark)  # a re-run replaces, it does not add
+    again = sorted(read_sensor_summary(spark, f"{out}/sensor_data_summary").drop("run_id").collect())
+    assert again == first
+    hive = read_hive_summary(spark, f"{out}/hive_summary")
+    total = hive.where(F.col("precision") == 60).agg(F.sum("value_count")).first()[0]
+    assert total == sum(r.value_count for r in first if r.precision == 60)
+    assert {r.precision for r in first} == {60, 3600}
