@@ -321,7 +321,7 @@ def reading_latlong(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("key", latlong("latitude", "longitude").alias("latlong"))
 
 
-_UUID_SQL_PATTERN = UUID_PATTERN
+
 
 
 @query(
@@ -329,7 +329,7 @@ _UUID_SQL_PATTERN = UUID_PATTERN
     sql_with(SQL_REC)
     + f"""
 SELECT key, serial_number,
-       CASE WHEN regexp_matches(lower(trim(serial_number)), '{_UUID_SQL_PATTERN}')
+       CASE WHEN regexp_matches(lower(trim(serial_number)), '{UUID_PATTERN}')
             THEN lower(trim(serial_number)) END AS sensor_id
 FROM (SELECT key, CASE WHEN k = 3 THEN 'abc' WHEN k = 4 THEN upper(sensor_id)
                        WHEN k = 5 THEN substr(sensor_id, 1, 35) WHEN k = 6 THEN ' ' || sensor_id

@@ -40,3 +40,29 @@ def test_replay_is_idempotent(spark):
     first = table(spark, path)
     upsert_partitions(b1, path, ["k", "t"], ["seq"], "d")
     assert table(spark, path) == first
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=8, deadline=None)
+@given(
+    st.lists(
+        st.tuples(st.sampled_from("abc"), st.integers(1, 3), st.integers(0, 50)),
+        min_size=1,
+        max_size=60,
+    )
+)
+def test_latest_per_key_matches_brute_force(spark, rows):
+    # (key, day, seq) with seq unique per key → the newest seq wins
+    seen = {}
+    data = []
+    for i, (k, day, seq) in enumerate(rows):
+        order = seq * 1000 + i
+        data.append((k, day, float(order), order))
+        if (k, day) not in seen or order > seen[(k, day)]:
+            seen[(k, day)] = order
+    df = batch(spark, data)
+    got = {(r.k, r.d.day): r.seq for r in latest_per_key(df.repartition(3), ["k", "t"], ["seq"]).collect()}
+    assert got == seen
