@@ -94,3 +94,26 @@ def test_keyed_join_prunes_partitions(spark):
     text = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(bucket_date" in text and "2024-01-23" in text
     assert df.count() == catalog.sensor_day_join(spark, SF_SMALL).count()
+
+
+def test_bucketed_tables_join_without_exchange(spark):
+    from apiary.operators.aggregate import hive_average
+    from apiary.sources.bucketed import read_bucketed, save_bucketed
+
+    r = tb.readings(spark, SF_SMALL).drop("event_id")
+    s = tb.sensors(spark, SF_SMALL)
+    save_bucketed(r, "t_readings_b", work_path(spark, "t-bucketed"), 4, partition_by=["bucket_date"])
+    save_bucketed(s, "t_sensors_b", work_path(spark, "t-bucketed"), 4)
+    readings, sensors = read_bucketed(spark, "t_readings_b"), read_bucketed(spark, "t_sensors_b")
+    # the large-large path: neither our check nor Spark's size estimate may broadcast
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = joins.sensor_day_join(readings, sensors, as_of="2024-01-30", max_broadcast_rows=1, salt_buckets=1)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        got = sorted(hive_average(joined).collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    want = sorted(catalog.hive_average(spark, SF_SMALL).collect())
+    assert got == want
