@@ -5,6 +5,7 @@ and summed as a 64-bit integer. The result is exact and independent of the
 order rows arrive in, so a re-run, a replay or a different partitioning gives
 the same bits, and the aggregate stays a fixed-width ``HashAggregate`` with a
 map-side partial step. ``scale=None`` sums plain doubles instead.
+Non-finite values (NaN, ±infinity) are skipped by the fixed-point sum.
 """
 
 from __future__ import annotations
@@ -27,7 +28,10 @@ def fixed_sum(value: Column | str, scale: int | None = DEFAULT_SCALE) -> Column:
     if scale is None:
         return F.sum(v)
     factor = 10**scale
-    return F.sum(F.round(v * F.lit(factor)).cast("long")) / F.lit(factor)
+    # A NaN or infinite value (JSON accepts them) is skipped, the same way in
+    # every ANSI setting; a finite value too large for 64 bits still fails.
+    finite = F.when(~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))), v)
+    return F.sum(F.round(finite * F.lit(factor)).cast("long")) / F.lit(factor)
 
 
 def count_sum(

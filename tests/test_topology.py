@@ -95,3 +95,8 @@ def test_fixed_sum_is_order_free(spark):
     a = df.agg(aggregate.fixed_sum("v").alias("s")).first().s
     b = df.repartition(7).agg(aggregate.fixed_sum("v").alias("s")).first().s
     assert a == b == pytest.approx(sum(vals))
+
+
+def test_fixed_sum_skips_non_finite(spark):
+    df = spark.createDataFrame([(1.5,), (float("nan"),), (float("inf"),), (2.25,)], "v double")
+    assert df.agg(aggregate.fixed_sum("v").alias("s")).first().s == 3.75
