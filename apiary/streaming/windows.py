@@ -8,6 +8,9 @@ the batch aggregate once the input is consumed. A batch writes only what it
 emitted, and a replayed batch overwrites its own folder. The watermark
 bounds the state kept for open windows; rows later than the watermark are
 dropped by Spark, so choose the delay from the lateness the feed can have.
+Spark judges each batch's input against the watermark of the batch before
+it, so a row is dropped one batch after the watermark passes its window
+(see ``tests/test_streaming.py``).
 
 The state store's partition count is taken from ``spark.sql.shuffle.partitions``
 when the query first starts and is then fixed by its checkpoint: set it for

@@ -121,3 +121,26 @@ def test_strict_stream_batch_fails_on_a_bad_message(spark):
     assert si.read_readings(spark, paths.table).count() == clean.count()
     with pytest.raises(Exception):
         si.ingest_batch(msgs, 1, _paths(spark), strict=True)
+
+
+def test_window_stream_drops_rows_later_than_the_watermark(spark):
+    import datetime as dt
+
+    from apiary.streaming import windows as sw
+
+    schema = "time timestamp, sensor_type string, value float"
+    feed = work_path(spark, "t-late-feed")
+    first = [(dt.datetime(2024, 1, 1, h, 15), "Temperature", 1.0) for h in (10, 11, 12)]
+    second = [(dt.datetime(2024, 1, 1, 12, 30), "Temperature", 2.0)]
+    third = [(dt.datetime(2024, 1, 1, 9, 30), "Temperature", 5.0), (dt.datetime(2024, 1, 1, 13, 0), "Temperature", 4.0)]
+    for rows in (first, second, third):  # one file per batch, in this order
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(feed)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(feed)
+    table = work_path(spark, "t-late-table")
+    q = sw.start_windowed(stream, "time", "1 hour", table, work_path(spark, "t-late-ck"),
+                          keys=["sensor_type"], delay="1 hour", trigger={"availableNow": True})
+    q.awaitTermination()
+    got = {r.window_start.hour: (r.n, r.total) for r in sw.read_windows(spark, table, ["sensor_type"]).collect()}
+    # Spark judges a batch's input against the watermark of the batch before
+    # it: by the third batch that is 11:15 (12:15 - 1 h), so 09:30 is dropped.
+    assert got == {10: (1, 1.0), 11: (1, 1.0), 12: (2, 3.0), 13: (1, 4.0)}
