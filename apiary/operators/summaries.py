@@ -95,3 +95,30 @@ def hive_summary(summary: DataFrame, scale: int | None = DEFAULT_SCALE) -> DataF
         )
         .select(*HIVE_COLUMNS)
     )
+
+
+def summary_from_windows(
+    windows: DataFrame, precision: int, sensors: DataFrame | None = None
+) -> DataFrame:
+    """Sensor summary rows from per-(sensor, type) window totals of a stream.
+
+    ``windows`` holds ``window_start``, ``sensor_id``, ``sensor_type``, ``n``
+    and ``total`` (e.g. :func:`apiary.streaming.windows.read_windows`); the
+    windows must be ``precision`` seconds long.
+    """
+    _unit(precision)
+    rows = windows.select(
+        "sensor_id",
+        "sensor_type",
+        bucket("window_start", "half_day").alias("bucket_ts"),
+        F.col("window_start").alias("time"),
+        F.col("total").alias("value_sum"),
+        F.col("n").alias("value_count"),
+        F.lit(precision).alias("precision"),
+    )
+    if sensors is not None:
+        rows = join_small(rows, sensors.select("sensor_id", *SENSOR_ATTRS), "sensor_id", "left")
+    for c in SENSOR_ATTRS:
+        if c not in rows.columns:
+            rows = rows.withColumn(c, F.lit(None))
+    return rows.select(*SUMMARY_COLUMNS)

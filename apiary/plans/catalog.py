@@ -486,25 +486,33 @@ STREAM_WINDOW_DELAY = "1 hour"
 def stream_window_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The hourly windows computed by a stream over time-ordered reading files."""
     readings = tb.readings(spark, sf_dir).select("time", "sensor_type", "value")
+    out = _run_windows(spark, readings, "1 hour", ["sensor_type"])
+    return tb.to_ntz(out.select("window_start", "window_end", "sensor_type", "n", "total"))
+
+
+def _time_ordered_feed(spark: SparkSession, readings: DataFrame) -> str:
+    """Write readings as parquet files in event-time order, one week per file."""
     week = bucket("time", "week")
     # the week starts of the data: a handful of values (one per week)
     weeks = sorted(r[0] for r in readings.select(week.alias("w")).distinct().collect())
     feed = work_path(spark, "feeds", "readings")
     for w in weeks:
         readings.where(week == F.lit(w)).coalesce(1).write.mode("append").parquet(feed)
+    return feed
+
+
+def _run_windows(spark: SparkSession, readings: DataFrame, duration: str, keys) -> DataFrame:
+    feed = _time_ordered_feed(spark, readings)
     stream = spark.readStream.schema(readings.schema).option("maxFilesPerTrigger", 1).parquet(feed)
     table = work_path(spark, "tables", "windows")
     q = stream_windows.start_windowed(
-        stream, "time", "1 hour", table, work_path(spark, "checkpoints"),
-        keys=["sensor_type"], delay=STREAM_WINDOW_DELAY, trigger={"availableNow": True},
+        stream, "time", duration, table, work_path(spark, "checkpoints"),
+        keys=keys, delay=STREAM_WINDOW_DELAY, trigger={"availableNow": True},
     )
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    out = stream_windows.read_windows(spark, table, ["sensor_type"]).select(
-        "window_start", "window_end", "sensor_type", "n", "total"
-    )
-    return tb.to_ntz(out)
+    return stream_windows.read_windows(spark, table, keys)
 
 
 @query(
@@ -552,6 +560,15 @@ def sensor_summary_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tb.to_ntz(_sensor_summary(spark, sf_dir, 3600))
 
 
+@query("stream_sensor_summary_minute", sql_with(SQL_READINGS, SQL_SENSORS) + _summary_sql(60))
+def stream_sensor_summary_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The per-sensor minute summary kept by a stream (1-minute windows)."""
+    readings = tb.readings(spark, sf_dir).select("sensor_id", "time", "sensor_type", "value")
+    windows_ = _run_windows(spark, readings, "1 minute", ["sensor_id", "sensor_type"])
+    summary = summaries.summary_from_windows(windows_, 60, sensors=tb.sensors(spark, sf_dir))
+    return tb.to_ntz(summary)
+
+
 @query("summary_rollup", sql_with(SQL_READINGS, SQL_SENSORS) + _summary_sql(3600))
 def summary_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hour summary re-aggregated from the minute summary."""
