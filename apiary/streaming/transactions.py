@@ -126,7 +126,9 @@ def read_transactions(spark: SparkSession, table: str) -> DataFrame:
             T.StructField("batch_id", T.LongType()),
         ]
     )
-    return read_latest(spark, table, schema, TRANSACTION_KEY, ORDER_COLUMNS)
+    # date_text follows from the key's day; as a key it lets a day filter
+    # reach the scan (partition pruning).
+    return read_latest(spark, table, schema, (*TRANSACTION_KEY, TXN_PARTITION), ORDER_COLUMNS)
 
 
 def read_txn_count_min(spark: SparkSession, minutes: str) -> DataFrame:

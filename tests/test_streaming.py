@@ -144,3 +144,17 @@ def test_window_stream_drops_rows_later_than_the_watermark(spark):
     # Spark judges a batch's input against the watermark of the batch before
     # it: by the third batch that is 11:15 (12:15 - 1 h), so 09:30 is dropped.
     assert got == {10: (1, 1.0), 11: (1, 1.0), 12: (2, 3.0), 13: (1, 4.0)}
+
+
+def test_day_filter_on_merge_on_read_view_prunes_partitions(spark):
+    from apiary.operators import joins
+
+    msgs = tb.sensor_messages(spark, SF_SMALL).select("key", "value")
+    paths = _paths(spark)
+    si.ingest_batch(msgs, 0, paths)
+    view = si.read_readings(spark, paths.table)
+    joined = joins.sensor_day_join(view, tb.sensors(spark, SF_SMALL), as_of=tb.AS_OF)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket_date" in plan and "2024-01-23" in plan
+    batch = ingest.to_readings(ingest.parse_messages(msgs))
+    assert joined.count() == joins.sensor_day_join(batch, tb.sensors(spark, SF_SMALL), as_of=tb.AS_OF).count()
