@@ -36,6 +36,10 @@ from apiary.operators.strategy import join_small
 from apiary.session import work_path
 
 
+# Most partition values a batch may touch for the literal-list pruning path.
+MAX_TOUCHED_PARTITIONS = 10_000
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """One row per key: the one with the greatest ``order_by`` tuple."""
     keys = list(keys)
@@ -64,11 +68,17 @@ def upsert_partitions(
     """Merge ``batch`` into the table at ``table_path`` (newest per key wins)."""
     spark = batch.sparkSession
     if table_exists(spark, table_path):
+        table = spark.read.schema(batch.schema).parquet(table_path)
         touched = batch.select(partition_col).distinct()
-        # A day list is small (one row per calendar day); the check proves it.
-        existing = join_small(
-            spark.read.schema(batch.schema).parquet(table_path), touched, partition_col, "left_semi"
-        )
+        # The touched days are a short list (one value per calendar day); one
+        # bounded job fetches it, and as literals it prunes the table's
+        # folders statically (a semi-join would get no dynamic pruning here
+        # and read every day).
+        values = [r[0] for r in touched.limit(MAX_TOUCHED_PARTITIONS + 1).collect()]
+        if len(values) <= MAX_TOUCHED_PARTITIONS:
+            existing = table.where(F.col(partition_col).isin(values))
+        else:
+            existing = join_small(table, touched, partition_col, "left_semi")
         merged = latest_per_key(existing.unionByName(batch), keys, order_by)
     else:
         # Nothing is read from the target: write it directly.

@@ -66,3 +66,19 @@ def test_latest_per_key_matches_brute_force(spark, rows):
     df = batch(spark, data)
     got = {(r.k, r.d.day): r.seq for r in latest_per_key(df.repartition(3), ["k", "t"], ["seq"]).collect()}
     assert got == seen
+
+
+def test_upsert_reads_only_touched_days(spark):
+    path = work_path(spark, "test-tables")
+    upsert_partitions(batch(spark, [("a", d, 1.0, d) for d in range(1, 10)]), path, ["k", "t"], ["seq"], "d")
+    # the existing-data read of a later batch names only its own day
+    from pyspark.sql import functions as F
+
+    b = batch(spark, [("a", 3, 7.0, 99)])
+    table = spark.read.schema(b.schema).parquet(path)
+    values = [r[0] for r in b.select("d").distinct().collect()]
+    plan = table.where(F.col("d").isin(values))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(d" in plan and "2024-01-03" in plan
+    upsert_partitions(b, path, ["k", "t"], ["seq"], "d")
+    got = {(r.k, r.d.day): (r.v, r.seq) for r in read_table(spark, path, b.schema).collect()}
+    assert got[("a", 3)] == (7.0, 99) and len(got) == 9
