@@ -110,7 +110,7 @@ def parse_messages(messages: DataFrame, strict: bool = False, spread_narrow: boo
             "reason", F.lit(None).cast("string")
         )
     reason = (
-        F.when(F.col(CORRUPT).isNotNull(), F.lit(MALFORMED))
+        F.when(F.col(CORRUPT).isNotNull() | F.col("value").isNull(), F.lit(MALFORMED))
         .when(missing, F.lit(MISSING_FIELD))
         .when(sensor_id("serial_number").isNull(), F.lit(BAD_SENSOR_ID))
         .when(~known_sensor_type("sensor_type"), F.lit(BAD_SENSOR_TYPE))

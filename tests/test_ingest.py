@@ -99,3 +99,8 @@ def test_encode_decode_roundtrip(spark):
     a = sorted(readings.drop("bucket_date").collect())
     b = sorted(back.collect())
     assert a == b
+
+
+def test_null_message_is_malformed(spark):
+    df = spark.createDataFrame([("k", None)], "key string, value string")
+    assert ingest.parse_messages(df).select("reason").first().reason == ingest.MALFORMED
