@@ -414,18 +414,28 @@ def upsert_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 FEED_FILES = 8
 
 
-def _run_ingest_stream(spark: SparkSession, sf_dir: str) -> stream_ingest.IngestPaths:
+def _run_ingest_stream(
+    spark: SparkSession, sf_dir: str, by_week: bool = False
+) -> stream_ingest.IngestPaths:
     feed = work_path(spark, "feeds")
-    # The feed is already spread over the task slots: coalescing to the
-    # file count needs no shuffle.
-    _messages(spark, sf_dir).select("value").coalesce(FEED_FILES).write.text(feed)
+    msgs = tb.sensor_messages(spark, sf_dir)
+    if by_week:
+        # One file per week, written in time order: micro-batch i is week i.
+        week = bucket("event_ts", "week")
+        weeks = sorted(r[0] for r in msgs.select(week.alias("w")).distinct().collect())
+        for w in weeks:
+            msgs.where(week == F.lit(w)).select("value").coalesce(1).write.mode("append").text(feed)
+    else:
+        # The feed is already spread over the task slots: coalescing to the
+        # file count needs no shuffle.
+        msgs.select("value").coalesce(FEED_FILES).write.text(feed)
     paths = stream_ingest.IngestPaths(
         table=work_path(spark, "tables", "sensor_data"),
         quarantine=work_path(spark, "tables", "quarantine"),
         counts=work_path(spark, "tables", "batch_counts"),
         checkpoint=work_path(spark, "checkpoints"),
     )
-    stream = stream_ingest.message_stream(spark, "text", feed, max_files_per_trigger=2)
+    stream = stream_ingest.message_stream(spark, "text", feed, max_files_per_trigger=1 if by_week else 2)
     q = stream_ingest.start_ingest(stream, paths, trigger={"availableNow": True})
     q.awaitTermination()
     if q.exception() is not None:
@@ -450,9 +460,26 @@ def stream_ingest_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tb.to_ntz(stream_ingest.read_readings(spark, paths.table).select(*STORED_COLUMNS))
 
 
-@query("stream_batch_counts")
+@query(
+    "stream_batch_counts",
+    sql_with(SQL_REC)
+    + """
+, w AS (
+  SELECT date_trunc('week', ts) AS wk,
+         CASE WHEN event_type = 'error' OR k = 1 THEN 'malformed'
+              WHEN k = 2 THEN 'missing_field'
+              WHEN k = 3 THEN 'bad_sensor_id'
+              WHEN event_type = 'signup' THEN 'bad_sensor_type' END AS reason
+  FROM rec)
+SELECT CAST(dense_rank() OVER (ORDER BY wk) - 1 AS BIGINT) AS batch_id,
+       CAST(count(*) AS BIGINT) AS lines,
+       CAST(count_if(reason IS NULL) AS BIGINT) AS good,
+       CAST(count_if(reason IS NOT NULL) AS BIGINT) AS quarantined
+FROM w GROUP BY wk""",
+)
 def stream_batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    paths = _run_ingest_stream(spark, sf_dir)
+    """Lines, stored and quarantined messages of each micro-batch (one week each)."""
+    paths = _run_ingest_stream(spark, sf_dir, by_week=True)
     return stream_ingest.read_counts(spark, paths.counts)
 
 

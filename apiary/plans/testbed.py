@@ -99,6 +99,7 @@ def sensor_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").cast("string").alias("key"),
         F.col("event_type"),
         k.alias("k"),
+        F.col("ts").cast("timestamp").alias("event_ts"),
         uuid_of(F.col("user_id")).alias("serial_number"),
         F.col("ts").cast("timestamp").alias("sensor_snapshot"),
         F.floor(F.col("c_acctbal") / 1000).cast("int").alias("floor"),
@@ -118,7 +119,10 @@ def sensor_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sensor_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(key, value) JSON messages, one per event, with data-driven faults.
+    """(key, value, event_ts) JSON messages, one per event, with data-driven faults.
+
+    ``event_ts`` is the event's instant, kept beside the text (a broken
+    message has none inside) so feeds can be written in time order.
 
     * ``error`` events: the text is cut in half (broken JSON);
     * ``k = 1``: ``floor`` is text (wrong type);
@@ -135,7 +139,7 @@ def sensor_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "serial_number", F.when(F.col("k") == 3, F.lit("abc")).otherwise(F.col("serial_number"))
     )
     extra = F.when(F.col("event_type") == "purchase", F.lit("fw-2"))
-    msg = encode_messages(r, keep=("key", "k", "event_type"), extra={"firmware": extra})
+    msg = encode_messages(r, keep=("key", "k", "event_type", "event_ts"), extra={"firmware": extra})
     text = F.col("value")
     text = F.when(
         F.col("k") == 1, F.regexp_replace(text, '"floor":(-?[0-9]+)', '"floor":"x$1"')
@@ -143,7 +147,7 @@ def sensor_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.when(
         F.col("event_type") == "error", F.substring(text, 1, (F.length(text) / 2).cast("int"))
     ).otherwise(text)
-    return msg.select("key", text.alias("value"))
+    return msg.select("key", text.alias("value"), "event_ts")
 
 
 def transactions_input(spark: SparkSession, sf_dir: str) -> DataFrame:
