@@ -19,7 +19,7 @@ import datetime as dt
 import os
 from collections.abc import Sequence
 
-from apiary.session import build_session
+from apiary.session import build_session, work_root
 
 
 def _ingest_paths(root: str):
@@ -133,6 +133,7 @@ def cmd_summaries(spark, args) -> None:
     run_id = int(time.time())
     readings = in_days(read_readings(spark, args.readings), args.as_of, args.days_back)
     minute = sensor_summary(readings, 60, sensors=read_sensors(spark, args.sensors))
+    work_root(spark)  # the RDD checkpoint folder: the cluster's, or a local one when unset
     minute = minute.checkpoint()  # cut lineage: both tables below read it
     hour = rollup_sensor_summary(minute, 3600)
     for precision, summary in ((60, minute), (3600, hour)):

@@ -102,6 +102,8 @@ def work_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None)
     if root:
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(root)
         return root
     app = sc.applicationId
     if app not in _LOCAL_ROOTS:
