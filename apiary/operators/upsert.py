@@ -160,11 +160,10 @@ def compact_days(
     """Merge the batch folders of closed ``days`` into one folder per day.
 
     The newest row per key is written to a staging table under the shared
-    work folder; then each day folder is replaced by its staged copy (one
-    delete and one rename per day). The compacted folder carries the day's
-    largest batch id, so later batches still win. Run it on days no stream
-    writes any more; a reader sees every key throughout, as the merge-on-read
-    view removes the duplicates a reader may meet during the swap.
+    work folder; then, day by day, the merged files are moved into the
+    folder of the day's largest batch id (so later batches still win) and
+    only after that are the day's previous files deleted. Run it on days no
+    stream writes any more.
     """
     if not days:
         return
@@ -178,15 +177,33 @@ def compact_days(
     stage = work_path(spark, "staging")
     latest.hint("rebalance", partition_col).write.partitionBy(partition_col, batch_col).parquet(stage)
     jvm, root, fs = _fs(spark, table_path)
-    staged_root = jvm.org.apache.hadoop.fs.Path(stage)
-    for status in fs.listStatus(staged_root):
-        name = status.getPath().getName()
-        if not status.isDirectory() or not name.startswith(partition_col + "="):
+    Path = jvm.org.apache.hadoop.fs.Path
+    tag = uuid.uuid4().hex[:12]
+    for day_status in fs.listStatus(Path(stage)):
+        day_name = day_status.getPath().getName()
+        if not day_status.isDirectory() or not day_name.startswith(partition_col + "="):
             continue
-        target = jvm.org.apache.hadoop.fs.Path(root, name)
-        if fs.exists(target):
-            fs.delete(target, True)
-        fs.rename(status.getPath(), target)
+        day_dir = Path(root, day_name)
+        # 1. list what the day holds now; 2. move the merged files in;
+        # 3. delete what was listed. A reader (or a crash) at any point sees
+        # every row, at worst twice, which the merge-on-read view removes.
+        old_files = []
+        if fs.exists(day_dir):
+            files = fs.listFiles(day_dir, True)
+            while files.hasNext():
+                old_files.append(files.next().getPath())
+        for batch_status in fs.listStatus(day_status.getPath()):
+            target = Path(day_dir, batch_status.getPath().getName())
+            fs.mkdirs(target)
+            for st in fs.listStatus(batch_status.getPath()):
+                name = st.getPath().getName()
+                if st.isFile() and name.endswith(".parquet"):
+                    fs.rename(st.getPath(), Path(target, f"compacted-{tag}-{name}"))
+        for f in old_files:
+            fs.delete(f, False)
+        for st in fs.listStatus(day_dir):
+            if st.isDirectory() and len(fs.listStatus(st.getPath())) == 0:
+                fs.delete(st.getPath(), True)
 
 
 def list_partitions(spark: SparkSession, table_path: str, partition_col: str = "bucket_date") -> list[str]:
