@@ -100,3 +100,32 @@ def test_fixed_sum_is_order_free(spark):
 def test_fixed_sum_skips_non_finite(spark):
     df = spark.createDataFrame([(1.5,), (float("nan"),), (float("inf"),), (2.25,)], "v double")
     assert df.agg(aggregate.fixed_sum("v").alias("s")).first().s == 3.75
+
+
+def test_salted_join_with_a_hot_sensor_keeps_every_row(spark, sensors):
+    from pyspark.sql import functions as F
+
+    hot = SENSORS[0][0]
+    others = [s[0] for s in SENSORS[1:]]
+    n = 30_000
+    # a third of all readings belong to one sensor
+    r = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(hot))
+        .otherwise(F.element_at(F.array(*[F.lit(o) for o in others]), (F.col("id") % 2 + 1).cast("int")))
+        .alias("sensor_id"),
+        (F.lit("2017-01-29 00:00:00").cast("timestamp") + F.make_interval(secs=F.col("id") % 86400)).alias("time"),
+        F.lit("Temperature").alias("sensor_type"),
+        (F.col("id") % 100).cast("float").alias("value"),
+    ).select("sensor_id", F.date_trunc("day", "time").alias("bucket_ts"), "time", "sensor_type", "value",
+             F.to_date("time").alias("bucket_date"))
+    salted = joins.sensor_day_join(r, sensors, as_of="2017-01-29", max_broadcast_rows=1, salt_buckets=8)
+    plain = joins.sensor_day_join(r, sensors, as_of="2017-01-29")
+    assert salted.count() == plain.count() == n
+    a = {x.hive: (x.n, x.total) for x in aggregate.hive_count_sum(salted).collect()}
+    b = {x.hive: (x.n, x.total) for x in aggregate.hive_count_sum(plain).collect()}
+    assert a == b
+    # the hot sensor's rows are spread over several salts
+    salts = r.where(F.col("sensor_id") == hot).select(
+        F.pmod(F.xxhash64(*[F.col(c) for c in r.columns]), F.lit(8)).alias("s")
+    ).distinct().count()
+    assert salts == 8
