@@ -64,8 +64,12 @@ def upsert_partitions(
     keys: Sequence[str],
     order_by: Sequence[str],
     partition_col: str = "bucket_date",
-) -> None:
-    """Merge ``batch`` into the table at ``table_path`` (newest per key wins)."""
+) -> str | None:
+    """Merge ``batch`` into the table at ``table_path`` (newest per key wins).
+
+    Returns the staging folder of the merge (None for a first load, which is
+    written directly); see :func:`overwrite_from_stage`.
+    """
     spark = batch.sparkSession
     if table_exists(spark, table_path):
         table = spark.read.schema(batch.schema).parquet(table_path)
@@ -91,14 +95,27 @@ def upsert_partitions(
             .partitionBy(partition_col)
             .parquet(table_path)
         )
-        return
+        return None
     stage = work_path(spark, "staging")
     # Rebalance by day before the partitioned write: few files per day, and
     # adaptive execution splits a day holding a large share of the rows.
     merged.hint("rebalance", partition_col).write.partitionBy(partition_col).parquet(stage)
-    staged = spark.read.schema(merged.schema).parquet(stage)
+    overwrite_from_stage(spark, stage, table_path, batch.schema, partition_col)
+    return stage
+
+
+def overwrite_from_stage(
+    spark: SparkSession, stage: str, table_path: str, schema, partition_col: str = "bucket_date"
+) -> None:
+    """Replace the table's partitions present in ``stage`` by the staged ones.
+
+    The last step of :func:`upsert_partitions`. The staged merge is durable,
+    so if a job dies while this overwrite commits, calling this again with
+    the same stage restores every touched partition.
+    """
+    staged = spark.read.schema(schema).parquet(stage)
     (
-        staged.select(*batch.columns)
+        staged.select(*schema.fieldNames())
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition_col)

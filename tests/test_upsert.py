@@ -82,3 +82,19 @@ def test_upsert_reads_only_touched_days(spark):
     upsert_partitions(b, path, ["k", "t"], ["seq"], "d")
     got = {(r.k, r.d.day): (r.v, r.seq) for r in read_table(spark, path, b.schema).collect()}
     assert got[("a", 3)] == (7.0, 99) and len(got) == 9
+
+
+
+def test_interrupted_overwrite_is_restored_from_the_stage(spark):
+    import shutil
+
+    from apiary.operators.upsert import overwrite_from_stage
+
+    path = work_path(spark, "test-tables")
+    upsert_partitions(batch(spark, [("a", 1, 1.0, 1), ("b", 2, 2.0, 2)]), path, ["k", "t"], ["seq"], "d")
+    b = batch(spark, [("a", 1, 5.0, 9)])
+    stage = upsert_partitions(b, path, ["k", "t"], ["seq"], "d")
+    # a commit that died half-way: the touched day's folder is gone
+    shutil.rmtree(f"{path}/d=2024-01-01")
+    overwrite_from_stage(spark, stage, path, b.schema, "d")
+    assert table(spark, path) == {("a", 1): (5.0, 9), ("b", 2): (2.0, 2)}
