@@ -60,6 +60,8 @@ def test_no_python_in_any_query(spark):
             continue
         plan = fn(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan, name
+        # no cross joins anywhere: every join has an equality key
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
 
 
 def test_fallback_join_shuffles_and_salts(spark):
