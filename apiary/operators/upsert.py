@@ -242,9 +242,9 @@ def compact_batches(
     schema,
     keys: Sequence[str],
     order_by: Sequence[str],
-    day: str,
+    day: str | None,
     upto_batch: int,
-    partition_col: str = "bucket_date",
+    partition_col: str | None = "bucket_date",
     batch_col: str = "batch_id",
 ) -> int:
     """Merge one day's batch folders up to ``upto_batch`` while later ones arrive.
@@ -263,7 +263,8 @@ def compact_batches(
     """
     jvm, root, fs = _fs(spark, table_path)
     Path = jvm.org.apache.hadoop.fs.Path
-    day_dir = Path(root, f"{partition_col}={day}")
+    # day=None: the table has batch folders only (no day level)
+    day_dir = root if day is None else Path(root, f"{partition_col}={day}")
     if not fs.exists(day_dir):
         return 0
     prefix = batch_col + "="
@@ -282,7 +283,7 @@ def compact_batches(
         .option("basePath", table_path)
         .parquet(*[p.toString() for p in folders.values()])
     )
-    merged = latest_per_key(rows, keys, order_by).drop(partition_col, batch_col)
+    merged = latest_per_key(rows, keys, order_by).drop(*[c for c in (partition_col, batch_col) if c])
     stage = work_path(spark, "staging")
     merged.write.parquet(stage)
     tag = uuid.uuid4().hex[:12]

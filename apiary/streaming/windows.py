@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from apiary.operators.upsert import latest_per_key
+from apiary.operators.upsert import compact_batches, latest_per_key
 from apiary.operators.windows import windowed, with_watermark
 
 
@@ -53,10 +53,22 @@ def start_windowed(
     keys: Sequence[str] = (),
     delay: str = "1 hour",
     trigger: dict | None = None,
+    output_mode: str = "update",
 ) -> StreamingQuery:
+    """Start the windowed aggregate.
+
+    ``output_mode="update"`` writes live totals: a window is written again
+    in every batch that changes it (compact with :func:`compact_windows`).
+    ``"append"`` writes each window once, final, after the watermark has
+    passed its end: no repeats, at the latency of the watermark delay (a
+    finite input keeps its last windows open until more data moves the
+    watermark).
+    """
+    if output_mode not in ("update", "append"):
+        raise ValueError("output_mode must be 'update' or 'append'")
     agg = windowed(with_watermark(stream, time_col, delay), time_col, duration, slide, keys)
     return (
-        agg.writeStream.outputMode("update")
+        agg.writeStream.outputMode(output_mode)
         .foreachBatch(_append_windows(table))
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "1 second"}))
@@ -68,3 +80,12 @@ def read_windows(spark: SparkSession, table: str, keys: Sequence[str] = ()) -> D
     """Current total of every window: its newest emission."""
     rows = spark.read.parquet(table)
     return latest_per_key(rows, ["window_start", "window_end", *keys], ["batch_id"]).drop("batch_id")
+
+
+def compact_windows(spark: SparkSession, table: str, keys: Sequence[str], upto_batch: int) -> int:
+    """Merge the batch folders up to a committed batch: one row per window."""
+    rows = spark.read.parquet(table)
+    return compact_batches(
+        spark, table, rows.schema, ["window_start", "window_end", *keys], ["batch_id"],
+        None, upto_batch, partition_col=None,
+    )

@@ -158,3 +158,36 @@ def test_day_filter_on_merge_on_read_view_prunes_partitions(spark):
     assert "PartitionFilters: [isnotnull(bucket_date" in plan and "2024-01-23" in plan
     batch = ingest.to_readings(ingest.parse_messages(msgs))
     assert joined.count() == joins.sensor_day_join(batch, tb.sensors(spark, SF_SMALL), as_of=tb.AS_OF).count()
+
+
+
+def test_window_stream_append_mode_and_compaction(spark):
+    import datetime as dt
+
+    from apiary.streaming import windows as sw
+
+    schema = "time timestamp, sensor_type string, value float"
+    feed = work_path(spark, "t-append-feed")
+    days = [[(dt.datetime(2024, 1, d, h, 10), "T", 1.0) for h in range(0, 24, 6)] for d in (1, 2, 3)]
+    for rows in days:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(feed)
+    # update mode, then compaction of the repeated emissions
+    table = work_path(spark, "t-upd")
+    q = sw.start_windowed(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(feed),
+                          "time", "1 day", table, work_path(spark, "t-upd-ck"), keys=["sensor_type"],
+                          delay="1 hour", trigger={"availableNow": True})
+    q.awaitTermination()
+    before = sorted(sw.read_windows(spark, table, ["sensor_type"]).collect())
+    merged = sw.compact_windows(spark, table, ["sensor_type"], upto_batch=10**9)
+    assert merged >= 1
+    assert sorted(sw.read_windows(spark, table, ["sensor_type"]).collect()) == before
+    assert spark.read.parquet(table).count() == len(before) == 3
+    # append mode: closed windows only, each once (the last day stays open)
+    table2 = work_path(spark, "t-app")
+    q = sw.start_windowed(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(feed),
+                          "time", "1 day", table2, work_path(spark, "t-app-ck"), keys=["sensor_type"],
+                          delay="1 hour", trigger={"availableNow": True}, output_mode="append")
+    q.awaitTermination()
+    raw = spark.read.parquet(table2)
+    assert raw.count() == raw.select("window_start").distinct().count()
+    assert {r.window_start.day for r in raw.collect()} <= {1, 2}
