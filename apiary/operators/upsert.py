@@ -184,7 +184,8 @@ def compact_days(
     """
     if not days:
         return
-    day_lit = [F.lit(d).cast("date") for d in days]
+    day_type = schema[partition_col].dataType  # date, or text such as date_text
+    day_lit = [F.lit(d).cast(day_type) for d in days]
     rows = spark.read.schema(schema).parquet(table_path).where(F.col(partition_col).isin(day_lit))
     latest = latest_per_key(rows, keys, order_by)
     newest = latest.groupBy(partition_col).agg(F.max(batch_col).alias("_newest"))

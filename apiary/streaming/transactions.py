@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from apiary.operators.transactions import minute_counts, parse_transactions, with_hour_figures
-from apiary.operators.upsert import append_batch, read_latest
+from apiary.operators.upsert import append_batch, compact_days, read_latest
 from apiary.schemas import TRANSACTION, TRANSACTION_KEY
 
 ORDER_COLUMNS = ("batch_id", "batch_seq")
@@ -116,9 +116,8 @@ def start_txn_ingest(
     )
 
 
-def read_transactions(spark: SparkSession, table: str) -> DataFrame:
-    """Stored transactions, newest per key (merge-on-read)."""
-    schema = T.StructType(
+def _stored_schema() -> T.StructType:
+    return T.StructType(
         [f for f in TRANSACTION.fields if f.name != TXN_PARTITION]
         + [
             T.StructField("batch_seq", T.LongType()),
@@ -126,9 +125,21 @@ def read_transactions(spark: SparkSession, table: str) -> DataFrame:
             T.StructField("batch_id", T.LongType()),
         ]
     )
+
+
+def read_transactions(spark: SparkSession, table: str) -> DataFrame:
+    """Stored transactions, newest per key (merge-on-read)."""
     # date_text follows from the key's day; as a key it lets a day filter
     # reach the scan (partition pruning).
-    return read_latest(spark, table, schema, (*TRANSACTION_KEY, TXN_PARTITION), ORDER_COLUMNS)
+    return read_latest(spark, table, _stored_schema(), (*TRANSACTION_KEY, TXN_PARTITION), ORDER_COLUMNS)
+
+
+def compact_transactions(spark: SparkSession, table: str, days) -> None:
+    """Merge the batch folders of closed days (``date_text`` values)."""
+    compact_days(
+        spark, table, _stored_schema(), TRANSACTION_KEY, ORDER_COLUMNS, [str(d) for d in days],
+        partition_col=TXN_PARTITION,
+    )
 
 
 def read_txn_count_min(spark: SparkSession, minutes: str) -> DataFrame:

@@ -191,3 +191,21 @@ def test_window_stream_append_mode_and_compaction(spark):
     raw = spark.read.parquet(table2)
     assert raw.count() == raw.select("window_start").distinct().count()
     assert {r.window_start.day for r in raw.collect()} <= {1, 2}
+
+
+def test_transaction_stream_compaction_keeps_rows(spark):
+    from apiary.operators import transactions as txn
+    from apiary.streaming import transactions as st
+
+    msgs = txn.encode_transactions(tb.transactions_input(spark, SF_SMALL))
+    paths = st.TxnPaths(table=work_path(spark, "t-txn"), minutes=work_path(spark, "t-txn-min"),
+                        counts=work_path(spark, "t-txn-lines"), checkpoint=work_path(spark, "t-txn-ck"))
+    halves = [msgs.where(F.pmod(F.xxhash64("value"), F.lit(2)) == i) for i in (0, 1)]
+    for i, part in enumerate(halves):
+        st.txn_batch(part, i, paths)
+    before = sorted(st.read_transactions(spark, paths.table).drop("batch_id", "batch_seq").collect())
+    days = upsert.list_partitions(spark, paths.table, "date_text")
+    st.compact_transactions(spark, paths.table, days)
+    after = sorted(st.read_transactions(spark, paths.table).drop("batch_id", "batch_seq").collect())
+    assert after == before and len(before) == msgs.count()
+    assert spark.read.parquet(paths.table).select("date_text", "batch_id").distinct().count() == len(days)
