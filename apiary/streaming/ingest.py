@@ -19,6 +19,7 @@ committed batch.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -77,7 +78,7 @@ def ingest_batch(
     """
     spark = batch.sparkSession
     bid = F.lit(batch_id).cast("long")
-    obs = Observation(f"ingest_{batch_id}")
+    obs = Observation(f"ingest_{batch_id}_{uuid.uuid4().hex[:8]}")
     parsed = (
         parse_messages(batch, strict=strict, spread_narrow=False)
         .observe(

@@ -18,6 +18,7 @@ figures, which is exact and needs no streaming state.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -79,8 +80,8 @@ def txn_batch(
 ) -> None:
     bid = F.lit(batch_id).cast("long")
     # Line and transaction counts are observed while the append job runs.
-    seen_lines = Observation(f"txn_lines_{batch_id}")
-    seen_txns = Observation(f"txns_{batch_id}")
+    seen_lines = Observation(f"txn_lines_{batch_id}_{uuid.uuid4().hex[:8]}")
+    seen_txns = Observation(f"txns_{batch_id}_{uuid.uuid4().hex[:8]}")
     lines = batch.select("value").observe(seen_lines, F.count(F.lit(1)).alias("n"))
     txns = (
         parse_transactions(lines)
