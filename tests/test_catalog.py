@@ -9,6 +9,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
+from apiary.plans import catalog
 from conftest import SF_SMALL
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -49,7 +50,7 @@ def test_entry_smoke(spark):
     assert df.columns == ["hive", "n", "total", "average"]
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(catalog.ORACLE))
 def test_query_matches_oracle(spark, duck, name):
     got = entry.queries()[name](spark, SF_SMALL).toPandas()
     want = duck.sql(entry.oracle_sql()[name]).df()
@@ -58,4 +59,4 @@ def test_query_matches_oracle(spark, duck, name):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalog.QUERIES) == set(catalog.ORACLE)
