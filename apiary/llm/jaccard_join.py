@@ -5,8 +5,8 @@ A-Z lower-cased; fewer words: the whole sequence as one). Equal sets are one
 class, so copies are never compared.
 
 1. Global order: rare shingles first. How often a shingle occurs is read from a
-   sketch of ``CELLS`` counters over all documents (a fixed size, so it can be
-   broadcast at any scale); ties go by hash. Any fixed order gives the same
+   sketch of ``CELLS`` counters over all documents (a fixed size, so every task
+   can hold it at any scale); ties go by hash. Any fixed order gives the same
    links; this one keeps common passages out of the prefixes.
 2. Two sets with Jaccard ``num/den`` or more share a shingle of their prefixes, the
    first ``size - ceil(size * num / den) + 1`` in order. Classes that share one, in
@@ -16,8 +16,10 @@ class, so copies are never compared.
    of shingles shared with every other member are kept per node and reused by
    all sets below it; a subtree whose counts plus remaining lengths cannot
    reach the threshold for any member is left out. This is done twice: over
-   the prefixes alone, which leaves only classes with a possible partner, then
-   over whole sets, which decides exactly.
+   the prefixes alone (half hashes, so equal ones may be one too many, never one
+   too few), which leaves groups of classes with a possible partner; then over
+   the whole sets of each such group, which decides exactly. Whole texts travel
+   for these classes only, once each.
 4. Links, as stars of each block's groups, are joined into components by
    min-label rounds (large-star, small-star), each written to the shared folder.
 
@@ -34,6 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,10 +45,11 @@ from apiary.llm.words import BASE_WORD, U64, Words, batches_of_bytes, mix, run_h
 
 SHINGLE = 3
 NUM, DEN = 9, 10
-CELL_BITS = 17
+CELL_BITS = 20
 CELLS = 1 << CELL_BITS
 CHUNK = 1024
 STEP = 64
+PART = 1 << 16
 
 
 def _raw_shingles(texts, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -72,11 +76,25 @@ def shingle_sets(texts, n: int) -> Iterator[np.ndarray]:
 
 
 def _cells(h: np.ndarray) -> np.ndarray:
-    return (h >> U64(64 - CELL_BITS)).astype(np.int64)
+    """Sketch cell of whole (64-bit) or half (32-bit) hashes: their leading bits."""
+    return (h >> h.dtype.type(8 * h.dtype.itemsize - CELL_BITS)).astype(np.int64)
+
+
+def _add_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums the counters of each part of the sketch, one batch at a time."""
+    total: dict[int, np.ndarray] = {}
+    unsqueeze = zstandard.ZstdDecompressor().decompress
+    for batch in batches:
+        for part, packed in zip(batch.column("part").to_pylist(), batch.column("packed").to_pylist(), strict=True):
+            counts = np.frombuffer(unsqueeze(packed), dtype=np.int64)
+            total[part] = total[part] + counts if part in total else counts
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(list(total), pa.int32()), pa.array([c.tobytes() for c in total.values()], pa.binary())], ["part", "packed"]
+    )
 
 
 def occurrences(docs: DataFrame, n: int, text_col: str) -> np.ndarray:
-    """The sketch: occurrences of shingles by cell, over all documents (CELLS numbers)."""
+    """The sketch: rank of each cell by the occurrences of its shingles in all documents (CELLS numbers)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(CELLS, dtype=np.int64)
@@ -84,14 +102,17 @@ def occurrences(docs: DataFrame, n: int, text_col: str) -> np.ndarray:
             texts = batch.column("_text").to_pylist()
             for a, b in batches_of_bytes(texts):
                 counts += np.bincount(_cells(_raw_shingles(texts[a:b], n)[0]), minlength=CELLS)
-        cell = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int64()), pa.array(counts[cell], pa.int64())], ["cell", "n"])
+        squeeze = zstandard.ZstdCompressor(level=1).compress
+        parts = range(CELLS // PART)
+        packed = [squeeze(counts[k * PART : (k + 1) * PART].tobytes()) for k in parts]
+        yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(packed, pa.binary())], ["part", "packed"])
 
-    rows = docs.select(text_bytes(text_col).alias("_text")).mapInArrow(run, "cell long, n long")
-    found = rows.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    rows = docs.select(text_bytes(text_col).alias("_text")).mapInArrow(run, "part int, packed binary")
+    found = rows.repartition(CELLS // PART, "part").mapInArrow(_add_parts, "part int, packed binary").collect()
     out = np.zeros(CELLS, dtype=np.int64)
-    out[found["cell"].to_numpy()] = found["n"].to_numpy()
-    return out
+    for part, packed in found:
+        out[part * PART : (part + 1) * PART] = np.frombuffer(packed, dtype=np.int64)
+    return np.unique(out, return_inverse=True)[1].astype(np.int32)
 
 
 def ordered(s: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -99,6 +120,15 @@ def ordered(s: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return s[np.argsort(counts[_cells(s)], kind="stable")]
 
 
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    squeeze = zstandard.ZstdCompressor(level=3).compress
+    for batch in batches:
+        packed = [squeeze(t or b"") for t in batch.column("_text").to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("_id"), batch.column("_hash"), pa.array(packed, pa.binary())], ["_id", "_hash", "_tokens"]
+        )
+
+
 def _describe(counts: np.ndarray, n: int, num: int, den: int):
     """Per document: class (hash of the set), size, prefix."""
 
@@ -113,15 +143,16 @@ def _describe(counts: np.ndarray, n: int, num: int, den: int):
                     sizes.append(size)
                     # A set that no set of another size can reach links with equal sets only.
                     if size * den < (size + 1) * num and (size - 1) * den < size * num:
-                        prefixes.append(np.zeros(0, np.int64))
+                        prefixes.append(np.zeros(0, np.int32))
                     else:
-                        prefixes.append(ordered(s, counts)[: size - -(-size * num // den) + 1].view(np.int64))
+                        prefix = ordered(s, counts)[: size - -(-size * num // den) + 1]
+                        prefixes.append((prefix >> U64(32)).astype(np.uint32).view(np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [
                         *(batch.column(c).slice(a, b - a) for c in ("_row", "_id", "_hash")),
                         pa.array(classes, pa.int64()),
                         pa.array(sizes, pa.int64()),
-                        pa.array(prefixes, pa.list_(pa.int64())),
+                        pa.array(prefixes, pa.list_(pa.int32())),
                     ],
                     ["_row", "_id", "_hash", "_class", "_size", "_prefix"],
                 )
@@ -129,21 +160,6 @@ def _describe(counts: np.ndarray, n: int, num: int, den: int):
     return run
 
 
-def _sets(counts: np.ndarray, n: int):
-    """The whole ordered set of each chosen document."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column("_text").to_pylist()
-            for a, b in batches_of_bytes(texts):
-                sets = [ordered(s, counts).view(np.int64) for s in shingle_sets(texts[a:b], n)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("_class").slice(a, b - a), pa.array(sets, pa.list_(pa.int64()))], ["_class", "_tokens"]
-                )
-
-    return run
-
-
 class Trie:
     """Ordered token sequences (whole sets, or their prefixes) of one block, walked as a trie."""
 
@@ -151,7 +167,7 @@ class Trie:
         self.sizes, self.num, self.den = sizes, num, den
         flat = np.concatenate(tokens)
         distinct = np.unique(flat)
-        by_order = np.lexsort((distinct, counts[_cells(distinct)]))
+        by_order = np.argsort(counts[_cells(distinct)], kind="stable")
         rank = np.empty(len(distinct), dtype=np.int64)
         rank[by_order] = np.arange(len(distinct))
         ranks = rank[np.searchsorted(distinct, flat)]
@@ -256,51 +272,46 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, pa.Table
         yield key, pa.Table.from_batches(held)
 
 
-def _join_blocks(counts: np.ndarray, num: int, den: int, links: bool):
-    """Per block: members with a possible partner, or links as stars."""
+def _tokens(column: pa.ChunkedArray, counts: np.ndarray, n: int) -> list[np.ndarray]:
+    """Prefixes (lists of half hashes), or the whole ordered sets of packed texts."""
+    column = column.combine_chunks()
+    if pa.types.is_binary(column.type):
+        unsqueeze = zstandard.ZstdDecompressor().decompress
+        return [ordered(s, counts) for s in shingle_sets([unsqueeze(t) for t in column.to_pylist()], n)]
+    flat = column.flatten().to_numpy().view(np.uint32)
+    edge = np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy())])
+    return [flat[a:b] for a, b in zip(edge[:-1], edge[1:], strict=True)]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blocks, left, right = [], [], []
 
-        def flush() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (blocks, left, right)], ["_block", "_class", "_with"])
-            for x in (blocks, left, right):
-                x.clear()
-            return out
+def _join_blocks(counts: np.ndarray, n: int, num: int, den: int):
+    """Links of each block, as stars: every linked class with one of its group."""
 
-        for key, rows in _blocks(batches):
-            if rows.num_rows < 2:
-                continue
-            classes = rows["_class"].to_numpy()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left, right = [], []
+        for _, rows in _blocks(batches):
             sizes = rows["_size"].to_numpy()
-            # Sizes alone rule out most chance meetings.
-            if (sizes.min() * den < sizes.max() * num) and rows.num_rows == 2:
+            # Sizes alone rule out most chance meetings of two.
+            if len(sizes) < 2 or (len(sizes) == 2 and sizes.min() * den < sizes.max() * num):
                 continue
-            column = rows["_tokens"].combine_chunks()
-            flat = column.flatten().to_numpy().view(U64)
-            offset = np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy())])
-            tokens = [flat[a:b] for a, b in zip(offset[:-1], offset[1:], strict=True)]
+            classes = rows["_class"].to_numpy()
             label = np.arange(len(classes))
-            for i, found in Trie(tokens, sizes, counts, num, den).partners():
+            for i, found in Trie(_tokens(rows["_tokens"], counts, n), sizes, counts, num, den).partners():
                 merge = np.unique(label[np.append(found, i)])
                 if len(merge) > 1:
                     label[np.isin(label, merge)] = merge[0]
-            group, n = np.unique(label, return_counts=True)
-            linked = np.flatnonzero(np.isin(label, group[n > 1]))
-            if links:
-                linked = linked[label[linked] != linked]
-            blocks += [key[0]] * len(linked)
+            linked = np.flatnonzero(label != np.arange(len(classes)))
             left += classes[linked].tolist()
             right += classes[label[linked]].tolist()
-            if len(blocks) > 20_000:
-                yield flush()
-        yield flush()
+            if len(left) > 20_000:
+                yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["_class", "_with"])
+                left, right = [], []
+        yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["_class", "_with"])
 
     return run
 
 
-def _deal(members: DataFrame, tokens: DataFrame, counts, num, den, links: bool) -> DataFrame:
-    """Join each block's members to their tokens, split large blocks, run the trie join."""
+def _deal(members: DataFrame, tokens: DataFrame, counts: np.ndarray, n: int, num: int, den: int) -> DataFrame:
+    """Join each block's members to their tokens, split large blocks, run the trie join: (_class, _with)."""
     sized = members.groupBy("_block").agg(F.count("*").alias("_members"))
     chunks = F.ceil(F.col("_members") / CHUNK).cast("long")
     rows = members.join(sized.where("_members > 1"), "_block").withColumn("_chunks", chunks)
@@ -316,7 +327,7 @@ def _deal(members: DataFrame, tokens: DataFrame, counts, num, den, links: bool)
         rows.repartition("_block", "_ci", "_cj")
         .sortWithinPartitions("_block", "_ci", "_cj", "_class")
         .select("_block", "_ci", "_cj", "_class", "_size", "_tokens")
-        .mapInArrow(_join_blocks(counts, num, den, links), "_block long, _class long, _with long")
+        .mapInArrow(_join_blocks(counts, n, num, den), "_class long, _with long")
     )
 
 
@@ -372,7 +383,7 @@ def jaccard_groups(docs: DataFrame, shingle: int = SHINGLE, num: int = NUM, den:
     described = stage(
         source.mapInArrow(
             _describe(counts, shingle, num, den),
-            "_row long, _id long, _hash long, _class long, _size long, _prefix array<long>",
+            "_row long, _id long, _hash long, _class long, _size long, _prefix array<int>",
         ),
         "sets",
     )
@@ -383,31 +394,31 @@ def jaccard_groups(docs: DataFrame, shingle: int = SHINGLE, num: int = NUM, den:
         .agg(F.count("*").alias("_n"), F.min(first).alias("_first"), F.max("_size").alias("_size"), F.first("_prefix").alias("_prefix")),
         "classes",
     )
-    # Rows of tokens that two classes share, by range of sizes: a class meets its own range and the next.
-    tokens = classes.select(F.explode("_prefix").alias("_token"), "_class", "_size")
+    # Tokens that two classes share, by range of sizes: a class meets its own range and the next.
+    tokens = classes.select(F.explode("_prefix").alias("_token"), "_class")
     shared = tokens.groupBy("_token").agg(F.count("*").alias("_n")).where("_n > 1").select("_token")
     span = F.floor(F.log(F.col("_size").cast("double")) / F.log(F.lit(den / num)) + 1e-9)
-    placed = tokens.join(shared, "_token").select(
+    placed = tokens.join(shared, "_token").join(classes.select("_class", "_size"), "_class").select(
         "_class", F.explode(F.array(F.xxhash64("_token", span), F.xxhash64("_token", span + 1))).alias("_block")
     )
-    members = stage(_same_members_once(stage(placed, "blocks")), "members")
+    members = stage(_same_members_once(stage(placed.distinct(), "blocks")), "members")
     prefixes = classes.select("_class", "_size", F.col("_prefix").alias("_tokens"))
-    possible = _deal(members, prefixes, counts, num, den, links=False).select("_block", "_class").distinct()
-    members = stage(_same_members_once(stage(possible, "possible")), "members")
-
-    chosen = classes.join(members.select("_class").distinct(), "_class").select(
-        "_class", "_size", F.col("_first._id").alias("_id"), F.col("_first._hash").alias("_hash")
+    possible = components(_deal(members, prefixes, counts, shingle, num, den))
+    members = stage(
+        possible.select(F.col("_top").alias("_block"), "_class").unionByName(
+            possible.select(F.col("_top").alias("_block"), F.col("_top").alias("_class")).distinct()
+        ),
+        "possible",
+    )
+    # One document's text for each class that may link.
+    chosen = classes.join(members.select("_class"), "_class").select(
+        "_class", "_size", F.col("_first._id").alias("_cid"), F.col("_first._hash").alias("_chash")
     )
-    sets = (
-        source.select("_id", "_hash", "_text")
-        .join(chosen.withColumnsRenamed({"_id": "_cid", "_hash": "_chash"}), F.col("_id").eqNullSafe(F.col("_cid")) & (F.col("_hash") == F.col("_chash")))
-        .select("_class", "_text")
-        .mapInArrow(_sets(counts, shingle), "_class long, _tokens array<long>")
-        .withColumn("_size", F.size("_tokens").cast("long"))
-        .dropDuplicates(["_class"])
+    packed = source.select("_id", "_hash", "_text").mapInArrow(_pack, "_id long, _hash long, _tokens binary")
+    sets = packed.join(chosen, F.col("_id").eqNullSafe(F.col("_cid")) & (F.col("_hash") == F.col("_chash"))).select(
+        "_class", "_size", "_tokens"
     )
-    links = _deal(members, stage(sets, "whole-sets"), counts, num, den, links=True).select("_class", "_with")
-    tops = components(stage(links, "links"))
+    tops = components(_deal(members, stage(sets.dropDuplicates(["_class"]), "texts"), counts, shingle, num, den))
     # Every class with its component's smallest id; classes without links are their own component.
     top = classes.select("_class", "_n", "_first").join(tops, "_class", "left").withColumn("_top", F.coalesce("_top", "_class"))
     best = top.groupBy("_top").agg(F.min("_first").alias("_best"))
