@@ -449,7 +449,7 @@ def _texts(batch: pa.RecordBatch) -> list[bytes]:
     return [t if t.isascii() else t.decode("utf-8", "replace").encode() for t in out]
 
 
-def _groups(texts: list[bytes], limit: int = 4 << 20) -> Iterator[list[bytes]]:
+def _groups(texts: list[bytes], limit: int = 2_000_000) -> Iterator[list[bytes]]:
     group, size = [], 0
     for t in texts:
         if group and size + len(t) > limit:

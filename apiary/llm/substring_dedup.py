@@ -134,7 +134,7 @@ def _unpack(packed: list[bytes]) -> Iterator[tuple[int, int, list[bytes]]]:
     for p in packed:
         texts.append(unsqueeze(p))
         size += len(texts[-1])
-        if size > 4 << 20:
+        if size > 1_000_000:
             yield begin, begin + len(texts), texts
             begin, texts, size = begin + len(texts), [], 0
     if texts:

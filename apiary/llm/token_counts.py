@@ -153,7 +153,7 @@ def token_counts(docs: DataFrame, path: str, marker: str = " ", id_col: str = "d
         counter = Counter(load(path, marker.encode()))
         for batch in batches:
             texts = batch.column("_text").to_pylist()
-            for a, b in batches_of_bytes(texts):
+            for a, b in batches_of_bytes(texts, 2_000_000):
                 words, tokens = counter(texts[a:b])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("_id").slice(a, b - a), pa.array(words, pa.int64()), pa.array(tokens, pa.int64())],

@@ -117,7 +117,7 @@ class Words:
         return hash_runs(self.data, self.start, self.end)
 
 
-def batches_of_bytes(texts, limit: int = 4 << 20):
+def batches_of_bytes(texts, limit: int = 1_000_000):
     """Cut a batch into ranges of at most about ``limit`` bytes of text (one longer text stands alone)."""
     begin, size = 0, 0
     for i, t in enumerate(texts):
