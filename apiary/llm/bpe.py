@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from apiary.llm.common import text_bytes
+from apiary.llm.common import small_batches, text_bytes
 from apiary.llm.words import NEVER, hash_runs, lookup
 
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -475,6 +475,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                 )
                 at += len(group)
 
+    small_batches(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("_id"), text_bytes(text_col).alias("_text")).mapInArrow(
         run, "doc_id long, ids array<int>"
     )

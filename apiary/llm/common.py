@@ -15,7 +15,14 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BROADCAST_ROWS = 20_000
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Texts reach Python in batches of a few MB, so a worker's memory stays small."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -39,6 +46,7 @@ def stage(df: DataFrame, name: str, partition_by: str | None = None) -> DataFram
     reader), cuts the lineage, and survives the loss of executors.
     """
     spark = df.sparkSession
+    small_batches(spark)
     path = work_path(spark, f"llm-{name}")
     writer = df.write.option("compression", "zstd")
     if partition_by:

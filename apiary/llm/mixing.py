@@ -224,7 +224,8 @@ class Mix:
             .withColumn("_until", F.least(F.col("_start") + F.col("_size"), (F.col("_block") + 1) * block))
         )
         words = F.least(F.col("_until"), F.col("_block") * block + F.col("_take")) - F.col("_from")
-        self.taken = segments.join(slots, ["_sid", "_block"]).select(
+        # Slots are made from the few rows of the source table, whose size would suggest a broadcast.
+        self.taken = segments.join(slots.hint("merge"), ["_sid", "_block"]).select(
             "_row", "shard", "slot", "turn", (F.col("_from") - F.col("_start")).alias("first"), words.alias("words")
         ).where("words > 0")
 

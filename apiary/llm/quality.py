@@ -234,9 +234,37 @@ def known_labels(labels: DataFrame, label_col: str = "quality") -> DataFrame:
 def train(docs: DataFrame, labels: DataFrame, **options) -> Model:
     """Fit on the bounded sample; the classes weigh as in all labelled rows that may be learned from."""
     prior = known_labels(labels, options.get("label_col", "quality")).agg(F.avg("_label")).first()[0]
-    rows = training_sample(docs, labels, **options).toArrow().sort_by("_id")
-    x = featurize(rows["text"].to_pylist(), rows["n_chars"].to_pylist())
-    return fit(x, np.array(rows["_label"].to_pylist(), dtype=np.float64), prior if prior is not None else 0.5)
+    schema = "_id long, _label int, slots array<int>, counts array<float>, levels array<int>"
+    rows = training_sample(docs, labels, **options).mapInArrow(_inputs, schema).toArrow().sort_by("_id").combine_chunks()
+    if not rows.num_rows:
+        return fit(featurize([], []), np.zeros(0))
+    size = np.array(rows["slots"].combine_chunks().value_lengths())
+    x = Features(
+        np.repeat(np.arange(rows.num_rows), size),
+        np.array(rows["slots"].combine_chunks().flatten(), dtype=np.int64),
+        np.array(rows["counts"].combine_chunks().flatten(), dtype=np.float64),
+        np.array(rows["levels"].combine_chunks().flatten(), dtype=np.int64).reshape(rows.num_rows, STATISTICS),
+    )
+    return fit(x, np.array(rows["_label"], dtype=np.float64), prior)
+
+
+def _inputs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The inputs of the sampled documents, worked out where their texts are."""
+    for batch in batches:
+        texts, chars = batch.column("text").to_pylist(), batch.column("n_chars").to_pylist()
+        for a, b in batches_of_bytes(texts):
+            x = featurize(texts[a:b], chars[a:b])
+            edge = pa.array(np.searchsorted(x.doc, np.arange(x.n + 1)), pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("_id").slice(a, b - a),
+                    batch.column("_label").slice(a, b - a),
+                    pa.ListArray.from_arrays(edge, pa.array(x.slot, pa.int32())),
+                    pa.ListArray.from_arrays(edge, pa.array(x.value, pa.float32())),
+                    pa.array(x.levels.tolist(), pa.list_(pa.int32())),
+                ],
+                ["_id", "_label", "slots", "counts", "levels"],
+            )
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
