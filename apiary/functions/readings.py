@@ -58,13 +58,13 @@ def known_sensor_type(sensor_type: Column | str) -> Column:
 
 def sensor_id(serial_number: Column | str) -> Column:
     """Lower-case UUID text of a serial number, null when it is no UUID."""
-    text = F.lower(F.trim(_col(serial_number)))
+    text = F.lower(_col(serial_number))
     return F.when(text.rlike(UUID_PATTERN), text)
 
 
 def require_uuid(serial_number: Column | str) -> Column:
     """Like :func:`sensor_id`, but fails the query on a bad serial number."""
-    text = F.lower(F.trim(_col(serial_number)))
+    text = F.lower(_col(serial_number))
     return F.when(text.rlike(UUID_PATTERN), text).otherwise(
         F.raise_error(F.concat(F.lit("invalid UUID: "), F.coalesce(text, F.lit("null"))))
     ).cast("string")

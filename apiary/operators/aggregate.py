@@ -1,11 +1,10 @@
 """Count, sum and average of reading values per group.
 
-Sums are taken in fixed point: each value is rounded to ``scale`` decimals
-and summed as a 64-bit integer. The result is exact and independent of the
-order rows arrive in, so a re-run, a replay or a different partitioning gives
-the same bits, and the aggregate stays a fixed-width ``HashAggregate`` with a
-map-side partial step. ``scale=None`` sums plain doubles instead.
-Non-finite values (NaN, ±infinity) are skipped by the fixed-point sum.
+Sums are taken as ``decimal(38, scale)``, nine decimals unless asked otherwise:
+exact for sums up to 1e28, and independent of the order rows arrive in, so a
+re-run, a replay or a different partitioning gives the same bits. A larger sum
+fails, it never wraps. ``scale=None`` sums plain doubles instead.
+Non-finite values (NaN, ±infinity) are left out of the sum and of the count.
 """
 
 from __future__ import annotations
@@ -15,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_SCALE = 4
+DEFAULT_SCALE = 9
 
 
 def _col(c: Column | str) -> Column:
@@ -27,11 +26,13 @@ def fixed_sum(value: Column | str, scale: int | None = DEFAULT_SCALE) -> Column:
     v = _col(value).cast("double")
     if scale is None:
         return F.sum(v)
-    factor = 10**scale
-    # A NaN or infinite value (JSON accepts them) is skipped, the same way in
-    # every ANSI setting; a finite value too large for 64 bits still fails.
-    finite = F.when(~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))), v)
-    return F.sum(F.round(finite * F.lit(factor)).cast("long")) / F.lit(factor)
+    return F.sum(finite(v).cast(f"decimal(38,{scale})")).cast("double")
+
+
+def finite(value: Column | str) -> Column:
+    """The value, or null where it is NaN or infinite."""
+    v = _col(value)
+    return F.when(~F.isnan(v.cast("double")) & (F.abs(v.cast("double")) < F.lit(float("inf"))), v)
 
 
 def count_sum(
@@ -44,7 +45,7 @@ def count_sum(
 ) -> DataFrame:
     """(keys, count of values, sum of values); partial + final aggregate."""
     return df.groupBy(*keys).agg(
-        F.count(value).alias(count_name), fixed_sum(value, scale).alias(sum_name)
+        F.count(finite(value) if scale is not None else _col(value)).alias(count_name), fixed_sum(value, scale).alias(sum_name)
     )
 
 

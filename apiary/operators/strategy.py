@@ -59,8 +59,8 @@ def join_small(
 def spread(df: DataFrame, *cols: str) -> DataFrame:
     """Spread a narrow input over all task slots before heavy per-row work.
 
-    When ``df`` has fewer partitions than the default parallelism (one large
-    file, a topic with few partitions), it is hash-partitioned over that
+    When ``df`` is too small to give every task slot a split (by the plan's
+    estimated bytes; nothing is run), it is hash-partitioned over that
     many partitions (by ``cols``, else by a hash of the whole row), so
     parsing and encoding run on every core. An input that already has
     enough partitions, as any large scan does, is returned unchanged: no
@@ -68,8 +68,12 @@ def spread(df: DataFrame, *cols: str) -> DataFrame:
     """
     if df.isStreaming:
         return df
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    spark = df.sparkSession
+    target = spark.sparkContext.defaultParallelism
+    # Splits the scan would give, from the plan's estimated bytes: no job runs while a query is built.
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    if size >= target * split:
         return df
     keys = [F.col(c) for c in cols] or [F.xxhash64(*[F.col(c) for c in df.columns])]
     return df.repartition(target, *keys)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from apiary.functions.buckets import bucket
-from apiary.operators.aggregate import DEFAULT_SCALE, fixed_sum
+from apiary.operators.aggregate import DEFAULT_SCALE, finite, fixed_sum
 from apiary.operators.strategy import join_small
 
 # Precision in seconds and the calendar unit of each (fixed values).
@@ -56,7 +56,7 @@ def sensor_summary(
         bucket("time", "half_day").alias("bucket_ts"),
         bucket("time", unit).alias("time"),
         *carried,
-    ).agg(fixed_sum("value", scale).alias("value_sum"), F.count("value").alias("value_count"))
+    ).agg(fixed_sum("value", scale).alias("value_sum"), F.count(finite("value")).alias("value_count"))
     agg = agg.withColumn("precision", F.lit(precision))
     if sensors is not None:
         agg = join_small(agg, sensors.select("sensor_id", *SENSOR_ATTRS), "sensor_id", "left")

@@ -29,6 +29,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,9 +81,13 @@ def upsert_partitions(
         # and read every day).
         values = [r[0] for r in touched.limit(MAX_TOUCHED_PARTITIONS + 1).collect()]
         if len(values) <= MAX_TOUCHED_PARTITIONS:
-            existing = table.where(F.col(partition_col).isin(values))
+            known = [v for v in values if v is not None]
+            # `in` never matches a null partition, which the overwrite replaces as well.
+            null_too = F.col(partition_col).isNull() if None in values else F.lit(False)
+            existing = table.where(F.col(partition_col).isin(known) | null_too)
         else:
-            existing = join_small(table, touched, partition_col, "left_semi")
+            days = touched.withColumnRenamed(partition_col, "_day")
+            existing = table.join(days, F.col(partition_col).eqNullSafe(F.col("_day")), "left_semi")
         merged = latest_per_key(existing.unionByName(batch), keys, order_by)
     else:
         # Nothing is read from the target: write it directly.
@@ -151,11 +156,19 @@ def read_latest(
     order_by: Sequence[str],
     where=None,
 ) -> DataFrame:
-    """Merge-on-read view: newest row per key (optionally of some days only)."""
+    """Merge-on-read view: newest row per key (optionally of some days only).
+
+    A filter on key columns alone is applied before the newest row is picked
+    (it prunes the scan); any other filter sees only the newest rows.
+    """
     df = spark.read.schema(schema).parquet(table_path)
-    if where is not None:
-        df = df.where(where)
-    return latest_per_key(df, keys, order_by)
+    if where is None:
+        return latest_per_key(df, keys, order_by)
+    try:
+        df.select(*keys).where(where)
+    except AnalysisException:
+        return latest_per_key(df, keys, order_by).where(where)
+    return latest_per_key(df.where(where), keys, order_by)
 
 
 def _fs(spark: SparkSession, path: str):

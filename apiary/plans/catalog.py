@@ -67,8 +67,7 @@ def sql_uuid(expr: str) -> str:
 
 
 def sql_fixed_sum(expr: str, scale: int = aggregate.DEFAULT_SCALE) -> str:
-    f = 10**scale
-    return f"CAST(sum(CAST(round(CAST({expr} AS DOUBLE) * {f}) AS BIGINT)) AS DOUBLE) / {f}"
+    return f"CAST(sum(CAST({expr} AS DECIMAL(38,{scale}))) AS DOUBLE)"
 
 
 SQL_READINGS = f"""
@@ -329,8 +328,8 @@ def reading_latlong(spark: SparkSession, sf_dir: str) -> DataFrame:
     sql_with(SQL_REC)
     + f"""
 SELECT key, serial_number,
-       CASE WHEN regexp_matches(lower(trim(serial_number)), '{UUID_PATTERN}')
-            THEN lower(trim(serial_number)) END AS sensor_id
+       CASE WHEN regexp_matches(lower(serial_number), '{UUID_PATTERN}')
+            THEN lower(serial_number) END AS sensor_id
 FROM (SELECT key, CASE WHEN k = 3 THEN 'abc' WHEN k = 4 THEN upper(sensor_id)
                        WHEN k = 5 THEN substr(sensor_id, 1, 35) WHEN k = 6 THEN ' ' || sensor_id
                        ELSE sensor_id END AS serial_number FROM rec)""",

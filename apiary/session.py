@@ -18,6 +18,7 @@ replaced; only when it is unset (local tests) is a local folder chosen.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -97,7 +98,9 @@ def work_root(spark: SparkSession) -> str:
 
     Uses ``spark.checkpoint.dir`` when the cluster names one. When it is
     unset (local runs and tests) a local folder is created once per
-    application, and used as the RDD checkpoint folder as well.
+    application, and used as the RDD checkpoint folder as well. On a cluster
+    an unset folder is an error: a machine-local one would be seen by one
+    machine only.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None)
@@ -105,6 +108,8 @@ def work_root(spark: SparkSession) -> str:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(root)
         return root
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     app = sc.applicationId
     if app not in _LOCAL_ROOTS:
         _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="apiary-work-")

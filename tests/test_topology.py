@@ -129,3 +129,16 @@ def test_salted_join_with_a_hot_sensor_keeps_every_row(spark, sensors):
         F.pmod(F.xxhash64(*[F.col(c) for c in r.columns]), F.lit(8)).alias("s")
     ).distinct().count()
     assert salts == 8
+
+
+def test_sums_are_neither_rounded_to_four_decimals_nor_capped(spark):
+    small = spark.createDataFrame([(1, 0.00004), (1, 0.00004)], "hive int, value double")
+    assert aggregate.hive_count_sum(small).first().total == 0.00008
+    large = spark.range(1000).selectExpr("1 as hive", "cast(1e12 as double) as value")
+    assert aggregate.hive_count_sum(large).first().total == 1e15
+
+
+def test_average_leaves_nan_out_of_count_and_sum(spark):
+    df = spark.createDataFrame([(1, 10.0), (1, float("nan"))], "hive int, value double")
+    row = aggregate.hive_average(df).first()
+    assert (row.n, row.total, row.average) == (1, 10.0, 10.0)

@@ -1,7 +1,8 @@
 import datetime as dt
 
+from pyspark.sql import types as T
 
-from apiary.operators.upsert import latest_per_key, read_table, upsert_partitions
+from apiary.operators.upsert import latest_per_key, read_latest, read_table, upsert_partitions
 from apiary.session import work_path
 
 SCHEMA = "k string, t timestamp, v double, seq long, d date"
@@ -98,3 +99,21 @@ def test_interrupted_overwrite_is_restored_from_the_stage(spark):
     shutil.rmtree(f"{path}/d=2024-01-01")
     overwrite_from_stage(spark, stage, path, b.schema, "d")
     assert table(spark, path) == {("a", 1): (5.0, 9), ("b", 2): (2.0, 2)}
+
+
+def test_upsert_keeps_rows_without_a_day(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = "k string, v int, o int, bucket_date date"
+    for row in (("a", 1, 1, None), ("b", 2, 1, None)):
+        upsert_partitions(spark.createDataFrame([row], schema), path, ["k"], ["o"])
+    got = spark.read.schema(schema).parquet(path).select("k").collect()
+    assert sorted(r.k for r in got) == ["a", "b"]
+
+
+def test_a_filter_on_values_sees_only_the_newest_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = T.StructType.fromDDL("k string, v int, o int, bucket_date date")
+    rows = spark.createDataFrame([("a", 20, 1, None), ("a", 5, 2, None)], schema)
+    rows.write.partitionBy("bucket_date").parquet(path)
+    assert read_latest(spark, path, schema, ["k"], ["o"], where="v > 10").count() == 0
+    assert read_latest(spark, path, schema, ["k"], ["o"], where="k = 'a'").first().v == 5
