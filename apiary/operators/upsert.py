@@ -165,7 +165,8 @@ def read_latest(
     if where is None:
         return latest_per_key(df, keys, order_by)
     try:
-        df.select(*keys).where(where)
+        # An empty table of the keys: does the filter need any other column?
+        spark.createDataFrame([], df.select(*keys).schema).where(where)
     except AnalysisException:
         return latest_per_key(df, keys, order_by).where(where)
     return latest_per_key(df.where(where), keys, order_by)

@@ -3,7 +3,6 @@
 import datetime as dt
 
 
-import __spark_entry__ as entry
 from apiary.operators import joins
 from apiary.plans import catalog
 from apiary.plans import testbed as tb
