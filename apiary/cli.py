@@ -101,17 +101,17 @@ def cmd_hive_average(spark, args) -> None:
 
 
 def cmd_compact(spark, args) -> None:
-    from apiary.operators.upsert import list_partitions
-    from apiary.streaming.ingest import compact, compact_today
+    from apiary.operators.upsert import last_committed, list_partitions
+    from apiary.streaming import ingest, transactions
 
-    if args.day is not None:
-        merged = compact_today(spark, args.table, args.day, args.upto_batch)
-        print(f"{args.day}: {merged} batch folders merged")
-        return
-    today = dt.datetime.now(dt.timezone.utc).date().isoformat()
-    closed = [d for d in list_partitions(spark, args.table) if d < today]
-    compact(spark, args.table, closed)
-    print(f"compacted {len(closed)} closed days")
+    kind = os.path.basename(args.table.rstrip("/"))
+    day_col, compact = {
+        "transactions": (transactions.TXN_PARTITION, transactions.compact_transactions),
+    }.get(kind, (ingest.READING_PARTITION, ingest.compact))
+    checkpoint = args.checkpoint or os.path.join(os.path.dirname(args.table.rstrip("/")), "_checkpoint")
+    upto = last_committed(spark, checkpoint) if args.upto_batch is None else args.upto_batch
+    days = [args.day] if args.day is not None else list_partitions(spark, args.table, day_col)
+    print(f"compacted {compact(spark, args.table, days, upto)} batch folders of {len(days)} days")
 
 
 def cmd_expire(spark, args) -> None:
@@ -168,7 +168,8 @@ def parser() -> argparse.ArgumentParser:
     p = sub.add_parser("compact")
     p.add_argument("--table", required=True)
     p.add_argument("--day")
-    p.add_argument("--upto-batch", type=int)
+    p.add_argument("--upto-batch", type=int, help="a committed batch; default: the checkpoint's last")
+    p.add_argument("--checkpoint", help="the stream's checkpoint; default: _checkpoint beside the table")
     p = sub.add_parser("summaries")
     p.add_argument("--readings", required=True)
     p.add_argument("--sensors", required=True)

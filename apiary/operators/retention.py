@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from apiary.operators.topology import as_of_date
+from apiary.operators.upsert import compacted_path, list_partitions
 
 # Retention periods in days of the stored tables (fixed values).
 RAW_DAYS = 90
@@ -41,23 +42,17 @@ def expire(
     spark: SparkSession, table_path: str, as_of: dt.date, days: int = RAW_DAYS,
     partition_col: str = "bucket_date",
 ) -> list[str]:
-    """Delete day partitions older than the cut; returns the deleted days."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(table_path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return []
+    """Delete day partitions older than the cut, merged rows as well; returns the deleted days."""
     first = as_of - dt.timedelta(days=days)
-    dropped = []
-    for status in fs.listStatus(root):
-        name = status.getPath().getName()
-        if not status.isDirectory() or not name.startswith(partition_col + "="):
-            continue
-        try:
-            day = dt.date.fromisoformat(name.split("=", 1)[1])
-        except ValueError:  # e.g. the folder of null partition values
-            continue
-        if day < first:
-            fs.delete(status.getPath(), True)
-            dropped.append(str(day))
+    dropped = set()
+    for path in (table_path, compacted_path(table_path)):
+        for name in list_partitions(spark, path, partition_col):
+            try:
+                day = dt.date.fromisoformat(name)
+            except ValueError:  # e.g. the folder of null partition values
+                continue
+            if day < first:
+                folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, f"{partition_col}={name}")
+                folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+                dropped.add(name)
     return sorted(dropped)

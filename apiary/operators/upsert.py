@@ -4,10 +4,10 @@ Two ways to keep a table keyed:
 
 * copy-on-write (``upsert_partitions``): merge a batch into the day
   partitions it touches and rewrite them; for batch loads and compaction;
-* merge-on-read (``append_batch`` + ``read_latest`` + ``compact_days``):
+* merge-on-read (``append_batch`` + ``read_latest`` + ``compact_batches``):
   each micro-batch writes only its own ``day/batch`` folders, readers keep
-  the newest row per key, and closed days are compacted later. A 1-second
-  stream then writes O(batch), never O(day).
+  the newest row per key, and batches are merged into a table of their own
+  later. A 1-second stream then writes O(batch), never O(day).
 
 ``latest_per_key`` keeps, for each key, the row with the greatest ordering
 value. It is one aggregate with ``max_by``: rows are combined map-side
@@ -32,10 +32,12 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from apiary.operators.strategy import join_small
 from apiary.session import work_path
 
+# Partition column of the compacted table: one value per merge, never reused.
+GENERATION = "_generation"
 
 # Most partition values a batch may touch for the literal-list pruning path.
 MAX_TOUCHED_PARTITIONS = 10_000
@@ -148,6 +150,16 @@ def append_batch(
     )
 
 
+def read_all(spark: SparkSession, table_path: str, schema) -> DataFrame:
+    """Every stored row of a merge-on-read table: its batches and its merged rows."""
+    # The batches are listed first: one that is gone by then is in the merged rows listed next.
+    df = spark.read.schema(schema).parquet(table_path).select(*schema.fieldNames())
+    merged = compacted_path(table_path)
+    if not table_exists(spark, merged):
+        return df
+    return df.unionByName(spark.read.schema(_merged_schema(schema)).parquet(merged).drop(GENERATION))
+
+
 def read_latest(
     spark: SparkSession,
     table_path: str,
@@ -161,7 +173,7 @@ def read_latest(
     A filter on key columns alone is applied before the newest row is picked
     (it prunes the scan); any other filter sees only the newest rows.
     """
-    df = spark.read.schema(schema).parquet(table_path)
+    df = read_all(spark, table_path, schema)
     if where is None:
         return latest_per_key(df, keys, order_by)
     try:
@@ -178,64 +190,19 @@ def _fs(spark: SparkSession, path: str):
     return jvm, hpath, hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def compact_days(
-    spark: SparkSession,
-    table_path: str,
-    schema,
-    keys: Sequence[str],
-    order_by: Sequence[str],
-    days: Sequence[str],
-    partition_col: str = "bucket_date",
-    batch_col: str = "batch_id",
-) -> None:
-    """Merge the batch folders of closed ``days`` into one folder per day.
+def compacted_path(table_path: str) -> str:
+    """The folder beside a merge-on-read table that holds its merged rows."""
+    return table_path.rstrip("/") + "_compacted"
 
-    The newest row per key is written to a staging table under the shared
-    work folder; then, day by day, the merged files are moved into the
-    folder of the day's largest batch id (so later batches still win) and
-    only after that are the day's previous files deleted. Run it on days no
-    stream writes any more.
-    """
-    if not days:
-        return
-    day_type = schema[partition_col].dataType  # date, or text such as date_text
-    day_lit = [F.lit(d).cast(day_type) for d in days]
-    rows = spark.read.schema(schema).parquet(table_path).where(F.col(partition_col).isin(day_lit))
-    latest = latest_per_key(rows, keys, order_by)
-    newest = latest.groupBy(partition_col).agg(F.max(batch_col).alias("_newest"))
-    latest = join_small(latest.drop(batch_col), newest, partition_col).withColumnRenamed(
-        "_newest", batch_col
-    )
-    stage = work_path(spark, "staging")
-    latest.hint("rebalance", partition_col).write.partitionBy(partition_col, batch_col).parquet(stage)
-    jvm, root, fs = _fs(spark, table_path)
-    Path = jvm.org.apache.hadoop.fs.Path
-    tag = uuid.uuid4().hex[:12]
-    for day_status in fs.listStatus(Path(stage)):
-        day_name = day_status.getPath().getName()
-        if not day_status.isDirectory() or not day_name.startswith(partition_col + "="):
-            continue
-        day_dir = Path(root, day_name)
-        # 1. list what the day holds now; 2. move the merged files in;
-        # 3. delete what was listed. A reader (or a crash) at any point sees
-        # every row, at worst twice, which the merge-on-read view removes.
-        old_files = []
-        if fs.exists(day_dir):
-            files = fs.listFiles(day_dir, True)
-            while files.hasNext():
-                old_files.append(files.next().getPath())
-        for batch_status in fs.listStatus(day_status.getPath()):
-            target = Path(day_dir, batch_status.getPath().getName())
-            fs.mkdirs(target)
-            for st in fs.listStatus(batch_status.getPath()):
-                name = st.getPath().getName()
-                if st.isFile() and name.endswith(".parquet"):
-                    fs.rename(st.getPath(), Path(target, f"compacted-{tag}-{name}"))
-        for f in old_files:
-            fs.delete(f, False)
-        for st in fs.listStatus(day_dir):
-            if st.isDirectory() and len(fs.listStatus(st.getPath())) == 0:
-                fs.delete(st.getPath(), True)
+
+def last_committed(spark: SparkSession, checkpoint: str) -> int:
+    """Id of the last batch a stream has committed to ``checkpoint`` (-1: none)."""
+    jvm, root, fs = _fs(spark, checkpoint)
+    commits = jvm.org.apache.hadoop.fs.Path(root, "commits")
+    if not fs.exists(commits):
+        return -1
+    names = [st.getPath().getName() for st in fs.listStatus(commits)]
+    return max([int(n) for n in names if n.isdigit()], default=-1)
 
 
 def list_partitions(spark: SparkSession, table_path: str, partition_col: str = "bucket_date") -> list[str]:
@@ -251,64 +218,69 @@ def list_partitions(spark: SparkSession, table_path: str, partition_col: str = "
     )
 
 
+def _folders(spark: SparkSession, path: str, day: str | None, partition_col: str | None, level: str) -> dict:
+    """Value → path of the ``level=…`` folders of one day (``day=None``: of a table without days)."""
+    jvm, root, fs = _fs(spark, path)
+    at = root if day is None else jvm.org.apache.hadoop.fs.Path(root, f"{partition_col}={day}")
+    if not fs.exists(at):
+        return {}
+    found = [st.getPath() for st in fs.listStatus(at) if st.isDirectory()]
+    return {p.getName()[len(level) + 1 :]: p for p in found if p.getName().startswith(level + "=")}
+
+
 def compact_batches(
     spark: SparkSession,
     table_path: str,
     schema,
     keys: Sequence[str],
     order_by: Sequence[str],
-    day: str | None,
-    upto_batch: int,
+    days: Sequence[str | None],
+    upto_batch: int | None = None,
     partition_col: str | None = "bucket_date",
     batch_col: str = "batch_id",
 ) -> int:
-    """Merge one day's batch folders up to ``upto_batch`` while later ones arrive.
-
-    For the day still being written by a stream: the folders of batches
-    ``<= upto_batch`` (all committed) are merged into the folder of the
-    newest of them. Steps, in an order that never hides a row from a reader
-    of the merge-on-read view:
-
-    1. the newest row per key of those folders is written to staging;
-    2. the staged files are moved into the newest folder (readers now see
-       duplicates of identical rows, which the view removes);
-    3. the folder's previous files and the older folders are deleted.
-
-    Returns the number of folders merged away.
+    """Merge the batch folders of ``days`` into the compacted table beside the table.
+
+    Batches up to ``upto_batch`` are merged; it must be committed (see
+    :func:`last_committed`) while the stream runs, and None takes every batch,
+    for a stream that has stopped. Later batches may arrive meanwhile, for the
+    same days too: 1. the folders are listed; 2. exactly those, and the days'
+    earlier merges, are read, and the newest row per key is written as a new
+    generation that no batch ever overwrites; 3. exactly the listed folders
+    are dropped. Rows keep their own batch id and position, and readers take
+    the newest row per key of both tables, so a crash between the steps, a
+    late batch or a replayed one adds repeated rows at worst and loses none.
+    ``days`` are folder values (the null day's as well); ``[None]`` is a table
+    without a day level. Returns the number of batch folders merged away.
     """
-    jvm, root, fs = _fs(spark, table_path)
-    Path = jvm.org.apache.hadoop.fs.Path
-    # day=None: the table has batch folders only (no day level)
-    day_dir = root if day is None else Path(root, f"{partition_col}={day}")
-    if not fs.exists(day_dir):
-        return 0
-    prefix = batch_col + "="
-    folders = {}
-    for st in fs.listStatus(day_dir):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(prefix) and int(name[len(prefix):]) <= upto_batch:
-            folders[int(name[len(prefix):])] = st.getPath()
-    if len(folders) <= 1:
+    merged_path = compacted_path(table_path)
+    batches, merges = [], []
+    for day in days:
+        found = _folders(spark, table_path, day, partition_col, batch_col)
+        now = [p for b, p in found.items() if upto_batch is None or int(b) <= upto_batch]
+        if now:
+            batches += now
+            merges += _folders(spark, merged_path, day, partition_col, GENERATION).values()
+    if not batches:
         return 0
-    newest = max(folders)
-    target = folders[newest]
-    old_files = [st.getPath() for st in fs.listStatus(target) if st.isFile()]
-    rows = (
-        spark.read.schema(schema)
-        .option("basePath", table_path)
-        .parquet(*[p.toString() for p in folders.values()])
-    )
-    merged = latest_per_key(rows, keys, order_by).drop(*[c for c in (partition_col, batch_col) if c])
-    stage = work_path(spark, "staging")
-    merged.write.parquet(stage)
-    tag = uuid.uuid4().hex[:12]
-    for st in fs.listStatus(Path(stage)):
-        name = st.getPath().getName()
-        if st.isFile() and name.endswith(".parquet"):
-            fs.rename(st.getPath(), Path(target, f"compacted-{tag}-{name}"))
-    for f in old_files:
-        fs.delete(f, False)
-    for b, p in folders.items():
-        if b != newest:
-            fs.delete(p, True)
-    return len(folders) - 1
+    rows = _read_folders(spark, table_path, schema, batches)
+    if merges:
+        rows = rows.unionByName(_read_folders(spark, merged_path, _merged_schema(schema), merges).drop(GENERATION))
+    latest = latest_per_key(rows, keys, order_by).withColumn(GENERATION, F.lit(uuid.uuid4().hex))
+    by = [partition_col] if partition_col else []
+    if by:
+        latest = latest.hint("rebalance", partition_col)
+    latest.write.mode("append").partitionBy(*by, GENERATION).parquet(merged_path)
+    _, _, fs = _fs(spark, table_path)
+    for folder in merges + batches:
+        fs.delete(folder, True)
+    return len(batches)
+
+
+def _merged_schema(schema) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(GENERATION, T.StringType())])
+
+
+def _read_folders(spark: SparkSession, base: str, schema, folders) -> DataFrame:
+    paths = [p.toString() for p in folders]
+    return spark.read.schema(schema).option("basePath", base).parquet(*paths).select(*schema.fieldNames())

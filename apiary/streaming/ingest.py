@@ -8,7 +8,7 @@ files. Each micro-batch goes through ``foreachBatch``:
 2. append the good readings to the table partitioned by ``bucket_date``
    and ``batch_id`` (merge-on-read: :func:`read_readings` keeps the newest
    row per (sensor_id, bucket_ts, time) by batch id and position, and
-   :func:`compact` merges the batch folders of closed days);
+   :func:`compact` merges batch folders into a table of their own);
 3. write the quarantined messages and the batch's line counts, each into a
    ``batch_id`` partition with dynamic overwrite, so a replayed batch
    replaces its own output instead of adding to it.
@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from apiary.operators.ingest import parse_messages, quarantined, to_readings
-from apiary.operators.upsert import append_batch, compact_batches, compact_days, read_latest
+from apiary.operators.upsert import append_batch, compact_batches, read_latest
 from apiary.sources.messages import message_stream  # noqa: F401  (re-exported)
 from apiary.schemas import READING_KEY, READING_PARTITION
 
@@ -166,17 +166,16 @@ def _stored_schema() -> T.StructType:
     )
 
 
-def compact(spark: SparkSession, table: str, days) -> None:
-    """Merge the batch folders of closed days of the ingested table."""
-    compact_days(spark, table, _stored_schema(), READING_KEY, ORDER_COLUMNS, [str(d) for d in days])
+def compact(spark: SparkSession, table: str, days, upto_batch: int | None = None) -> int:
+    """Merge the batch folders of ``days`` (see :func:`compact_batches`).
 
-
-def compact_today(spark: SparkSession, table: str, day, upto_batch: int) -> int:
-    """Merge the folders of committed batches of the day a stream still writes.
-
-    ``upto_batch`` must be a committed batch id (e.g. the last one reported
-    by the query's progress); later batches keep arriving meanwhile.
+    While the stream runs, ``upto_batch`` must be a committed batch id.
     """
     return compact_batches(
-        spark, table, _stored_schema(), READING_KEY, ORDER_COLUMNS, str(day), upto_batch
+        spark, table, _stored_schema(), READING_KEY, ORDER_COLUMNS, [str(d) for d in days], upto_batch, READING_PARTITION
     )
+
+
+def compact_today(spark: SparkSession, table: str, day, upto_batch: int) -> int:
+    """:func:`compact` of the one day a stream still writes."""
+    return compact(spark, table, [day], upto_batch)

@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from apiary.operators.transactions import minute_counts, parse_transactions, with_hour_figures
-from apiary.operators.upsert import append_batch, compact_days, read_latest
+from apiary.operators.upsert import append_batch, compact_batches, read_latest
 from apiary.schemas import TRANSACTION, TRANSACTION_KEY
 
 ORDER_COLUMNS = ("batch_id", "batch_seq")
@@ -135,11 +135,10 @@ def read_transactions(spark: SparkSession, table: str) -> DataFrame:
     return read_latest(spark, table, _stored_schema(), (*TRANSACTION_KEY, TXN_PARTITION), ORDER_COLUMNS)
 
 
-def compact_transactions(spark: SparkSession, table: str, days) -> None:
-    """Merge the batch folders of closed days (``date_text`` values)."""
-    compact_days(
-        spark, table, _stored_schema(), TRANSACTION_KEY, ORDER_COLUMNS, [str(d) for d in days],
-        partition_col=TXN_PARTITION,
+def compact_transactions(spark: SparkSession, table: str, days, upto_batch: int | None = None) -> int:
+    """Merge the batch folders of ``days`` (``date_text`` values; see :func:`compact_batches`)."""
+    return compact_batches(
+        spark, table, _stored_schema(), TRANSACTION_KEY, ORDER_COLUMNS, [str(d) for d in days], upto_batch, TXN_PARTITION
     )
 
 

@@ -24,9 +24,17 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from apiary.operators.upsert import compact_batches, latest_per_key
+from apiary.operators.upsert import (
+    GENERATION,
+    compact_batches,
+    compacted_path,
+    latest_per_key,
+    read_all,
+    table_exists,
+)
 from apiary.operators.windows import windowed, with_watermark
 
 
@@ -76,16 +84,23 @@ def start_windowed(
     )
 
 
+def _stored_schema(spark: SparkSession, table: str) -> T.StructType:
+    """Columns of a window table; its keys are the caller's, so they are taken from the files."""
+    merged = compacted_path(table)
+    found = spark.read.parquet(merged if table_exists(spark, merged) else table)
+    found = found.drop(GENERATION).withColumn("batch_id", F.col("batch_id").cast("long"))
+    return found.schema
+
+
 def read_windows(spark: SparkSession, table: str, keys: Sequence[str] = ()) -> DataFrame:
     """Current total of every window: its newest emission."""
-    rows = spark.read.parquet(table)
+    rows = read_all(spark, table, _stored_schema(spark, table))
     return latest_per_key(rows, ["window_start", "window_end", *keys], ["batch_id"]).drop("batch_id")
 
 
-def compact_windows(spark: SparkSession, table: str, keys: Sequence[str], upto_batch: int) -> int:
+def compact_windows(spark: SparkSession, table: str, keys: Sequence[str], upto_batch: int | None = None) -> int:
     """Merge the batch folders up to a committed batch: one row per window."""
-    rows = spark.read.parquet(table)
     return compact_batches(
-        spark, table, rows.schema, ["window_start", "window_end", *keys], ["batch_id"],
-        None, upto_batch, partition_col=None,
+        spark, table, _stored_schema(spark, table), ["window_start", "window_end", *keys], ["batch_id"],
+        [None], upto_batch, partition_col=None,
     )

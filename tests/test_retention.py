@@ -16,8 +16,10 @@ def test_retained_filter_and_expire(spark):
 
     path = work_path(spark, "t-retention")
     r.write.partitionBy("bucket_date").parquet(path)
+    r.write.partitionBy("bucket_date").parquet(upsert.compacted_path(path))
     days = upsert.list_partitions(spark, path)
     dropped = retention.expire(spark, path, dt.date(2024, 4, 15))
     assert dropped == [d for d in days if d < "2024-01-16"]
     assert upsert.list_partitions(spark, path) == [d for d in days if d >= "2024-01-16"]
     assert spark.read.parquet(path).count() == kept.count()
+    assert upsert.list_partitions(spark, upsert.compacted_path(path)) == [d for d in days if d >= "2024-01-16"]

@@ -1,4 +1,7 @@
+import datetime as dt
+
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from apiary.operators import ingest, upsert, windows
 from apiary.plans import testbed as tb
@@ -47,13 +50,14 @@ def test_stream_equals_batch_and_restart_resumes(spark):
     batch = ingest.to_readings(ingest.parse_messages(msgs)).select(COLS)
     stored = si.read_readings(spark, paths.table).select(COLS)
     assert sorted(stored.collect()) == sorted(batch.collect())
-    # compaction leaves one folder per day and the same rows
+    # compaction leaves one merged folder per day and the same rows
     days = upsert.list_partitions(spark, paths.table)
     si.compact(spark, paths.table, days)
     assert sorted(si.read_readings(spark, paths.table).select(COLS).collect()) == sorted(batch.collect())
-    raw = spark.read.parquet(paths.table)
+    raw = spark.read.parquet(upsert.compacted_path(paths.table))
     assert raw.count() == batch.count()
-    assert raw.select("bucket_date", "batch_id").distinct().count() == len(days)
+    assert raw.select("bucket_date", "_generation").distinct().count() == len(days)
+    assert upsert.last_committed(spark, paths.checkpoint) == counts.count() - 1
     q = spark.read.parquet(paths.quarantine)
     assert q.count() == total[2]
 
@@ -104,9 +108,9 @@ def test_compact_today_keeps_every_row(spark):
         si.ingest_batch(part, i, paths)
     day = upsert.list_partitions(spark, paths.table)[5]
     merged = si.compact_today(spark, paths.table, day, upto_batch=1)
-    assert merged == 1
+    assert merged == 2
     folders = spark.read.parquet(paths.table).where(F.col("bucket_date") == day).select("batch_id").distinct()
-    assert sorted(r.batch_id for r in folders.collect()) == [1, 2]
+    assert sorted(r.batch_id for r in folders.collect()) == [2]
     assert sorted(si.read_readings(spark, paths.table).select(COLS).collect()) == sorted(good.collect())
 
 
@@ -124,8 +128,6 @@ def test_strict_stream_batch_fails_on_a_bad_message(spark):
 
 
 def test_window_stream_drops_rows_later_than_the_watermark(spark):
-    import datetime as dt
-
     from apiary.streaming import windows as sw
 
     schema = "time timestamp, sensor_type string, value float"
@@ -162,8 +164,6 @@ def test_day_filter_on_merge_on_read_view_prunes_partitions(spark):
 
 
 def test_window_stream_append_mode_and_compaction(spark):
-    import datetime as dt
-
     from apiary.streaming import windows as sw
 
     schema = "time timestamp, sensor_type string, value float"
@@ -181,7 +181,7 @@ def test_window_stream_append_mode_and_compaction(spark):
     merged = sw.compact_windows(spark, table, ["sensor_type"], upto_batch=10**9)
     assert merged >= 1
     assert sorted(sw.read_windows(spark, table, ["sensor_type"]).collect()) == before
-    assert spark.read.parquet(table).count() == len(before) == 3
+    assert spark.read.parquet(upsert.compacted_path(table)).count() == len(before) == 3
     # append mode: closed windows only, each once (the last day stays open)
     table2 = work_path(spark, "t-app")
     q = sw.start_windowed(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(feed),
@@ -208,4 +208,65 @@ def test_transaction_stream_compaction_keeps_rows(spark):
     st.compact_transactions(spark, paths.table, days)
     after = sorted(st.read_transactions(spark, paths.table).drop("batch_id", "batch_seq").collect())
     assert after == before and len(before) == msgs.count()
-    assert spark.read.parquet(paths.table).select("date_text", "batch_id").distinct().count() == len(days)
+    merged = spark.read.parquet(upsert.compacted_path(paths.table))
+    assert merged.select("date_text", "_generation").distinct().count() == len(days)
+
+
+KEYED = "k string, v int, batch_seq long, bucket_date date, batch_id long"
+
+
+def _append(spark, path, batch_id, *rows):
+    df = spark.createDataFrame([(k, v, i, d, batch_id) for i, (k, v, d) in enumerate(rows)], KEYED)
+    upsert.append_batch(df, path)
+
+
+def _keyed(spark, path):
+    got = upsert.read_latest(spark, path, T._parse_datatype_string(KEYED), ["k", "bucket_date"], ["batch_id", "batch_seq"])
+    return sorted((r.k, r.v) for r in got.collect())
+
+
+def _compact(spark, path, upto=None):
+    return upsert.compact_batches(
+        spark, path, T._parse_datatype_string(KEYED), ["k", "bucket_date"], ["batch_id", "batch_seq"],
+        upsert.list_partitions(spark, path), upto,
+    )
+
+
+def test_replay_after_compaction_loses_nothing(spark):
+    path, day = work_path(spark, "t-replay"), dt.date(2024, 1, 1)
+    for i, k in enumerate("abc"):
+        _append(spark, path, i, (k, i, day))
+    assert _compact(spark, path) == 3 and _compact(spark, path) == 0
+    _append(spark, path, 2, ("c", 2, day))  # the stream replays its last batch
+    assert _keyed(spark, path) == [("a", 0), ("b", 1), ("c", 2)]
+    # a later update wins over the merged row, before and after the next merge
+    _append(spark, path, 3, ("a", 9, day))
+    assert _keyed(spark, path) == [("a", 9), ("b", 1), ("c", 2)]
+    assert _compact(spark, path) == 2
+    assert _keyed(spark, path) == [("a", 9), ("b", 1), ("c", 2)]
+    assert spark.read.parquet(upsert.compacted_path(path)).count() == 3
+
+
+def test_batch_that_lands_during_compaction_is_kept(spark, monkeypatch):
+    path, day = work_path(spark, "t-during"), dt.date(2024, 1, 1)
+    _append(spark, path, 0, ("a", 0, day))
+    newest = upsert.latest_per_key
+
+    def late(*args):
+        _append(spark, path, 1, ("b", 1, day))
+        return newest(*args)
+
+    monkeypatch.setattr(upsert, "latest_per_key", late)
+    assert _compact(spark, path) == 1
+    monkeypatch.undo()
+    assert _keyed(spark, path) == [("a", 0), ("b", 1)]
+
+
+def test_compaction_keeps_the_null_day_and_later_batches(spark):
+    path = work_path(spark, "t-null-day")
+    _append(spark, path, 0, ("a", 0, None), ("b", 0, dt.date(2024, 1, 1)))
+    _append(spark, path, 1, ("c", 1, None))
+    _append(spark, path, 2, ("c", 2, None))
+    assert _compact(spark, path, upto=1) == 3
+    assert _keyed(spark, path) == [("a", 0), ("b", 0), ("c", 2)]
+    assert spark.read.parquet(path).select("batch_id").distinct().collect()[0].batch_id == 2
