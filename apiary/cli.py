@@ -38,7 +38,6 @@ def _txn_paths(root: str):
 
     return TxnPaths(
         table=os.path.join(root, "transactions"),
-        minutes=os.path.join(root, "txn_minutes"),
         counts=os.path.join(root, "txn_lines"),
         checkpoint=os.path.join(root, "_checkpoint"),
     )

@@ -167,13 +167,17 @@ def read_latest(
     keys: Sequence[str],
     order_by: Sequence[str],
     where=None,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """Merge-on-read view: newest row per key (optionally of some days only).
 
     A filter on key columns alone is applied before the newest row is picked
-    (it prunes the scan); any other filter sees only the newest rows.
+    (it prunes the scan); any other filter sees only the newest rows. With
+    ``columns``, only these, the keys and the order are read and returned.
     """
     df = read_all(spark, table_path, schema)
+    if columns is not None:
+        df = df.select(*dict.fromkeys([*keys, *order_by, *columns]))
     if where is None:
         return latest_per_key(df, keys, order_by)
     try:

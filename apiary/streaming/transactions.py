@@ -6,14 +6,12 @@ Each micro-batch (``foreachBatch``):
    splitting the instant into the stored calendar fields;
 2. appends them to the transactions table in (``date_text``, ``batch_id``)
    folders (merge-on-read by the key card, day, instant);
-3. writes the batch's per-minute total and approved counts, pre-aggregated
-   in the batch, into the batch's own folder of the minute table;
-4. writes the batch's line counts.
+3. writes the batch's line counts.
 
 Every output of a batch lives in folders of that batch and is written with
 dynamic overwrite, so a replayed batch replaces its output. The per-minute
-rollup is read by summing the batch counts per minute and adding the hour
-figures, which is exact and needs no streaming state.
+rollup is taken from the newest row per key of the stored transactions, so a
+transaction that is sent again counts once; it needs no streaming state.
 """
 
 from __future__ import annotations
@@ -27,25 +25,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from apiary.operators.transactions import minute_counts, parse_transactions, with_hour_figures
+from apiary.operators.transactions import parse_transactions, txn_count_min
 from apiary.operators.upsert import append_batch, compact_batches, read_latest
 from apiary.schemas import TRANSACTION, TRANSACTION_KEY
 
 ORDER_COLUMNS = ("batch_id", "batch_seq")
 TXN_PARTITION = "date_text"
 
-MINUTE_COUNTS = T.StructType(
-    [
-        T.StructField("year", T.IntegerType()),
-        T.StructField("month", T.IntegerType()),
-        T.StructField("day", T.IntegerType()),
-        T.StructField("hour", T.IntegerType()),
-        T.StructField("minute", T.IntegerType()),
-        T.StructField("ttl_txn_min", T.IntegerType()),
-        T.StructField("approved_txn_min", T.IntegerType()),
-        T.StructField("batch_id", T.LongType()),
-    ]
-)
 LINE_COUNTS = T.StructType(
     [
         T.StructField("lines", T.LongType()),
@@ -58,7 +44,6 @@ LINE_COUNTS = T.StructType(
 @dataclass
 class TxnPaths:
     table: str
-    minutes: str
     counts: str
     checkpoint: str
 
@@ -92,7 +77,6 @@ def txn_batch(
     )
     try:
         append_batch(txns, paths.table, TXN_PARTITION, "batch_id")
-        _overwrite_batch(minute_counts(txns).withColumn("batch_id", bid), paths.minutes)
         n_lines, n_txns = seen_lines.get["n"], seen_txns.get["n"]
         counts = batch.sparkSession.createDataFrame([(n_lines, n_txns, batch_id)], LINE_COUNTS)
         _overwrite_batch(counts, paths.counts)
@@ -128,11 +112,13 @@ def _stored_schema() -> T.StructType:
     )
 
 
-def read_transactions(spark: SparkSession, table: str) -> DataFrame:
+def read_transactions(spark: SparkSession, table: str, columns=None) -> DataFrame:
     """Stored transactions, newest per key (merge-on-read)."""
     # date_text follows from the key's day; as a key it lets a day filter
     # reach the scan (partition pruning).
-    return read_latest(spark, table, _stored_schema(), (*TRANSACTION_KEY, TXN_PARTITION), ORDER_COLUMNS)
+    return read_latest(
+        spark, table, _stored_schema(), (*TRANSACTION_KEY, TXN_PARTITION), ORDER_COLUMNS, columns=columns
+    )
 
 
 def compact_transactions(spark: SparkSession, table: str, days, upto_batch: int | None = None) -> int:
@@ -142,14 +128,16 @@ def compact_transactions(spark: SparkSession, table: str, days, upto_batch: int
     )
 
 
-def read_txn_count_min(spark: SparkSession, minutes: str) -> DataFrame:
-    """Per-minute rollup with hour figures from the batches' minute counts."""
-    per_batch = spark.read.schema(MINUTE_COUNTS).parquet(minutes)
-    per_min = per_batch.groupBy("year", "month", "day", "hour", "minute").agg(
-        F.sum("ttl_txn_min").cast("int").alias("ttl_txn_min"),
-        F.sum("approved_txn_min").cast("int").alias("approved_txn_min"),
-    )
-    return with_hour_figures(per_min)
+def read_txn_count_min(spark: SparkSession, table: str, days=None) -> DataFrame:
+    """Per-minute rollup with hour figures of the stored transactions.
+
+    Each transaction counts once, however often it was sent. ``days``
+    (``date_text`` values) limits the scan to these partitions.
+    """
+    txns = read_transactions(spark, table, columns=["txn_time", "status"])
+    if days is not None:
+        txns = txns.where(F.col(TXN_PARTITION).isin([str(d) for d in days]))
+    return txn_count_min(txns)
 
 
 def read_line_counts(spark: SparkSession, counts: str) -> DataFrame:

@@ -198,11 +198,19 @@ def test_transaction_stream_compaction_keeps_rows(spark):
     from apiary.streaming import transactions as st
 
     msgs = txn.encode_transactions(tb.transactions_input(spark, SF_SMALL))
-    paths = st.TxnPaths(table=work_path(spark, "t-txn"), minutes=work_path(spark, "t-txn-min"),
+    paths = st.TxnPaths(table=work_path(spark, "t-txn"),
                         counts=work_path(spark, "t-txn-lines"), checkpoint=work_path(spark, "t-txn-ck"))
     halves = [msgs.where(F.pmod(F.xxhash64("value"), F.lit(2)) == i) for i in (0, 1)]
-    for i, part in enumerate(halves):
+    for i, part in enumerate([*halves, halves[0]]):  # the first half is sent twice
         st.txn_batch(part, i, paths)
+    minutes = sorted(st.read_txn_count_min(spark, paths.table).collect())
+    assert minutes == sorted(txn.txn_count_min(txn.parse_transactions(msgs)).collect())
+    assert sum(r.ttl_txn_min for r in minutes) == msgs.count()
+    day = upsert.list_partitions(spark, paths.table, "date_text")[0]
+    one = st.read_txn_count_min(spark, paths.table, [day])
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "date_text#" in plan.split("PartitionFilters: [")[1].split("]")[0] and "merchant" not in plan
+    assert 0 < one.count() < len(minutes)
     before = sorted(st.read_transactions(spark, paths.table).drop("batch_id", "batch_seq").collect())
     days = upsert.list_partitions(spark, paths.table, "date_text")
     st.compact_transactions(spark, paths.table, days)
