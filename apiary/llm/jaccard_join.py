@@ -22,6 +22,10 @@ class, so copies are never compared.
    for these classes only, once each.
 4. Links, as stars of each block's groups, are joined into components by
    min-label rounds (large-star, small-star), each written to the shared folder.
+5. In the exact pass every class also counts its links, each weighted by the other
+   class's documents. Pairs inside one chunk are counted where the chunk meets itself,
+   pairs of two chunks where these meet; so each pair counts once for either side, and
+   no pair is written out.
 
 Defined cases: without words or text a document has no set and links with
 nothing; null ids rank last in a component and only give a null component if
@@ -283,35 +287,49 @@ def _tokens(column: pa.ChunkedArray, counts: np.ndarray, n: int) -> list[np.ndar
     return [flat[a:b] for a, b in zip(edge[:-1], edge[1:], strict=True)]
 
 
-def _join_blocks(counts: np.ndarray, n: int, num: int, den: int):
-    """Links of each block, as stars: every linked class with one of its group."""
+def _join_blocks(counts: np.ndarray, n: int, num: int, den: int, exact: bool):
+    """Links of each block, as stars: every linked class with one of its group.
+
+    ``exact``: also rows without ``_with``, with the documents that a class's links in this block lead to.
+    """
+    names = ["_class", "_with", "_links"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        left, right = [], []
-        for _, rows in _blocks(batches):
+        left, right, links = [], [], []
+        for (_, ci, cj), rows in _blocks(batches):
             sizes = rows["_size"].to_numpy()
             # Sizes alone rule out most chance meetings of two.
             if len(sizes) < 2 or (len(sizes) == 2 and sizes.min() * den < sizes.max() * num):
                 continue
             classes = rows["_class"].to_numpy()
             label = np.arange(len(classes))
+            if exact:
+                copies, chunk = rows["_n"].to_numpy(), rows["_c"].to_numpy()
             for i, found in Trie(_tokens(rows["_tokens"], counts, n), sizes, counts, num, den).partners():
                 merge = np.unique(label[np.append(found, i)])
                 if len(merge) > 1:
                     label[np.isin(label, merge)] = merge[0]
+                if exact:
+                    # Pairs inside a chunk are counted in the block (c, c) alone.
+                    counted = found if ci == cj else found[chunk[found] != chunk[i]]
+                    left.append(int(classes[i]))
+                    right.append(None)
+                    links.append(int(copies[counted].sum()))
             linked = np.flatnonzero(label != np.arange(len(classes)))
             left += classes[linked].tolist()
             right += classes[label[linked]].tolist()
+            links += [None] * len(linked)
             if len(left) > 20_000:
-                yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["_class", "_with"])
-                left, right = [], []
-        yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["_class", "_with"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (left, right, links)], names)
+                left, right, links = [], [], []
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (left, right, links)], names)
 
     return run
 
 
-def _deal(members: DataFrame, tokens: DataFrame, counts: np.ndarray, n: int, num: int, den: int) -> DataFrame:
-    """Join each block's members to their tokens, split large blocks, run the trie join: (_class, _with)."""
+def _deal(members: DataFrame, tokens: DataFrame, counts: np.ndarray, n: int, num: int, den: int, exact: bool = False) -> DataFrame:
+    """Join each block's members to their tokens, split large blocks, run the trie join: (_class, _with, _links)."""
+    also = ["_c", "_n"] if exact else []
     sized = members.groupBy("_block").agg(F.count("*").alias("_members"))
     chunks = F.ceil(F.col("_members") / CHUNK).cast("long")
     rows = members.join(sized.where("_members > 1"), "_block").withColumn("_chunks", chunks)
@@ -321,13 +339,13 @@ def _deal(members: DataFrame, tokens: DataFrame, counts: np.ndarray, n: int, num
         F.sequence(F.lit(0).cast("long"), F.col("_chunks") - 1),
         lambda k: F.struct(F.least(k, F.col("_c")).alias("_ci"), F.greatest(k, F.col("_c")).alias("_cj")),
     )
-    rows = rows.select("_block", "_class", F.explode(pair).alias("_p")).select("_block", "_class", "_p._ci", "_p._cj")
+    rows = rows.select("_block", "_class", "_c", F.explode(pair).alias("_p")).select("_block", "_class", "_c", "_p._ci", "_p._cj")
     rows = rows.join(tokens, "_class")
     return (
         rows.repartition("_block", "_ci", "_cj")
         .sortWithinPartitions("_block", "_ci", "_cj", "_class")
-        .select("_block", "_ci", "_cj", "_class", "_size", "_tokens")
-        .mapInArrow(_join_blocks(counts, n, num, den), "_class long, _with long")
+        .select("_block", "_ci", "_cj", "_class", "_size", "_tokens", *also)
+        .mapInArrow(_join_blocks(counts, n, num, den, exact), "_class long, _with long, _links long")
     )
 
 
@@ -370,9 +388,10 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def jaccard_groups(docs: DataFrame, shingle: int = SHINGLE, num: int = NUM, den: int = DEN, id_col: str = "doc_id", text_col: str = "text", row: Column | None = None) -> DataFrame:
-    """(_row, _id, n_shingles, component_id, _keep_row) for every row of ``docs``: links join documents
-    whose sets have a Jaccard similarity of ``num/den`` or more; ``_keep_row`` is the row of the
-    component's smallest id."""
+    """(_row, _id, n_shingles, component_id, _keep_row, class_id, n_links) for every row of ``docs``: links
+    join documents whose sets have a Jaccard similarity of ``num/den`` or more; ``_keep_row`` is the row of
+    the component's smallest id; ``class_id`` is the smallest id of the documents with the same set;
+    ``n_links`` counts the other rows that a row is linked with, those with the same set included."""
     counts = occurrences(docs, shingle, text_col)
     source = docs.select(
         (row if row is not None else F.monotonically_increasing_id()).alias("_row"),
@@ -412,29 +431,43 @@ def jaccard_groups(docs: DataFrame, shingle: int = SHINGLE, num: int = NUM, den:
     )
     # One document's text for each class that may link.
     chosen = classes.join(members.select("_class"), "_class").select(
-        "_class", "_size", F.col("_first._id").alias("_cid"), F.col("_first._hash").alias("_chash")
+        "_class", "_size", "_n", F.col("_first._id").alias("_cid"), F.col("_first._hash").alias("_chash")
     )
     packed = source.select("_id", "_hash", "_text").mapInArrow(_pack, "_id long, _hash long, _tokens binary")
     sets = packed.join(chosen, F.col("_id").eqNullSafe(F.col("_cid")) & (F.col("_hash") == F.col("_chash"))).select(
-        "_class", "_size", "_tokens"
+        "_class", "_size", "_n", "_tokens"
     )
-    tops = components(_deal(members, stage(sets.dropDuplicates(["_class"]), "texts"), counts, shingle, num, den))
+    sets = stage(sets.dropDuplicates(["_class"]), "texts")
+    joined = stage(_deal(members, sets, counts, shingle, num, den, exact=True), "joined")
+    tops = components(joined.where("_with is not null"))
+    links = joined.where("_with is null").groupBy("_class").agg(F.sum("_links").alias("_links"))
     # Every class with its component's smallest id; classes without links are their own component.
     top = classes.select("_class", "_n", "_first").join(tops, "_class", "left").withColumn("_top", F.coalesce("_top", "_class"))
     best = top.groupBy("_top").agg(F.min("_first").alias("_best"))
     groups = stage(
-        top.select("_class", "_n", "_top").join(best, "_top").select(
-            "_class", "_n", F.col("_best._id").alias("component_id"), F.col("_best._row").alias("_keep_row")
+        top.join(best, "_top").join(links, "_class", "left").select(
+            "_class",
+            "_n",
+            F.col("_best._id").alias("component_id"),
+            F.col("_best._row").alias("_keep_row"),
+            F.col("_first._id").alias("class_id"),
+            (F.coalesce("_links", F.lit(0)) + F.col("_n") - 1).alias("n_links"),
         ),
         "components",
     )
     rows = described.select("_row", "_id", "_class", F.col("_size").alias("n_shingles"))
     alone = rows.where("_class is null").select(
-        "_row", "_id", "n_shingles", F.col("_id").alias("component_id"), F.col("_row").alias("_keep_row")
+        "_row",
+        "_id",
+        "n_shingles",
+        F.col("_id").alias("component_id"),
+        F.col("_row").alias("_keep_row"),
+        F.col("_id").alias("class_id"),
+        F.lit(0).cast("long").alias("n_links"),
     )
     linked = rows.where("_class is not null")
     return join_groups(linked, groups, ["_class"], "_n", linked.count()).select(
-        "_row", "_id", "n_shingles", "component_id", "_keep_row"
+        "_row", "_id", "n_shingles", "component_id", "_keep_row", "class_id", "n_links"
     ).unionByName(alone)
 
 

@@ -78,6 +78,13 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and number of links of every document: three-word shingles overlap by 0.9 or more."""
+    return jaccard_join.jaccard_groups(table(spark, sf_dir, "documents")).select(
+        F.col("_id").alias("doc_id"), "class_id", "n_links"
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -91,6 +98,7 @@ QUERIES = {
         op8_license_scan,
         op9_nearest,
         op10_jaccard_join,
+        op10_jaccard_links,
     )
 }
 
@@ -145,4 +153,22 @@ ORACLE = {
         )
         select w.doc_id, coalesce(n.n, 0) as n_shingles, min(reach.r) as component_id
         from w join reach using (doc_id) left join n using (doc_id) group by w.doc_id, n.n""",
+    "op10_jaccard_links": f"""
+        with w as (
+            select doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') as words from documents
+        ), s as (
+            select doc_id, words, unnest(range(1, greatest(len(words) - 1, 2))) as i from w where len(words) > 0
+        ), sets as materialized (
+            select distinct doc_id, hash(list_slice(words, i, i + 2)) as g from s
+        ), n as materialized (select doc_id, count(*) as n from sets group by doc_id),
+        pairs as (
+            select a.doc_id as a, b.doc_id as b, count(*) as c
+            from sets a join sets b on a.g = b.g and a.doc_id <> b.doc_id group by 1, 2
+        ), links as (
+            select x.doc_id, count(*) as n_links, min(y.doc_id) filter (where c = x.n and c = y.n) as copy
+            from pairs join n x on x.doc_id = a join n y on y.doc_id = b
+            where 100 * c >= 90 * (x.n + y.n - c) group by 1
+        )
+        select w.doc_id, least(w.doc_id, coalesce(links.copy, w.doc_id)) as class_id, coalesce(n_links, 0) as n_links
+        from w left join links using (doc_id)""",
 }

@@ -162,6 +162,27 @@ def test_large_block_is_split_and_joined(spark, monkeypatch):
     assert {r.component_id for r in got} == {0}
 
 
+def test_jaccard_links(spark, docs, monkeypatch):
+    """Every link counts once for either side: chains, copies, and pairs within and across chunks."""
+    monkeypatch.setattr(jaccard_join, "CHUNK", 3)
+    words = [f"w{i}" for i in range(90)]
+    chain = [" ".join([*(f"x{i}" for i in range(k)), *words[k:]]) for k in range(0, 24, 2)]
+    made = [(k % 9 or None, t) for k, t in enumerate([*chain, *chain[3:6], chain[4].upper()])]
+    made = spark.createDataFrame(made, "doc_id long, text string").repartition(3)
+    for table_, n, num, den in ((made, 3, 9, 10), (docs, 3, 9, 10), (docs, 5, 4, 5)):
+        sets = []
+        for r in table_.collect():
+            w = SPACED.findall(lower(r.text))
+            sets.append((r.doc_id, {tuple(w[a : a + n]) for a in range(max(1, len(w) - n + 1))} if w else set()))
+        want = []
+        for k, (i, s) in enumerate(sets):
+            same = [j for j, t in sets if t == s and j is not None] if s else [i]
+            links = sum(j != k and den * len(s & t) >= num * len(s | t) for j, (_, t) in enumerate(sets)) if s else 0
+            want.append((i, min(same) if same else None, links))
+        got = jaccard_join.jaccard_groups(table_, n, num, den)
+        assert table(got, "_id", "class_id", "n_links") == Counter(want)
+
+
 def test_license_scan(docs, no_docs):
     got = {(r.doc_id, r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) for r in licenses.scan(docs).collect()}
     assert (13, 13, 3, 2, 10, "cc-by,gpl,reserved") in got and (0, 0, 0, None, None, "") in got
