@@ -12,7 +12,10 @@ thirteenth of the windows) tells which anchors occur in two documents; windows
 whose anchor does not cannot repeat. This leaves nothing out. The counting
 aggregates combine before the shuffle, so a passage that a third of all
 documents share is folded inside each task; the joins back have one row per
-hash on one side, and adaptive execution splits their hot partitions.
+hash on one side, and adaptive execution splits their hot partitions. Rows are
+staged under a row number, and the lists of anchors and windows are kept by it,
+so a list is bounded by its own text however many rows share an id; ids only
+decide which window stays.
 
 Defined cases: a null text has no words; a text under 50 words keeps all; a
 null id ranks above every other; rows that share an id are one document as
@@ -76,22 +79,26 @@ class Windows:
 
 
 def _scan(window: int):
-    """Per document: number of words and digest of all words; per distinct anchor: a row."""
+    """Per document: packed text, number of words and digest of all words; per distinct anchor: a row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["_id", "_hash", "_words", "_sha", "_kind"]
+        names = ["_row", "_id", "_hash", "_words", "_sha", "_packed", "_kind"]
+        squeeze = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
             texts = batch.column("_text").to_pylist()
+            numbers = batch.column("_row").to_numpy(zero_copy_only=False)
             ids = batch.column("_id").to_numpy(zero_copy_only=False)
             for a, b in batches_of_bytes(texts):
                 v = Windows(texts[a:b], window)
                 shas = [hashlib.sha256(b" ".join(t.split() if t else [])).hexdigest() for t in texts[a:b]]
                 yield pa.RecordBatch.from_arrays(
                     [
+                        pa.array(numbers[a:b], pa.int64()),
                         pa.array(ids[a:b], pa.int64()),
                         pa.nulls(b - a, pa.int64()),
                         pa.array(np.diff(v.words.first), pa.int64()),
                         pa.array(shas, pa.string()),
+                        pa.array([squeeze(t or b"") for t in texts[a:b]], pa.binary()),
                         pa.array(["doc"] * (b - a), pa.string()),
                     ],
                     names,
@@ -108,10 +115,12 @@ def _scan(window: int):
                 n = len(doc)
                 yield pa.RecordBatch.from_arrays(
                     [
+                        pa.array(numbers[a:b][doc], pa.int64()),
                         pa.array(ids[a:b][doc], pa.int64()),
                         pa.array(anchor.view(np.int64), pa.int64()),
                         pa.nulls(n, pa.int64()),
                         pa.nulls(n, pa.string()),
+                        pa.nulls(n, pa.binary()),
                         pa.array(["anchor"] * n, pa.string()),
                     ],
                     names,
@@ -120,13 +129,6 @@ def _scan(window: int):
     return run
 
 
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    squeeze = zstandard.ZstdCompressor(level=3).compress
-    for batch in batches:
-        packed = [squeeze(t or b"") for t in batch.column("_text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(packed, pa.binary())], ["_id", "_packed"])
-
-
 def _unpack(packed: list[bytes]) -> Iterator[tuple[int, int, list[bytes]]]:
     """Texts of a batch in runs of about a few MB."""
     unsqueeze = zstandard.ZstdDecompressor().decompress
@@ -164,13 +166,19 @@ def _among(doc: np.ndarray, value: np.ndarray, in_doc: np.ndarray, wanted: np.nd
 def _window_rows(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            numbers = batch.column("_row").to_numpy(zero_copy_only=False)
             ids = batch.column("_id").to_numpy(zero_copy_only=False)
             for a, b, texts in _unpack(batch.column("_packed").to_pylist()):
                 v = Windows(texts, window)
                 chosen = _among(v.doc, v.anchor, *_listed(batch.column("_anchors"), a, b))
                 doc, hashes = v.doc[chosen], v.hashes(chosen)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[a:b][doc], pa.int64()), pa.array(hashes.view(np.int64), pa.int64())], ["_id", "_hash"]
+                    [
+                        pa.array(numbers[a:b][doc], pa.int64()),
+                        pa.array(ids[a:b][doc], pa.int64()),
+                        pa.array(hashes.view(np.int64), pa.int64()),
+                    ],
+                    ["_row", "_id", "_hash"],
                 )
 
     return run
@@ -200,13 +208,14 @@ def _cut(window: int, with_text: bool):
                     kept_texts.append(kept.decode("utf-8", "replace") if with_text else None)
                 yield pa.RecordBatch.from_arrays(
                     [
+                        batch.column("_row").slice(a, b - a),
                         batch.column("_id").slice(a, b - a),
                         pa.array(np.diff(w.first), pa.int64()),
                         pa.array(removed, pa.int64()),
                         pa.array(shas, pa.string()),
                         pa.array(kept_texts, pa.string()),
                     ],
-                    ["_id", "_words", "_removed", "_sha", "_kept"],
+                    ["_row", "_id", "_words", "_removed", "_sha", "_kept"],
                 )
 
     return run
@@ -218,34 +227,35 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     ``kept_text``: the kept words joined by one space; null where nothing was removed.
     """
     source = docs.select(
+        F.monotonically_increasing_id().alias("_row"),
         F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("_id"),
         text_bytes(text_col).alias("_text"),
     )
     scanned = stage(
-        source.mapInArrow(_scan(window), "_id long, _hash long, _words long, _sha string, _kind string"),
+        source.mapInArrow(_scan(window), "_row long, _id long, _hash long, _words long, _sha string, _packed binary, _kind string"),
         "window-scan",
         partition_by="_kind",
     )
-    anchors = scanned.where("_kind = 'anchor'").select("_id", "_hash")
+    anchors = scanned.where("_kind = 'anchor'").select("_row", "_id", "_hash")
     repeated = anchors.groupBy("_hash").agg(F.min("_id").alias("_lo"), F.max("_id").alias("_hi")).where("_lo < _hi")
-    # A list is bounded by the document's own length.
-    wanted = anchors.join(repeated.select("_hash"), "_hash").groupBy("_id").agg(F.collect_set("_hash").alias("_anchors"))
-    packed = source.mapInArrow(_pack, "_id long, _packed binary")
-    candidates = stage(packed.join(wanted, "_id"), "window-candidates")
-    windows = candidates.mapInArrow(_window_rows(window), "_id long, _hash long")
+    # A list is bounded by the row's own text.
+    wanted = anchors.join(repeated.select("_hash"), "_hash").groupBy("_row").agg(F.collect_set("_hash").alias("_anchors"))
+    packed = scanned.where("_kind = 'doc'").select("_row", "_id", "_packed")
+    candidates = stage(packed.join(wanted, "_row"), "window-candidates")
+    windows = candidates.mapInArrow(_window_rows(window), "_row long, _id long, _hash long")
     lowest = windows.groupBy("_hash").agg(F.min("_id").alias("_lo"), F.max("_id").alias("_hi")).where("_lo < _hi").drop("_hi")
     gone = (
         windows.join(lowest, "_hash")
         .where("_lo < _id")
-        .groupBy("_id")
+        .groupBy("_row")
         .agg(F.collect_set("_hash").alias("_gone"))
     )
-    cut = candidates.select("_id", "_packed").join(gone, "_id").mapInArrow(
-        _cut(window, with_text), "_id long, _words long, _removed long, _sha string, _kept string"
+    cut = candidates.select("_row", "_id", "_packed").join(gone, "_row").mapInArrow(
+        _cut(window, with_text), "_row long, _id long, _words long, _removed long, _sha string, _kept string"
     )
     cut = stage(cut if with_text else cut.drop("_kept"), "window-cut")
-    whole = scanned.where("_kind = 'doc'").select("_id", "_words", F.lit(0).cast("long").alias("_removed"), "_sha")
-    whole = whole.join(cut.select("_id").distinct(), "_id", "left_anti")
+    whole = scanned.where("_kind = 'doc'").select("_row", "_id", "_words", F.lit(0).cast("long").alias("_removed"), "_sha")
+    whole = whole.join(cut.select("_row"), "_row", "left_anti")
     out = cut.unionByName(whole, allowMissingColumns=with_text)
     doc_id = F.when(F.col("_id") != LAST, F.col("_id")).alias("doc_id")
     columns = [doc_id, F.col("_words").alias("n_words"), F.col("_removed").alias("n_removed"), F.col("_sha").alias("kept_sha256")]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from apiary.llm import bpe, exact_dedup, jaccard_join, licenses, mixing, neighbours, quality, sharding, substring_dedup, token_counts
+from apiary.llm.common import stage
 from llm_rows import rows
 
 SPACED = re.compile(r"[^\x20\x09-\x0D]+")
@@ -113,6 +114,21 @@ def test_substring_dedup(docs, no_docs):
     assert substring_dedup.remove_repeats(no_docs).count() == 0
 
 
+def test_substring_lists_stay_within_a_row(spark, monkeypatch):
+    """Rows that share an id, or have none, never carry each other's anchors and windows."""
+    staged = {}
+    monkeypatch.setattr(substring_dedup, "stage", lambda df, name, *a, **b: staged.setdefault(name, stage(df, name, *a, **b)))
+    texts = [" ".join(f"t{k}w{i}" for i in range(60)) for k in range(30)]
+    made = [(1 + k, t) for k, t in enumerate(texts)] + [(None, t) for t in texts] + [(99, t) for t in texts]
+    got = substring_dedup.remove_repeats(spark.createDataFrame(made, "doc_id long, text string").repartition(3))
+    assert Counter((r.doc_id, r.n_removed) for r in got.collect()) == Counter(
+        [(1 + k, 0) for k in range(30)] + [(None, 60)] * 30 + [(99, 60)] * 30
+    )
+    candidates = staged["window-candidates"]
+    assert candidates.count() == 90
+    assert candidates.agg(F.max(F.size("_anchors"))).first()[0] <= 60 - substring_dedup.WINDOW + 1
+
+
 def test_mixing(docs, no_docs):
     mix = mixing.Mix(docs, block=16)
     got = mix.per_document().collect()
