@@ -8,8 +8,11 @@ per-minute aggregate (at most 60 rows per hour), never the transactions.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from apiary.functions.baskets import (
     ITEM_PREFIX,
@@ -19,6 +22,7 @@ from apiary.functions.baskets import (
 )
 from apiary.functions.transactions import ACCEPTED, calendar_columns, txn_status
 from apiary.operators.aggregate import fixed_sum
+from apiary.operators.ingest import CORRUPT, MALFORMED, MISSING_FIELD, _json_options
 from apiary.schemas import MESSAGE_TIMESTAMP_FORMAT, TRANSACTION, TXN_COUNT_MIN, TXN_MESSAGE
 
 TRANSACTION_COLUMNS = tuple(f.name for f in TRANSACTION.fields)
@@ -34,8 +38,8 @@ def with_calendar(txns: DataFrame, ts: str = "txn_time") -> DataFrame:
     return txns.select(*[c for c in txns.columns if c not in cols], *[v.alias(k) for k, v in cols.items()])
 
 
-def to_transactions(txns: DataFrame) -> DataFrame:
-    """Rows in the stored transaction layout; absent columns are null."""
+def to_transactions(txns: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Rows in the stored transaction layout (and the columns ``keep``); absent columns are null."""
     out = with_calendar(txns)
     cols = []
     for f in TRANSACTION.fields:
@@ -43,20 +47,48 @@ def to_transactions(txns: DataFrame) -> DataFrame:
             cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-    return out.select(*cols)
+    return out.select(*cols, *keep)
 
 
-def parse_transactions(messages: DataFrame) -> DataFrame:
-    """JSON transaction messages → flagged rows in the stored layout.
+def parse_transaction_messages(messages: DataFrame, strict: bool = False) -> DataFrame:
+    """``messages(value[, key])`` → message fields + ``reason``, null for a good message.
 
-    Messages that are not valid JSON are dropped here; the count of lines
-    per batch is kept by the streaming sink.
+    A message that is not valid JSON or has a wrongly typed field is malformed;
+    one without ``txn_id`` misses a field. In strict mode either raises instead.
     """
-    opts = {"timestampFormat": MESSAGE_TIMESTAMP_FORMAT, "mode": "PERMISSIVE"}
+    schema = TXN_MESSAGE
+    if not strict:
+        schema = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
+    key = F.col("key").cast("string") if "key" in messages.columns else F.lit(None).cast("string")
     parsed = messages.select(
-        F.explode(F.array(F.from_json(F.col("value").cast("string"), TXN_MESSAGE, opts))).alias("m")
-    ).select("m.*")
-    return to_transactions(flag(parsed.where(F.col("txn_id").isNotNull())))
+        key.alias("key"),
+        F.col("value").cast("string").alias("value"),
+        F.explode(F.array(F.from_json(F.col("value").cast("string"), schema, _json_options(strict)))).alias("m"),
+    ).select("key", "value", "m.*")
+    parsed = parsed.withColumn("tags", F.array_distinct("tags"))
+    missing = F.col("txn_id").isNull()
+    if strict:
+        said = F.concat(F.lit("message misses txn_id: "), F.coalesce("value", F.lit("null")))
+        checked = F.when(missing, F.raise_error(said)).otherwise(F.col("txn_id"))
+        return parsed.withColumn("txn_id", checked.cast("string")).withColumn("reason", F.lit(None).cast("string"))
+    reason = F.when(F.col(CORRUPT).isNotNull() | F.col("value").isNull(), F.lit(MALFORMED)).when(
+        missing, F.lit(MISSING_FIELD)
+    )
+    return parsed.withColumn("reason", reason).drop(CORRUPT)
+
+
+def good_transactions(parsed: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Good parsed messages → flagged rows in the stored layout (and the columns ``keep``)."""
+    return to_transactions(flag(parsed.where(F.col("reason").isNull())), keep)
+
+
+def parse_transactions(messages: DataFrame, strict: bool = False) -> DataFrame:
+    """JSON transaction messages → flagged rows in the stored layout.
+
+    Bad messages are left out here; the streaming sink stores them with a
+    reason. In strict mode the first one raises.
+    """
+    return good_transactions(parse_transaction_messages(messages, strict))
 
 
 def minute_counts(txns: DataFrame, status: str = "status", ts: str = "txn_time") -> DataFrame:

@@ -699,13 +699,15 @@ def txn_count_min(spark: SparkSession, sf_dir: str) -> DataFrame:
     return txn_ops.txn_count_min(_flagged(spark, sf_dir))
 
 
-def _run_txn_stream(spark: SparkSession, sf_dir: str) -> stream_txn.TxnPaths:
+def _run_txn_stream(spark: SparkSession, sf_dir: str, bad: DataFrame | None = None) -> stream_txn.TxnPaths:
     feed = work_path(spark, "feeds", "transactions")
     msgs = txn_ops.encode_transactions(tb.transactions_input(spark, sf_dir))
     msgs.repartition(FEED_FILES).write.text(feed)
     # Some messages are sent a second time: each transaction still counts once.
     again = msgs.where(F.pmod(F.xxhash64("value"), F.lit(4)) == 0)
     again.coalesce(FEED_FILES).write.mode("append").text(feed)
+    if bad is not None:
+        bad.write.mode("append").text(feed)
     paths = stream_txn.TxnPaths(
         table=work_path(spark, "tables", "transactions"),
         counts=work_path(spark, "tables", "txn_lines"),
@@ -743,6 +745,22 @@ def stream_txn_count_min(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_txn.read_txn_count_min(spark, paths.table)
 
 
+@query(
+    "stream_txn_quarantine",
+    """
+SELECT '{"txn_id": "' || event_id || '"' AS value, 'malformed' AS reason FROM events WHERE event_id % 10 = 0
+UNION ALL
+SELECT '{"notes": "' || event_id || '"}', 'missing_field' FROM events WHERE event_id % 10 = 1""",
+)
+def stream_txn_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages the transaction stream could not store (cut short, or without an id), with the reason."""
+    e = tb.table(spark, sf_dir, "events")
+    cut = e.where("event_id % 10 = 0").select(F.concat(F.lit('{"txn_id": "'), "event_id", F.lit('"')).alias("value"))
+    no_id = e.where("event_id % 10 = 1").select(F.concat(F.lit('{"notes": "'), "event_id", F.lit('"}')).alias("value"))
+    paths = _run_txn_stream(spark, sf_dir, cut.unionByName(no_id))
+    return stream_txn.read_txn_quarantine(spark, paths.quarantine).select("value", "reason")
+
+
 SQL_BASKET_ITEMS = f"""
 p AS (
   SELECT l_orderkey, 'Item_' || CAST(l_partkey AS VARCHAR) AS item,

@@ -6,7 +6,7 @@ Each micro-batch (``foreachBatch``):
    splitting the instant into the stored calendar fields;
 2. appends them to the transactions table in (``date_text``, ``batch_id``)
    folders (merge-on-read by the key card, day, instant);
-3. writes the batch's line counts.
+3. writes the bad messages with a reason, and the batch's line counts.
 
 Every output of a batch lives in folders of that batch and is written with
 dynamic overwrite, so a replayed batch replaces its output. The per-minute
@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from apiary.operators.transactions import parse_transactions, txn_count_min
+from apiary.operators.ingest import QUARANTINE_SCHEMA, quarantined
+from apiary.operators.transactions import good_transactions, parse_transaction_messages, txn_count_min
 from apiary.operators.upsert import append_batch, compact_batches, read_latest
 from apiary.schemas import TRANSACTION, TRANSACTION_KEY
 
@@ -46,6 +47,10 @@ class TxnPaths:
     table: str
     counts: str
     checkpoint: str
+    quarantine: str = ""
+
+    def __post_init__(self) -> None:
+        self.quarantine = self.quarantine or f"{self.table}-quarantine"
 
 
 def _overwrite_batch(df: DataFrame, path: str) -> None:
@@ -62,28 +67,29 @@ def txn_batch(
     batch_id: int,
     paths: TxnPaths,
     on_counts: Callable[[int, int, int], None] | None = None,
+    strict: bool = False,
 ) -> None:
+    """Process one micro-batch; with ``strict`` the first bad message fails it and nothing is stored."""
     bid = F.lit(batch_id).cast("long")
     # Line and transaction counts are observed while the append job runs.
-    seen_lines = Observation(f"txn_lines_{batch_id}_{uuid.uuid4().hex[:8]}")
-    seen_txns = Observation(f"txns_{batch_id}_{uuid.uuid4().hex[:8]}")
-    lines = batch.select("value").observe(seen_lines, F.count(F.lit(1)).alias("n"))
-    txns = (
-        parse_transactions(lines)
-        .observe(seen_txns, F.count(F.lit(1)).alias("n"))
+    seen = Observation(f"txns_{batch_id}_{uuid.uuid4().hex[:8]}")
+    parsed = (
+        parse_transaction_messages(batch, strict)
+        .observe(seen, F.count(F.lit(1)).alias("lines"), F.count_if(F.col("reason").isNull()).alias("good"))
         .withColumn("batch_id", bid)
         .withColumn("batch_seq", F.monotonically_increasing_id())
         .persist()
     )
     try:
-        append_batch(txns, paths.table, TXN_PARTITION, "batch_id")
-        n_lines, n_txns = seen_lines.get["n"], seen_txns.get["n"]
+        append_batch(good_transactions(parsed, ORDER_COLUMNS), paths.table, TXN_PARTITION, "batch_id")
+        _overwrite_batch(quarantined(parsed).withColumn("batch_id", bid), paths.quarantine)
+        n_lines, n_txns = seen.get["lines"], seen.get["good"]
         counts = batch.sparkSession.createDataFrame([(n_lines, n_txns, batch_id)], LINE_COUNTS)
         _overwrite_batch(counts, paths.counts)
         if on_counts is not None:
             on_counts(batch_id, n_lines, n_txns)
     finally:
-        txns.unpersist()
+        parsed.unpersist()
 
 
 def start_txn_ingest(
@@ -91,10 +97,11 @@ def start_txn_ingest(
     paths: TxnPaths,
     trigger: dict | None = None,
     on_counts: Callable[[int, int, int], None] | None = None,
+    strict: bool = False,
 ) -> StreamingQuery:
     """Start the transaction stream; 1-second micro-batches by default."""
     return (
-        messages.writeStream.foreachBatch(lambda df, bid: txn_batch(df, bid, paths, on_counts))
+        messages.writeStream.foreachBatch(lambda df, bid: txn_batch(df, bid, paths, on_counts, strict))
         .option("checkpointLocation", paths.checkpoint)
         .trigger(**(trigger or {"processingTime": "1 second"}))
         .start()
@@ -140,5 +147,10 @@ def read_txn_count_min(spark: SparkSession, table: str, days=None) -> DataFrame:
     return txn_count_min(txns)
 
 
+def read_txn_quarantine(spark: SparkSession, quarantine: str) -> DataFrame:
+    """Messages that were not stored: key, raw text and reason."""
+    return spark.read.schema(QUARANTINE_SCHEMA).parquet(quarantine)
+
+
 def read_line_counts(spark: SparkSession, counts: str) -> DataFrame:
     return spark.read.schema(LINE_COUNTS).parquet(counts)
