@@ -3,12 +3,11 @@ import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [os.path.dirname(HERE), HERE]
 
 from apiary.session import build_session  # noqa: E402
 
-SF_SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -22,6 +21,3 @@ def spark():
     yield s
     s.stop()
 
-
-def plan_text(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()

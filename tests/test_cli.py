@@ -1,7 +1,7 @@
 from apiary import cli
 from apiary.plans import testbed as tb
 from apiary.session import work_path
-from conftest import SF_SMALL
+from support import SF_SMALL
 
 
 def test_ingest_then_hive_average_then_compact(spark, capsys):

@@ -7,7 +7,7 @@ from apiary.operators import joins
 from apiary.plans import catalog
 from apiary.plans import testbed as tb
 from apiary.session import work_path
-from conftest import SF_SMALL, plan_text
+from support import SF_SMALL, plan_text
 
 
 def test_hive_average_plan(spark):

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from apiary.operators import retention, upsert
 from apiary.plans import testbed as tb
 from apiary.session import work_path
-from conftest import SF_SMALL
+from support import SF_SMALL
 
 
 def test_retained_filter_and_expire(spark):

@@ -7,7 +7,7 @@ from apiary.operators import ingest, upsert, windows
 from apiary.plans import testbed as tb
 from apiary.session import work_path
 from apiary.streaming import ingest as si
-from conftest import SF_SMALL
+from support import SF_SMALL
 
 COLS = ["sensor_id", "bucket_ts", "time", "hive", "level", "wing", "sensor_type", "value", "latlong", "bucket_date"]
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from apiary.operators import summaries, windows
 from apiary.plans import testbed as tb
-from conftest import SF_SMALL
+from support import SF_SMALL
 
 
 def test_rollup_equals_direct(spark):
