@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from apiary.llm import (
+    alignment,
     bpe,
+    collocations,
     exact_dedup,
     jaccard_join,
     licenses,
+    main_text,
     mixing,
     neighbours,
     quality,
@@ -85,6 +88,22 @@ def op10_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's first 2,000 collocations of two to five words."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages")
+    return main_text.extract(pages, main_text.train(pages))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tokenizers aligned over every text, with corpus-wide counts of linked id pairs."""
+    return alignment.link_counts(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -99,6 +118,9 @@ QUERIES = {
         op9_nearest,
         op10_jaccard_join,
         op10_jaccard_links,
+        op11_collocations,
+        op12_main_text,
+        op13_alignment,
     )
 }
 
@@ -171,4 +193,37 @@ ORACLE = {
         )
         select w.doc_id, least(w.doc_id, coalesce(links.copy, w.doc_id)) as class_id, coalesce(n_links, 0) as n_links
         from w left join links using (doc_id)""",
+    "op11_collocations": f"""
+        with pieces as (
+            select coalesce(lang, 'und') as lang, unnest(string_split_regex({_LOWER}, '[.,;:!?\x0A-\x0D]')) as piece from documents
+        ), w as (
+            select lang, regexp_extract_all(piece, '[^\x20\x09]+') as words from pieces
+        ), n as (
+            select lang, sum(len(words))::bigint as n from w group by lang
+        ), spots as (
+            select lang, words, unnest(range(1, len(words) + 1)) as i from w
+        ), f as materialized (
+            select lang, k::bigint as k, array_to_string(list_slice(words, i, i + k - 1), ' ') as phrase, count(*) as f
+            from spots join (select unnest(range(1, 6)) as k) on i + k - 1 <= len(words) group by all having count(*) >= 100
+        ), candidates as materialized (
+            select lang, k, phrase, string_split(phrase, ' ') as words, f as a from f where k >= 2
+        ), inside as (
+            select c.lang, array_to_string(list_slice(words, i, i + m - 1), ' ') as phrase, max(a) as longer
+            from candidates c, (select unnest(range(1, 6)) as i), (select unnest(range(2, 5)) as m)
+            where m < k and i + m - 1 <= k group by all
+        ), cuts as (
+            select c.lang, c.phrase, a, j, array_to_string(list_slice(words, 1, j), ' ') as head,
+                   array_to_string(list_slice(words, j + 1, k), ' ') as tail
+            from candidates c left join inside using (lang, phrase), (select unnest(range(1, 5)) as j)
+            where j < k and (longer is null or 100 * longer < 100 * a)
+        ), scored as (
+            select cuts.lang, cuts.phrase, a, j, h.f as l, t.f as r, n,
+                   ((1000::hugeint * a * n) // (h.f::hugeint * t.f))::bigint as score
+            from cuts join f h on h.lang = cuts.lang and h.phrase = head
+                 join f t on t.lang = cuts.lang and t.phrase = tail join n on n.lang = cuts.lang
+        ), best as (
+            select * from scored qualify row_number() over (partition by lang, phrase order by score, j) = 1
+        )
+        select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score
+        from best qualify row_number() over (partition by lang order by score desc, a desc, phrase) <= 2000""",
 }
