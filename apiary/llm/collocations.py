@@ -6,14 +6,19 @@ are, so each pass looks at the phrases whose two parts passed a filter built
 from the frequent phrases of the pass before. The filter is a Bloom filter of
 fixed size (``FILTER_BITS``): it may let a rare phrase through, it never stops a
 frequent one, and however full it gets only the work grows, never the result.
+Phrases of two words, of which most are rare, go through one more filter:
+their occurrences are first counted by hash bucket (``BUCKETS``, each task's counts
+travel as compressed runs of one part of the buckets), and a phrase whose
+bucket stays below the least count is not looked at. Again a rare phrase may pass,
+a frequent one always does.
 
 Counting in a task (:class:`BurstTrie`): a shallow trie over word numbers holds
 hash containers of phrase ends. A container beyond ``BURST`` entries bursts into
 a node with one container per next word. When the trie holds ``KEPT`` entries, its
 largest subtrees leave as whole, as sorted runs, until half of it is free. The
-runs are dealt by (language, first word, one of 64 parts by the second word) and
-merged there; a part holds what a task has already summed, so a hot first word
-sends at most its distinct phrases, in 64 parts.
+runs are dealt by a hash of their prefix (the first word, and which of 64 parts the
+second word belongs to) and merged there; what is dealt is already summed by its task,
+so a hot first word sends at most its distinct phrases of each task, in 64 parts.
 
 Scores use exact integers (decimals of 38 digits). Defined cases: a null text
 counts as empty, a null language is ``und``; ids are not read, so repeated rows
@@ -23,6 +28,7 @@ empty result; other columns are not read.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +42,11 @@ from apiary.llm.words import U64, hash_runs, mix
 
 # Bits of the filter of frequent phrases; at most an eighth of it in bytes is sent to each worker.
 FILTER_BITS = 1 << 26
+# Buckets of the count of two-word phrases (a power of two), and of one run of them.
+BUCKETS = 1 << 26
+SEGMENT = 1 << 16
+# Buckets a task holds before it hands on their counts.
+HELD_BUCKETS = 2_000_000
 # Entries of a container before it bursts, and of a trie before its largest subtrees are spilled.
 BURST = 4096
 KEPT = 400_000
@@ -96,8 +107,7 @@ class BurstTrie:
     """Counts of phrases of ``n`` words (numbers below 2**WORD_BITS) in hash containers below a shallow trie.
 
     A subtree belongs to one head: language and first word (language alone for single words, two words of a phrase
-    of five), so that the rest
-    of a phrase always fits one 64-bit key. A node is ``[children, None]``, a container ``[None, counts by key]``.
+    of five), so that the rest of a phrase always fits one 64-bit key. A node is ``[children, None]``, a container ``[None, counts by key]``.
     """
 
     def __init__(self, n: int, burst: int = BURST):
@@ -216,12 +226,21 @@ def _distinct(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
 
 
 class PhraseCounter:
-    """Phrases of ``n`` words of one task, as sorted runs (lang, first, part, phrase, f)."""
-
-    SCHEMA = "lang string, first string, part int, phrase string, f long"
-
-    def __init__(self, n: int, bits: np.ndarray | None, kept: int = KEPT, remembered: int = REMEMBERED, burst: int = BURST):
-        self.n, self.bits, self.kept, self.remembered, self.burst = n, bits, kept, remembered, burst
+    """Phrases of ``n`` words of one task, as sorted runs (lang, part, phrase, f)."""
+
+    SCHEMA = "lang string, part int, phrase string, f long"
+
+    def __init__(
+        self,
+        n: int,
+        bits: np.ndarray | None = None,
+        buckets: np.ndarray | None = None,
+        kept: int = KEPT,
+        remembered: int = REMEMBERED,
+        burst: int = BURST,
+    ):
+        self.n, self.bits, self.buckets = n, bits, buckets
+        self.kept, self.remembered, self.burst = kept, remembered, burst
         self.clear()
 
     def clear(self) -> None:
@@ -237,49 +256,64 @@ class PhraseCounter:
         rank = np.empty(len(words), dtype=np.int64)
         rank[pc.sort_indices(words).to_numpy()] = np.arange(len(words))
         order = np.lexsort([rank[c] for c in columns[:0:-1]] + [columns[0]])
-        part_of = name_hashes(self.words.words) % U64(PARTS)
+        hashes = self.words.hashes()
         for at in range(0, len(order), 100_000):
             rows = order[at : at + 100_000]
             taken = [words.take(pa.array(c[rows])) for c in columns[1:]]
             phrase = taken[0] if self.n == 1 else pc.binary_join_element_wise(*taken, b" ")
-            part = part_of[columns[2][rows]] if self.n > 1 else np.zeros(len(rows))
+            part = hashes[columns[1][rows]]
+            if self.n > 1:
+                part = mix(part * _STEP + hashes[columns[2][rows]] % U64(PARTS))
             yield pa.RecordBatch.from_arrays(
                 [
-                    langs.take(pa.array(columns[0][rows])).cast(pa.string()), taken[0].cast(pa.string()),
-                    pa.array(part.astype(np.int32)), phrase.cast(pa.string()), pa.array(counts[rows]),
+                    langs.take(pa.array(columns[0][rows])).cast(pa.string()),
+                    pa.array((part & U64(0x7FFFFFFF)).astype(np.int32)), phrase.cast(pa.string()), pa.array(counts[rows]),
                 ],
-                names=["lang", "first", "part", "phrase", "f"],
+                names=["lang", "part", "phrase", "f"],
             )
 
+    def hashes(self, langs: np.ndarray, ids: np.ndarray, at: np.ndarray, first: int, last: int) -> np.ndarray:
+        """Hash of the language and of words ``first`` to ``last - 1`` after each position."""
+        word_hash, h = self.words.hashes(), self.langs.hashes()[langs[at]]
+        for k in range(first, last):
+            h = mix(h * _STEP + word_hash[ids[at + k]])
+        return h
+
+    def places(self, langs: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """Positions where a phrase starts that may be frequent."""
+        n, m = self.n, len(ids) - self.n + 1
+        if n == 1 or m <= 0:
+            return np.flatnonzero(ids) if n == 1 else np.zeros(0, np.int64)
+        ok = ids[:m] != 0
+        for k in range(1, n):
+            ok &= ids[k : k + m] != 0
+        # Each text ends with a cut, so a phrase has one language.
+        at = np.flatnonzero(ok)
+        for first in (0, 1):
+            at = at[_in_filter(self.bits, self.hashes(langs, ids, at, first, first + n - 1))]
+        if self.buckets is not None:
+            at = at[_in_buckets(self.buckets, self.hashes(langs, ids, at, 0, n))]
+        return at
+
     def block(self, lang: list[int], parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         """Count the phrases of some texts: language and token numbers (ending with a cut) of each."""
-        n = self.n
         ids = np.concatenate(parts)
         langs = np.repeat(np.array(lang, dtype=np.int64), [len(p) for p in parts])
-        m = len(ids) - n + 1
-        at = np.flatnonzero(ids)
-        if n > 1 and m > 0:
-            ok = ids[:m] != 0
-            for k in range(1, n):
-                ok &= ids[k : k + m] != 0
-            at = np.flatnonzero(ok)
-            # Each text ends with a cut, so a phrase has one language.
-            word_hash, h = self.words.hashes(), self.langs.hashes()[langs[at]]
-            for k in range(n - 1):
-                h = mix(h * _STEP + word_hash[ids[at + k]])
-            at = at[_in_filter(self.bits, h)]
-            h = self.langs.hashes()[langs[at]]
-            for k in range(1, n):
-                h = mix(h * _STEP + word_hash[ids[at + k]])
-            at = at[_in_filter(self.bits, h)]
-        if len(at) and m > 0:
-            self.trie.add(*_distinct([langs[at], *(ids[at + k] for k in range(n))]))
-        if self.trie.entries > self.kept:
-            yield from self.run(self.trie.spill(self.kept // 2))
+        at = self.places(langs, ids)
+        if len(at):
+            yield from self.count(langs, ids, at)
         if len(self.words.words) > self.remembered:
-            yield from self.run(self.trie.spill(0))
+            yield from self.finish()
             self.clear()
 
+    def count(self, langs: np.ndarray, ids: np.ndarray, at: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.trie.add(*_distinct([langs[at], *(ids[at + k] for k in range(self.n))]))
+        if self.trie.entries > self.kept:
+            yield from self.run(self.trie.spill(self.kept // 2))
+
+    def finish(self) -> Iterator[pa.RecordBatch]:
+        yield from self.run(self.trie.spill(0))
+
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lang, parts, size = [], [], 0
         for batch in batches:
@@ -301,7 +335,89 @@ class PhraseCounter:
                         lang, parts, size = [], [], 0
         if parts:
             yield from self.block(lang, parts)
-        yield from self.run(self.trie.spill(0))
+        yield from self.finish()
+
+
+class BucketCounter(PhraseCounter):
+    """Occurrences of phrases by hash bucket, as runs (segment, run) of bucket numbers and their counts."""
+
+    SCHEMA = "segment int, run binary"
+
+    def clear(self) -> None:
+        super().clear()
+        self.held, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def count(self, langs: np.ndarray, ids: np.ndarray, at: np.ndarray) -> Iterator[pa.RecordBatch]:
+        found = _bucket(self.hashes(langs, ids, at, 0, self.n)).astype(np.int64)
+        new, count = np.unique(found, return_counts=True)
+        self.held, which = np.unique(np.concatenate([self.held, new]), return_inverse=True)
+        weights = np.concatenate([self.counts, count])
+        self.counts = np.bincount(which.reshape(-1), weights, len(self.held)).astype(np.int64)
+        if len(self.held) > HELD_BUCKETS:
+            yield from self.finish()
+
+    def finish(self) -> Iterator[pa.RecordBatch]:
+        segment = self.held // SEGMENT
+        start = np.flatnonzero(np.diff(segment, prepend=-1))
+        bounds = [*start.tolist(), len(segment)]
+        runs = [
+            zlib.compress((self.held[a:b] % SEGMENT).astype("<u2").tobytes() + self.counts[a:b].astype("<u4").tobytes(), 1)
+            for a, b in zip(bounds, bounds[1:])
+        ]
+        if runs:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(segment[start].astype(np.int32)), pa.array(runs, pa.binary())], names=["segment", "run"]
+            )
+        self.held, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+
+def _bucket(h: np.ndarray) -> np.ndarray:
+    return (h >> U64(20)) & U64(BUCKETS - 1)
+
+
+def _in_buckets(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
+    at = _bucket(h)
+    return (bits[(at >> U64(3)).astype(np.int64)] >> (at & U64(7)).astype(np.uint8)) & 1 == 1
+
+
+def merge_buckets(least: int):
+    """For runs sorted by segment: one row per segment, the bits of its buckets of at least ``least``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, total = -1, np.zeros(SEGMENT, np.int64)
+
+        def out():
+            bits = np.packbits(total >= least, bitorder="little").tobytes()
+            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([bits])], names=["segment", "bits"])
+
+        for batch in batches:
+            for segment, blob in zip(batch.column("segment").to_pylist(), batch.column("run")):
+                if segment != now:
+                    if now >= 0:
+                        yield out()
+                    now, total = segment, np.zeros(SEGMENT, np.int64)
+                raw = zlib.decompress(blob.as_py())
+                n = len(raw) // 6
+                # A run holds each bucket once.
+                total[np.frombuffer(raw, "<u2", n)] += np.frombuffer(raw, "<u4", n, 2 * n)
+        if now >= 0:
+            yield out()
+
+    return run
+
+
+def _frequent_buckets(rows: DataFrame, n: int, sent, least: int) -> np.ndarray:
+    """Bits of the buckets that hold at least ``least`` phrases of ``n`` words; at most BUCKETS / 8 bytes come here."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from BucketCounter(n, sent.value)(batches)
+
+    runs = rows.mapInArrow(count, BucketCounter.SCHEMA).repartition("segment").sortWithinPartitions("segment")
+    found = runs.mapInArrow(merge_buckets(least), "segment int, bits binary").toArrow()
+    out = np.zeros(BUCKETS // 8, dtype=np.uint8)
+    for segment, bits in zip(found["segment"].to_pylist(), found["bits"].to_pylist()):
+        out[segment * SEGMENT // 8 : (segment + 1) * SEGMENT // 8] = np.frombuffer(bits, np.uint8)
+    return out
 
 
 def _filter_bits(frequent: DataFrame, bits: int) -> np.ndarray:
@@ -337,13 +453,15 @@ def frequent_phrases(docs: DataFrame, longest: int = 5, least: int = 100, bits:
     found, sent = None, None
     for n in range(1, longest + 1):
 
-        def count(batches, n=n, sent=sent):
-            yield from PhraseCounter(n, None if sent is None else sent.value)(batches)
+        buckets = spark.sparkContext.broadcast(_frequent_buckets(rows, n, sent, least)) if n == 2 else None
+
+        def count(batches, n=n, sent=sent, buckets=buckets):
+            yield from PhraseCounter(n, *(None if x is None else x.value for x in (sent, buckets)))(batches)
 
         runs = rows.mapInArrow(count, PhraseCounter.SCHEMA)
         merged = (
-            runs.repartition("lang", "first", "part")
-            .groupBy("lang", "first", "part", "phrase")
+            runs.repartition("part")
+            .groupBy("lang", "part", "phrase")
             .agg(F.sum("f").alias("f"))
             .select("lang", "phrase", F.lit(n).alias("words"), "f")
         )
@@ -424,9 +542,13 @@ def collocations(docs: DataFrame, longest: int = 5, least: int = 100, first: int
     best = scored.groupBy("lang", "phrase").agg(
         F.min(F.struct("score", "k", "a", "l", "r", "n")).alias("m")
     ).select("lang", "phrase", "m.*")
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
+    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    # First the best of 64 parts of each language, so that no task ranks all of a hot one.
+    of_part = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(PARTS))).orderBy(*order)
     return (
-        best.withColumn("rank", F.row_number().over(order))
+        best.withColumn("rank", F.row_number().over(of_part))
+        .where(F.col("rank") <= first)
+        .withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
         .where(F.col("rank") <= first)
         .select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
     )
