@@ -161,7 +161,7 @@ class Bpe:
         at, pos = start.copy(), start.copy()
         node, best, best_end = np.zeros((3, len(start)), dtype=np.int64)
         live = np.flatnonzero(start < end)
-        where, what, whose = [], [], []
+        what, whose = [], []
         while len(live):
             p = pos[live]
             open_ = p < end[live]
@@ -176,16 +176,17 @@ class Bpe:
             best[i[hit]], best_end[i[hit]] = token[hit], pos[i[hit]]
             # Every single byte is a token, so a match that ends has found one.
             i = live[~on]
-            where.append(at[i])
             what.append(best[i])
             whose.append(i)
             at[i] = pos[i] = best_end[i]
             node[i] = 0
             live = live[on | (best_end[live] < end[live])]
-        if not where:
+        if not what:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        order = np.argsort(np.concatenate(where), kind="stable")
-        return np.concatenate(what)[order], np.concatenate(whose)[order]
+        # Pieces may be given in any order; each round adds a token to the end of its piece.
+        whose = np.concatenate(whose)
+        order = np.argsort(whose, kind="stable")
+        return np.concatenate(what)[order], whose[order]
 
     def merge_side_by_side(self, data: np.ndarray, start: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
         """Exact merging of pieces of one length: in each round every piece merges its best pair."""
@@ -419,16 +420,37 @@ class Encoder:
             upto = np.append(0, np.cumsum(count))[np.searchsorted(start, edge)]
             for k, i in enumerate(plain):
                 out[i] = ids[upto[k] : upto[k + 1]]
-        done = set(plain)
+        self._encode_others(texts, sorted({i for i, t in enumerate(texts) if t}.difference(plain)), out)
         self.decoded = [b""] * len(texts)
         for i, t in enumerate(texts):
             self.decoded[i] = self.bpe.decode_bytes(out[i].tolist())
-            # Texts with other characters or added tokens; and any text whose pieces' hashes misled.
-            if t and (i not in done or self.decoded[i] != t):
+            # A text whose pieces' hashes misled.
+            if t and self.decoded[i] != t:
                 out[i] = self._encode_one(t)
                 self.decoded[i] = self.bpe.decode_bytes(out[i].tolist())
         return out
 
+    def _encode_others(self, texts: list[bytes], which: list[int], out: list) -> None:
+        """Texts with other characters or added tokens: all their pieces at once, through the same memory."""
+        if not which:
+            return
+        added = self.bpe.added
+        parts = [self.bpe.parts(texts[i].decode("utf-8", "replace")) for i in which]
+        raw = [p.encode() for part in parts for p in part if p not in added]
+        edge = np.cumsum([0, *map(len, raw)])
+        ids, count = self._pieces(np.frombuffer(b"".join(raw) or b" ", dtype=np.uint8), edge[:-1], edge[1:])
+        upto = np.append(0, np.cumsum(count))
+        at = 0
+        for i, part in zip(which, parts, strict=True):
+            found, begin = [], at
+            for p in part:
+                if p in added:
+                    found += [ids[upto[begin] : upto[at]], np.array([added[p]], dtype=np.int32)]
+                    begin = at
+                else:
+                    at += 1
+            out[i] = np.concatenate([*found, ids[upto[begin] : upto[at]]]).astype(np.int32)
+
     def _is_plain(self, text: bytes) -> bool:
         return (text.isascii() or _LATER_BYTES.search(text) is None) and not any(a in text for a in self.bpe.added_bytes)
 
@@ -497,6 +519,28 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
     return encoded.mapInArrow(run, schema)
 
 
+def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, ids, text): :func:`encode` and :func:`decode` in one pass, one vocabulary a worker."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(load(path))
+        for batch in batches:
+            at = 0
+            for group in _groups(_texts(batch)):
+                ids = encoder.encode(group)
+                texts = [t.decode("utf-8", "replace") for t in encoder.decoded]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("_id").slice(at, len(group)), pa.array(ids, pa.list_(pa.int32())), pa.array(texts, pa.string())],
+                    ["doc_id", "ids", "text"],
+                )
+                at += len(group)
+
+    small_batches(docs.sparkSession)
+    return docs.select(F.col(id_col).cast("long").alias("_id"), text_bytes(text_col).alias("_text")).mapInArrow(
+        run, "doc_id long, ids array<int>, text string"
+    )
+
+
 def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every whole text, encoded and decoded again."""
 

@@ -253,9 +253,8 @@ class PhraseCounter:
         if not columns:
             return
         words, langs = (pa.array(names.words, pa.binary()) for names in (self.words, self.langs))
-        rank = np.empty(len(words), dtype=np.int64)
-        rank[pc.sort_indices(words).to_numpy()] = np.arange(len(words))
-        order = np.lexsort([rank[c] for c in columns[:0:-1]] + [columns[0]])
+        rank, lang_rank = (np.argsort(pc.sort_indices(names).to_numpy()) for names in (words, langs))
+        order = np.lexsort([rank[c] for c in columns[:0:-1]] + [lang_rank[columns[0]]])
         hashes = self.words.hashes()
         for at in range(0, len(order), 100_000):
             rows = order[at : at + 100_000]

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from apiary.llm.common import join_groups, stage, text_bytes, width
+from apiary.llm.common import fresh, join_groups, stage, text_bytes, width
 
 FANIN_BITS = 3
 FANIN = 1 << FANIN_BITS
@@ -141,7 +141,8 @@ def exact_dedup(
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest") -> DataFrame:
     """The rows of ``docs`` that stay, all columns unchanged."""
-    numbered = stage(docs.withColumn("__row", F.monotonically_increasing_id()), "dedup-docs")
-    rows = digests(numbered, id_col, text_col, F.col("__row"))
+    row = fresh("row")
+    numbered = stage(docs.withColumn(row, F.monotonically_increasing_id()), "dedup-docs")
+    rows = digests(numbered, id_col, text_col, F.col(row))
     stays = exact_dedup(docs, id_col, text_col, keep, stage(rows, "digests")).where("kept")
-    return numbered.join(stays.select(F.col("_row").alias("__row")), "__row", "left_semi").drop("__row")
+    return numbered.join(stays.select(F.col("_row").alias(row)), row, "left_semi").drop(row)

@@ -5,9 +5,10 @@ negative, by weights learnt from labelled pages; one linear scan finds the conti
 region of the greatest total score. Labelled are the pages that mark their article
 themselves (one ``<article>`` element or ``itemprop="articleBody"``): a bounded sample
 (``SAMPLE`` distinct pages, those of the smallest hashes) gives, for each kind of place a
-word can stand in (nearest block, inside a link, inside a page part such as a menu) and
-for each tag, how often it occurs inside and outside of the article. The mark
-itself is no feature, so the weights also serve pages that mark nothing.
+word can stand in (nearest block, inside a link) and for each tag, how often it occurs
+inside and outside of the article. The mark itself is no feature, so the weights also
+serve pages that mark nothing. Page parts (below) are left out of every text: their tags
+score nothing, and their words a little below nothing.
 
 If the region found lies mostly in the one article a page marks, it is set to that
 element. Of the region all words are kept but those of page parts: elements for menus,
@@ -145,11 +146,11 @@ def read(source: str) -> Page:
             page.counts.append(0)
             page.parts.append(stack[-1][1])
 
-    def tag(name: str) -> None:
-        page.kinds.append(f"<{name}")
+    def tag(name: str, part: bool) -> None:
+        page.kinds.append("" if part else f"<{name}")
         page.texts.append(None if name in INLINE else "\n")
         page.counts.append(0)
-        page.parts.append(stack[-1][1])
+        page.parts.append(part)
 
     def pop() -> None:
         name, _, _, _, article = stack.pop()
@@ -177,20 +178,20 @@ def read(source: str) -> Page:
         if not name:
             continue
         if found["close"] or found["close2"]:
+            tag(name, stack[-1][1])
             if is_open[name]:
                 close({name}, set())
-            tag(name)
             continue
         rest = found["rest"] or found["rest2"] or ""
         if name in _ENDS_P and is_open["p"]:
             close({"p"}, {"table", "td", "th", "article", "section", "div", "body"})
         if name in _SIBLINGS and any(is_open[n] for n in _SIBLINGS[name][0]):
             close(*_SIBLINGS[name])
-        tag(name)
-        if name in VOID:
-            continue
         _, part, block, link, _ = stack[-1]
         part = part or is_part(name, rest)
+        tag(name, part)
+        if name in VOID:
+            continue
         marked = not part and (name == "article" or "articleBody" in rest)
         if name in RAW:
             # Raw text ends at its own end tag only.
@@ -232,7 +233,9 @@ class Weights:
     """Score of a word by its place (at most 1) and of a tag by its name (below 0)."""
 
     # Used for kinds that no labelled page shows.
-    UNSEEN_WORD, UNSEEN_LINK, UNSEEN_PART, UNSEEN_TAG = 0.5, -1.0, -2.0, -1.0
+    UNSEEN_WORD, UNSEEN_LINK, UNSEEN_TAG = 1.0, -1.0, -0.25
+    # Words of page parts, which no text holds: a region may reach over some.
+    PART = -0.05
 
     def __init__(self, counts: dict[str, tuple[int, int]]):
         self.kind = {}
@@ -241,7 +244,7 @@ class Weights:
             if kind.startswith("<"):
                 self.kind[kind] = max(-5.0, min(-0.1, odds - 0.1))
             elif kind == "part":
-                self.kind[kind] = self.UNSEEN_PART
+                self.kind[kind] = self.PART
             else:
                 # Seldom seen places stay near the value for unseen ones.
                 trust = (inside + outside) / (inside + outside + 50)
@@ -251,7 +254,7 @@ class Weights:
         if kind.startswith("<"):
             return self.UNSEEN_TAG
         if kind == "part":
-            return self.UNSEEN_PART
+            return self.PART
         return self.UNSEEN_LINK if kind.startswith("link") else self.UNSEEN_WORD
 
     def score(self, kind: str, n: int) -> float:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from apiary.llm.common import attach, stage, text_bytes
+from apiary.llm.common import attach, fresh, stage, text_bytes
 from apiary.llm.words import Words
 
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -185,7 +185,7 @@ def _slots(seed: str, block: int):
 
 class Mix:
     """``placed``: documents with their source's target and place in its stream;
-    ``taken``: (_row, shard, slot, turn, first, words): the runs of words each slot takes."""
+    ``taken``: (_row, _sid, shard, slot, turn, first, words): the runs of words each slot takes."""
 
     def __init__(self, docs: DataFrame, weights=WEIGHTS, ratio=RATIO, most=MOST, block=BLOCK, shard_words=SHARD_WORDS, seed="mix", sized: DataFrame | None = None):
         sized = sized if sized is not None else stage(sizes(docs), "mix-sizes")
@@ -226,9 +226,18 @@ class Mix:
         words = F.least(F.col("_until"), F.col("_block") * block + F.col("_take")) - F.col("_from")
         # Slots are made from the few rows of the source table, whose size would suggest a broadcast.
         self.taken = segments.join(slots.hint("merge"), ["_sid", "_block"]).select(
-            "_row", "shard", "slot", "turn", (F.col("_from") - F.col("_start")).alias("first"), words.alias("words")
+            "_row", "_sid", "shard", "slot", "turn", (F.col("_from") - F.col("_start")).alias("first"), words.alias("words")
         ).where("words > 0")
 
+    def blocks(self) -> DataFrame:
+        """The packed blocks of every output shard: (shard, _sid, slot, words, runs), ``runs`` naming the
+        documents' words in the order of the block. A shard holds as many blocks of a source as were drawn for it."""
+        run = F.struct("_start", "_row", "turn", "first", "words")
+        placed = self.taken.join(self.placed.select("_row", "_start"), "_row")
+        return placed.groupBy("shard", "_sid", "slot").agg(
+            F.sum("words").alias("words"), F.array_sort(F.collect_list(run)).alias("runs")
+        )
+
     def per_document(self) -> DataFrame:
         """(doc_id, size, source_size, target, taken) for every document."""
         taken = self.taken.groupBy("_row").agg(F.sum("words").alias("taken"))
@@ -241,13 +250,13 @@ class Mix:
         )
 
 
-def _cut_out(schema_names: list[str], text_at: int):
+def _cut_out(schema_names: list[str], text_at: int, text_name: str, runs_name: str):
     """The taken words of a document in one turn, as its text: runs of words verbatim, in order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, chars = [], []
-            for text, runs in zip(batch.column("__text").to_pylist(), batch.column("__runs").to_pylist(), strict=True):
+            for text, runs in zip(batch.column(text_name).to_pylist(), batch.column(runs_name).to_pylist(), strict=True):
                 w = Words([text])
                 parts, end = [], None
                 for run_ in sorted(runs, key=lambda r: r["first"]):
@@ -273,11 +282,14 @@ def _cut_out(schema_names: list[str], text_at: int):
 def mixed_documents(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """The mix as documents, columns as in ``docs``: one row per document and turn it is taken in,
     its text cut to the words taken (whole texts verbatim), ``n_chars`` set anew."""
-    numbered = stage(docs.withColumn("__row", F.monotonically_increasing_id()), "mix-docs")
-    sized = stage(sizes(numbered, text_col=text_col, row=F.col("__row")), "mix-sizes")
+    row, raw, taken = fresh("row"), fresh("text"), fresh("runs")
+    numbered = stage(docs.withColumn(row, F.monotonically_increasing_id()), "mix-docs")
+    sized = stage(sizes(numbered, text_col=text_col, row=F.col(row)), "mix-sizes")
     mix = Mix(docs, sized=sized, **options)
-    runs = mix.taken.groupBy(F.col("_row").alias("__row"), "turn").agg(F.collect_list(F.struct("first", "words")).alias("__runs"))
+    runs = mix.taken.groupBy(F.col("_row").alias(row), F.col("turn").alias(fresh("turn"))).agg(
+        F.collect_list(F.struct("first", "words")).alias(taken)
+    )
     names = docs.columns
-    joined = numbered.join(runs, "__row").withColumn("__text", text_bytes(text_col))
-    return joined.select(*names, "__text", "__runs").mapInArrow(_cut_out(names, names.index(text_col)), docs.schema)
+    joined = numbered.join(runs.select(row, taken), row).withColumn(raw, text_bytes(text_col))
+    return joined.select(*names, raw, taken).mapInArrow(_cut_out(names, names.index(text_col), raw, taken), docs.schema)
 

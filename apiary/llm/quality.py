@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from apiary.llm.common import text_bytes
+from apiary.llm.common import fresh, text_bytes
 from apiary.llm.words import Words, batches_of_bytes
 
 WORD_SLOTS = 1 << 14
@@ -297,14 +297,15 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 def keep_good(docs: DataFrame, model: Model, text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
     """The rows of ``docs`` that the model accepts, unchanged; no shuffle."""
     names = docs.columns
+    raw, size = fresh("text"), fresh("chars")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, chars = batch.column("__text").to_pylist(), batch.column("__chars").to_pylist()
+            texts, chars = batch.column(raw).to_pylist(), batch.column(size).to_pylist()
             keep = np.zeros(len(texts), dtype=bool)
             for a, b in batches_of_bytes(texts):
                 keep[a:b] = model.score(featurize(texts[a:b], chars[a:b])) >= 0.5
             yield batch.select(names).filter(pa.array(keep))
 
-    rows = docs.select("*", text_bytes(text_col).alias("__text"), F.col(chars_col).cast("long").alias("__chars"))
+    rows = docs.select("*", text_bytes(text_col).alias(raw), F.col(chars_col).cast("long").alias(size))
     return rows.mapInArrow(run, docs.schema)
