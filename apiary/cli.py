@@ -88,7 +88,8 @@ def cmd_hive_average(spark, args) -> None:
     from apiary.sources.tables import read_sensors
     from apiary.streaming.ingest import read_readings
 
-    readings = read_readings(spark, args.readings)
+    # Key, order and value are all the averages need.
+    readings = read_readings(spark, args.readings, columns=["sensor_type", "value"])
     sensors = read_sensors(spark, args.sensors)
     averages = hive_average(sensor_day_join(readings, sensors, as_of=args.as_of, days_back=args.days_back))
     if args.output:

@@ -60,20 +60,14 @@ def parse_items(text: Column | str) -> Column:
 
 
 def items_total(items: Column | str, scale: int | None = 2) -> Column:
-    """Sum of the prices of a basket map.
+    """Sum of the prices of a basket map, rounded to ``scale`` decimals at the end.
 
-    With ``scale`` the prices are added in fixed point (rounded to ``scale``
-    decimals, summed as integers), so the total does not depend on the
-    order of the map entries.
+    The prices are added in ascending order, so the total does not depend on
+    the order of the map entries; null prices are left out.
     """
-    values = F.map_values(_col(items))
-    if scale is None:
-        return F.aggregate(values, F.lit(0.0).cast("double"), lambda acc, v: acc + v)
-    factor = 10**scale
-    cents = F.aggregate(
-        values, F.lit(0).cast("long"), lambda acc, v: acc + F.round(v * factor).cast("long")
-    )
-    return cents / F.lit(factor)
+    prices = F.array_sort(F.filter(F.map_values(_col(items)), lambda v: v.isNotNull()))
+    total = F.aggregate(prices, F.lit(0.0).cast("double"), lambda acc, v: acc + v)
+    return total if scale is None else F.round(total, scale)
 
 
 def format_total(total: Column | str) -> Column:

@@ -1,9 +1,11 @@
 """Count, sum and average of reading values per group.
 
-Sums are taken as ``decimal(38, scale)``, nine decimals unless asked otherwise:
-exact for sums up to 1e28, and independent of the order rows arrive in, so a
-re-run, a replay or a different partitioning gives the same bits. A larger sum
-fails, it never wraps. ``scale=None`` sums plain doubles instead.
+Sums are exact: each value is cut, at powers of two, into whole units of
+2**-32, whole units of 2**30 and what is left below one unit. The units are
+added as integers, so re-runs, replays and other partitionings give the same
+bits, and nothing is rounded before it is added. What is left of values with
+bits below 2**-32, and values from 2**92 on, are added as doubles. Every finite
+double is a legal input. ``exact=False`` sums plain doubles instead.
 Non-finite values (NaN, ±infinity) are left out of the sum and of the count.
 """
 
@@ -14,19 +16,40 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_SCALE = 9
+# Powers of two at which a value is cut (fixed values).
+UNIT = 2.0**32
+LARGE = 2.0**30
+HUGE = 2.0**92
 
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def fixed_sum(value: Column | str, scale: int | None = DEFAULT_SCALE) -> Column:
-    """Sum of ``value`` as a double, exact at ``scale`` decimals."""
+def fixed_sum(value: Column | str, exact: bool = True) -> Column:
+    """Sum of ``value`` as a double; null where no value is finite."""
     v = _col(value).cast("double")
-    if scale is None:
+    if not exact:
         return F.sum(v)
-    return F.sum(finite(v).cast(f"decimal(38,{scale})")).cast("double")
+    v = finite(v)
+    # Scaling by a power of two, floor and the differences are exact in doubles.
+    large = F.when((F.abs(v) >= LARGE) & (F.abs(v) < HUGE), F.floor(v / LARGE))
+    near = F.when(large.isNotNull(), v - large.cast("double") * LARGE).when(F.abs(v) < LARGE, v)
+    units = F.floor(near * UNIT)
+    left = near * UNIT - units.cast("double")
+
+    def whole(c: Column) -> Column:
+        return F.coalesce(F.sum(c.cast("decimal(20,0)")), F.lit(0).cast("decimal(30,0)"))
+
+    def plain(c: Column) -> Column:
+        return F.coalesce(F.sum(c), F.lit(0.0))
+
+    # Small units that add up to large ones are carried, so that nothing cancels in doubles.
+    carry = F.round(whole(units).cast("double") / (UNIT * LARGE))
+    near_zero = whole(units) - carry.cast("decimal(18,0)") * F.lit(int(UNIT * LARGE)).cast("decimal(19,0)")
+    small = (near_zero.cast("double") + plain(left)) / UNIT
+    beyond = plain(F.when(F.abs(v) >= HUGE, v))
+    return F.when(F.count(v) > 0, small + (whole(large).cast("double") + carry) * LARGE + beyond)
 
 
 def finite(value: Column | str) -> Column:
@@ -39,28 +62,28 @@ def count_sum(
     df: DataFrame,
     keys: Sequence[str],
     value: str = "value",
-    scale: int | None = DEFAULT_SCALE,
+    exact: bool = True,
     count_name: str = "n",
     sum_name: str = "total",
 ) -> DataFrame:
     """(keys, count of values, sum of values); partial + final aggregate."""
     return df.groupBy(*keys).agg(
-        F.count(finite(value) if scale is not None else _col(value)).alias(count_name), fixed_sum(value, scale).alias(sum_name)
+        F.count(finite(value) if exact else _col(value)).alias(count_name), fixed_sum(value, exact).alias(sum_name)
     )
 
 
-def hive_count_sum(joined: DataFrame, scale: int | None = DEFAULT_SCALE) -> DataFrame:
+def hive_count_sum(joined: DataFrame, exact: bool = True) -> DataFrame:
     """Readings joined to sensors → (hive, n, total)."""
-    return count_sum(joined, ["hive"], scale=scale)
+    return count_sum(joined, ["hive"], exact=exact)
 
 
 def with_average(counts: DataFrame, count_name: str = "n", sum_name: str = "total") -> DataFrame:
     return counts.withColumn("average", F.col(sum_name) / F.col(count_name))
 
 
-def hive_average(joined: DataFrame, scale: int | None = DEFAULT_SCALE) -> DataFrame:
+def hive_average(joined: DataFrame, exact: bool = True) -> DataFrame:
     """Readings joined to sensors → (hive, n, total, average)."""
-    return with_average(hive_count_sum(joined, scale))
+    return with_average(hive_count_sum(joined, exact))
 
 
 def report_lines(averages: DataFrame) -> DataFrame:

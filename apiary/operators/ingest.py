@@ -37,6 +37,7 @@ from apiary.schemas import (
     READING,
     REQUIRED_MESSAGE_FIELDS,
     SENSOR_MESSAGE,
+    SOURCE_POS,
 )
 
 CORRUPT = "_corrupt_record"
@@ -68,8 +69,21 @@ def _json_options(strict: bool) -> dict[str, str]:
     return opts
 
 
+def message_columns(messages: DataFrame) -> list[Column]:
+    """(key, value, source_pos) of any messages; rows without a place in a source are numbered as they stand."""
+    key = F.col("key").cast("string") if "key" in messages.columns else F.lit(None).cast("string")
+    known = "source_pos" in messages.columns
+    fields = [
+        F.col(f"source_pos.{f.name}") if known else F.lit(None).cast(f.dataType).alias(f.name) for f in SOURCE_POS.fields
+    ]
+    if not messages.isStreaming:
+        fields[-1] = F.coalesce(fields[-1], F.monotonically_increasing_id()).alias("row")
+    pos = F.struct(*fields)
+    return [key.alias("key"), F.col("value").cast("string").alias("value"), pos.cast(SOURCE_POS).alias("source_pos")]
+
+
 def parse_messages(messages: DataFrame, strict: bool = False, spread_narrow: bool = True) -> DataFrame:
-    """``messages(value STRING[, key])`` → message fields + ``reason``.
+    """``messages(value STRING[, key, source_pos])`` → key, value, source_pos, message fields, ``reason``.
 
     ``reason`` is null for a good message. In strict mode a bad message
     raises instead and ``reason`` is always null. With ``spread_narrow`` a
@@ -81,20 +95,21 @@ def parse_messages(messages: DataFrame, strict: bool = False, spread_narrow: boo
     schema = SENSOR_MESSAGE
     if not strict:
         schema = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
+    columns = message_columns(messages)
     if spread_narrow:
-        messages = spread(messages)
-    key = F.col("key").cast("string") if "key" in messages.columns else F.lit(None).cast("string")
+        # A source's positions are taken where it is read, before the rows move.
+        messages = spread(messages.select(*columns))
+        columns = ["key", "value", "source_pos"]
     # The parsed struct comes out of a one-element generator: filters on its
     # fields (reason IS NULL downstream) then stay above it. Without that
     # barrier the optimizer pushes such a filter below the projection and
     # copies the whole from_json into it, parsing every message twice.
     parsed = messages.select(
-        key.alias("key"),
-        F.col("value").cast("string").alias("value"),
+        *columns,
         F.explode(
             F.array(F.from_json(F.col("value").cast("string"), schema, _json_options(strict)))
         ).alias("m"),
-    ).select("key", "value", "m.*")
+    ).select("key", "value", "source_pos", "m.*")
     missing = None
     for name in REQUIRED_MESSAGE_FIELDS:
         cond = F.col(name).isNull()

@@ -53,6 +53,27 @@ def sensor_day_join(
     )
 
 
+def join_stored_topology(
+    readings: DataFrame,
+    daily: DataFrame,
+    columns=("sensor_id", "bucket_date", "value"),
+    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    salt_buckets: int = 16,
+) -> DataFrame:
+    """Inner join of a stored readings table with stored (sensor, day) rows.
+
+    Filters on ``daily`` (a wing, a hive) leave some days only. Behind its size
+    check ``daily`` is broadcast, and Spark hands the days that are left to the scan of the
+    readings (dynamic partition pruning on ``bucket_date``): no job lists them
+    beforehand. Only ``columns`` of the readings are joined.
+    """
+    drive = daily.drop(*[c for c in columns if c not in ("sensor_id", "bucket_date") and c in daily.columns])
+    return join_small(
+        readings.select(*columns), drive, ["sensor_id", "bucket_date"], "inner",
+        max_rows=max_broadcast_rows, salt_buckets=salt_buckets,
+    )
+
+
 def join_daily_topology(
     readings: DataFrame,
     daily: DataFrame,

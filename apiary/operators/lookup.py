@@ -16,6 +16,9 @@ The lower end of each interval is found without a global sort: the
 previous bound inside the same bin (window per bin), else the largest bound
 of the earlier bins (a running max over the per-bin maxima, at most
 ``bins + 1`` rows).
+
+:func:`range_lookup_sorted` does the same for bounds of any number, by a merge
+of both sides over ranges.
 """
 
 from __future__ import annotations
@@ -26,6 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from apiary.operators.strategy import DEFAULT_BROADCAST_ROWS, join_small
+from apiary.session import work_path
 
 DEFAULT_BINS = 1024
 DEFAULT_NAME = "All Other"
@@ -82,3 +86,64 @@ def range_lookup(
     return joined.drop("_bin", "_tbin", "_lo", "_hi", "_u").withColumn(
         names[0], F.coalesce(F.col(names[0]), F.lit(default))
     )
+
+
+def range_lookup_sorted(
+    df: DataFrame,
+    u: Column | str,
+    bounds: DataFrame,
+    names: Sequence[str] = ("name",),
+    default: str = DEFAULT_NAME,
+    hi: str = "hi",
+    parts: int | None = None,
+) -> DataFrame:
+    """:func:`range_lookup` for bounds of any number: a merge of two sorted sides.
+
+    Numbers and bounds go together into ranges of nearly equal size
+    (``repartitionByRange``; rows of one number are dealt on by a hash of the
+    whole row, so a hot number or a hot interval is cut as well). Inside a range
+    the entry of a number is the nearest bound at or above it: the ``last`` bound
+    met from above. A range's highest numbers may have no such bound in it; they
+    take the lowest bound of the ranges above, one carried row per range. Nothing
+    is broadcast but that list, and no number is compared with more than one bound.
+
+    Numbers may repeat, be null or NaN (null or the default name, as in
+    :func:`range_lookup`); of equal bounds the one with the smallest names counts.
+    """
+    spark = df.sparkSession
+    ucol = (F.col(u) if isinstance(u, str) else u).cast("double")
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    carried = F.struct(F.col(hi).cast("double").alias("hi"), *names)
+    # A number has row, a bound has entry. Equal numbers: the bound comes first from above.
+    numbers = df.select(
+        ucol.alias("_at"), F.struct(*[F.col(c) for c in df.columns]).alias("_row"),
+        F.xxhash64(*[F.col(c) for c in df.columns]).alias("_salt"),
+    )
+    entries = (
+        bounds.where(F.col(hi).isNotNull() & ~F.isnan(F.col(hi).cast("double")))
+        .groupBy(F.col(hi).cast("double").alias("_at"))
+        .agg(F.min(carried).alias("_entry"))
+        .withColumn("_salt", F.lit(2**63 - 1))
+    )
+    merged = numbers.unionByName(entries, allowMissingColumns=True)
+    path = work_path(spark, "range-lookup")
+    # Written once: a range number must mean the same rows to every later reader.
+    merged.repartitionByRange(parts, F.asc_nulls_first("_at"), "_salt").withColumn(
+        "_part", F.spark_partition_id()
+    ).write.parquet(path)
+    ranged = spark.read.schema(merged.withColumn("_part", F.lit(0)).schema).parquet(path)
+    # One row per range: its lowest bound, then the lowest bound of all ranges above.
+    lowest = ranged.groupBy("_part").agg(F.min("_entry").alias("_lowest"))
+    above = Window.orderBy(F.desc("_part")).rowsBetween(Window.unboundedPreceding, -1)
+    carry = lowest.select("_part", F.last("_lowest", ignorenulls=True).over(above).alias("_carry"))
+    down = (
+        Window.partitionBy("_part")
+        .orderBy(F.desc_nulls_last("_at"), F.desc("_salt"))
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    met = ranged.withColumn("_met", F.last("_entry", ignorenulls=True).over(down)).where("_row IS NOT NULL")
+    found = met.join(F.broadcast(carry), "_part", "left").withColumn(
+        "_found", F.when(F.col("_at").isNotNull() & ~F.isnan("_at"), F.coalesce("_met", "_carry"))
+    )
+    out = found.select("_row.*", *[F.col(f"_found.{n}").alias(n) for n in names])
+    return out.withColumn(names[0], F.coalesce(F.col(names[0]), F.lit(default)))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from apiary.functions.buckets import bucket
-from apiary.operators.aggregate import DEFAULT_SCALE, finite, fixed_sum
+from apiary.operators.aggregate import finite, fixed_sum
 from apiary.operators.strategy import join_small
 
 # Precision in seconds and the calendar unit of each (fixed values).
@@ -40,7 +40,7 @@ def sensor_summary(
     readings: DataFrame,
     precision: int = 60,
     sensors: DataFrame | None = None,
-    scale: int | None = DEFAULT_SCALE,
+    exact: bool = True,
 ) -> DataFrame:
     """Sum and count per sensor, type and period.
 
@@ -56,7 +56,7 @@ def sensor_summary(
         bucket("time", "half_day").alias("bucket_ts"),
         bucket("time", unit).alias("time"),
         *carried,
-    ).agg(fixed_sum("value", scale).alias("value_sum"), F.count(finite("value")).alias("value_count"))
+    ).agg(fixed_sum("value", exact).alias("value_sum"), F.count(finite("value")).alias("value_count"))
     agg = agg.withColumn("precision", F.lit(precision))
     if sensors is not None:
         agg = join_small(agg, sensors.select("sensor_id", *SENSOR_ATTRS), "sensor_id", "left")
@@ -67,7 +67,7 @@ def sensor_summary(
 
 
 def rollup_sensor_summary(
-    summary: DataFrame, precision: int = 3600, scale: int | None = DEFAULT_SCALE
+    summary: DataFrame, precision: int = 3600, exact: bool = True
 ) -> DataFrame:
     """A coarser sensor summary from a finer one."""
     unit = _unit(precision)
@@ -77,7 +77,7 @@ def rollup_sensor_summary(
             "sensor_type", "latlong",
         )
         .agg(
-            fixed_sum("value_sum", scale).alias("value_sum"),
+            fixed_sum("value_sum", exact).alias("value_sum"),
             F.sum("value_count").alias("value_count"),
         )
         .withColumn("precision", F.lit(precision))
@@ -85,12 +85,12 @@ def rollup_sensor_summary(
     )
 
 
-def hive_summary(summary: DataFrame, scale: int | None = DEFAULT_SCALE) -> DataFrame:
+def hive_summary(summary: DataFrame, exact: bool = True) -> DataFrame:
     """Per hive, level, type and period, from a sensor summary."""
     return (
         summary.groupBy("hive", "bucket_ts", "precision", "level", "time", "sensor_type")
         .agg(
-            fixed_sum("value_sum", scale).alias("value_sum"),
+            fixed_sum("value_sum", exact).alias("value_sum"),
             F.sum("value_count").alias("value_count"),
         )
         .select(*HIVE_COLUMNS)

@@ -9,6 +9,8 @@ per-minute aggregate (at most 60 rows per hour), never the transactions.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,8 +24,8 @@ from apiary.functions.baskets import (
 )
 from apiary.functions.transactions import ACCEPTED, calendar_columns, txn_status
 from apiary.operators.aggregate import fixed_sum
-from apiary.operators.ingest import CORRUPT, MALFORMED, MISSING_FIELD, _json_options
-from apiary.schemas import MESSAGE_TIMESTAMP_FORMAT, TRANSACTION, TXN_COUNT_MIN, TXN_MESSAGE
+from apiary.operators.ingest import CORRUPT, MALFORMED, MISSING_FIELD, _json_options, message_columns
+from apiary.schemas import MESSAGE_TIMESTAMP_FORMAT, REQUIRED_TXN_FIELDS, TRANSACTION, TXN_COUNT_MIN, TXN_MESSAGE
 
 TRANSACTION_COLUMNS = tuple(f.name for f in TRANSACTION.fields)
 
@@ -54,21 +56,20 @@ def parse_transaction_messages(messages: DataFrame, strict: bool = False) -> Dat
     """``messages(value[, key])`` → message fields + ``reason``, null for a good message.
 
     A message that is not valid JSON or has a wrongly typed field is malformed;
-    one without ``txn_id`` misses a field. In strict mode either raises instead.
+    one without ``txn_id``, ``cc_no`` or ``txn_time`` misses a field: the stored key
+    (card, day, instant) holds no nulls. In strict mode either raises instead.
     """
     schema = TXN_MESSAGE
     if not strict:
         schema = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
-    key = F.col("key").cast("string") if "key" in messages.columns else F.lit(None).cast("string")
     parsed = messages.select(
-        key.alias("key"),
-        F.col("value").cast("string").alias("value"),
+        *message_columns(messages),
         F.explode(F.array(F.from_json(F.col("value").cast("string"), schema, _json_options(strict)))).alias("m"),
-    ).select("key", "value", "m.*")
+    ).select("key", "value", "source_pos", "m.*")
     parsed = parsed.withColumn("tags", F.array_distinct("tags"))
-    missing = F.col("txn_id").isNull()
+    missing = reduce(or_, [F.col(c).isNull() for c in REQUIRED_TXN_FIELDS])
     if strict:
-        said = F.concat(F.lit("message misses txn_id: "), F.coalesce("value", F.lit("null")))
+        said = F.concat(F.lit("message misses a required field: "), F.coalesce("value", F.lit("null")))
         checked = F.when(missing, F.raise_error(said)).otherwise(F.col("txn_id"))
         return parsed.withColumn("txn_id", checked.cast("string")).withColumn("reason", F.lit(None).cast("string"))
     reason = F.when(F.col(CORRUPT).isNotNull() | F.col("value").isNull(), F.lit(MALFORMED)).when(
@@ -130,9 +131,7 @@ def encode_transactions(txns: DataFrame) -> DataFrame:
     return txns.select(body.alias("value"))
 
 
-def baskets(
-    lines: DataFrame, basket: str, item: str, price: str, scale: int = 2
-) -> DataFrame:
+def baskets(lines: DataFrame, basket: str, item: str, price: str) -> DataFrame:
     """(basket, items MAP<item, price>) from one row per item line.
 
     Lines are first summed per (basket, item), map-side combined, so a
@@ -140,7 +139,7 @@ def baskets(
     distinct item of the basket.
     """
     per_item = lines.groupBy(basket, F.concat(F.lit(ITEM_PREFIX), F.col(item).cast("string")).alias("item")).agg(
-        fixed_sum(price, scale).alias("price")
+        fixed_sum(price).alias("price")
     )
     return per_item.groupBy(basket).agg(
         F.map_from_entries(F.collect_list(F.struct("item", "price"))).alias("items")

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from apiary.operators.aggregate import DEFAULT_SCALE, finite, fixed_sum
+from apiary.operators.aggregate import finite, fixed_sum
 
 
 def with_watermark(df: DataFrame, time_col: str, delay: str) -> DataFrame:
@@ -29,13 +29,13 @@ def windowed(
     slide: str | None = None,
     keys: Sequence[str] = (),
     value: str = "value",
-    scale: int | None = DEFAULT_SCALE,
+    exact: bool = True,
 ) -> DataFrame:
     """(window_start, window_end, keys, n, total) per event-time window."""
     w = F.window(time_col, duration, slide) if slide else F.window(time_col, duration)
     return (
         df.groupBy(w.alias("w"), *keys)
-        .agg(F.count(finite(value)).alias("n"), fixed_sum(value, scale).alias("total"))
+        .agg(F.count(finite(value)).alias("n"), fixed_sum(value, exact).alias("total"))
         .select(
             F.col("w.start").alias("window_start"),
             F.col("w.end").alias("window_end"),

@@ -31,7 +31,7 @@ from apiary.operators import (
     windows,
 )
 from apiary.operators import transactions as txn_ops
-from apiary.operators.strategy import join_small
+from apiary.operators.strategy import join_small, spread
 from apiary.plans import testbed as tb
 from apiary.schemas import READING_KEY
 from apiary.session import work_path
@@ -66,8 +66,10 @@ def sql_uuid(expr: str) -> str:
     )
 
 
-def sql_fixed_sum(expr: str, scale: int = aggregate.DEFAULT_SCALE) -> str:
-    return f"CAST(sum(CAST({expr} AS DECIMAL(38,{scale}))) AS DOUBLE)"
+def sql_fixed_sum(expr: str) -> str:
+    """Exact sum: whole units of 2**-32 as integers, and what is left of each value below one unit."""
+    x = f"(CAST({expr} AS DOUBLE) * 4294967296.0)"
+    return f"((CAST(sum(CAST(floor{x} AS HUGEINT)) AS DOUBLE) + sum({x} - floor{x})) / 4294967296.0)"
 
 
 SQL_READINGS = f"""
@@ -278,17 +280,16 @@ def parse_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     "parse_readings_strict",
     sql_with(SQL_REC)
     + """
-SELECT key, sensor_id, date_trunc('day', t) AS bucket_ts, t AS time, hive, level, wing,
-       sensor_type, value, latlong, CAST(t AS DATE) AS bucket_date
-FROM (SELECT *, date_trunc('millisecond', ts) AS t FROM rec)
-WHERE event_type IN ('click', 'view', 'purchase')""",
+SELECT r.key, sensor_id, date_trunc('day', t) AS bucket_ts, t AS time, hive, level, wing,
+       CASE r.event_type WHEN 'signup' THEN 'Temperature' WHEN 'error' THEN 'Humidity' ELSE sensor_type END AS sensor_type,
+       CASE r.event_type WHEN 'signup' THEN CAST(e.value AS FLOAT) WHEN 'error' THEN CAST(e.value * 2 AS FLOAT)
+            ELSE r.value END AS value,
+       latlong, CAST(t AS DATE) AS bucket_date
+FROM (SELECT *, date_trunc('millisecond', ts) AS t FROM rec) r JOIN events e ON e.event_id = r.event_id""",
 )
 def parse_readings_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Strict mode over the sensor events' messages without injected faults."""
-    records = tb.sensor_records(spark, sf_dir).where(
-        F.col("event_type").isin(list(tb.EVENT_SENSOR_TYPES))
-    )
-    msgs = ingest.encode_messages(records)
+    """Strict mode over the messages of every event, without injected faults."""
+    msgs = ingest.encode_messages(tb.sensor_records(spark, sf_dir, tb.ALL_SENSOR_TYPES))
     return tb.to_ntz(ingest.to_readings(ingest.parse_messages(msgs, strict=True), strict=True, keep=["key"]))
 
 
@@ -410,7 +411,9 @@ def upsert_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tb.to_ntz(upsert.read_table(spark, path, base.schema))
 
 
-FEED_FILES = 8
+def _files_per_trigger(spark: SparkSession) -> int:
+    """A micro-batch of about half as many files as there are task slots (feeds are written by all of them)."""
+    return max(2, spark.sparkContext.defaultParallelism // 2)
 
 
 def _run_ingest_stream(
@@ -425,16 +428,14 @@ def _run_ingest_stream(
         for w in weeks:
             msgs.where(week == F.lit(w)).select("value").coalesce(1).write.mode("append").text(feed)
     else:
-        # The feed is already spread over the task slots: coalescing to the
-        # file count needs no shuffle.
-        msgs.select("value").coalesce(FEED_FILES).write.text(feed)
+        msgs.select("value").write.text(feed)
     paths = stream_ingest.IngestPaths(
         table=work_path(spark, "tables", "sensor_data"),
         quarantine=work_path(spark, "tables", "quarantine"),
         counts=work_path(spark, "tables", "batch_counts"),
         checkpoint=work_path(spark, "checkpoints"),
     )
-    stream = stream_ingest.message_stream(spark, "text", feed, max_files_per_trigger=1 if by_week else 2)
+    stream = stream_ingest.message_stream(spark, "text", feed, max_files_per_trigger=1 if by_week else _files_per_trigger(spark))
     q = stream_ingest.start_ingest(stream, paths, trigger={"availableNow": True})
     q.awaitTermination()
     if q.exception() is not None:
@@ -699,21 +700,24 @@ def txn_count_min(spark: SparkSession, sf_dir: str) -> DataFrame:
     return txn_ops.txn_count_min(_flagged(spark, sf_dir))
 
 
-def _run_txn_stream(spark: SparkSession, sf_dir: str, bad: DataFrame | None = None) -> stream_txn.TxnPaths:
+def _run_txn_stream(
+    spark: SparkSession, sf_dir: str, bad: DataFrame | None = None, keep_minutes: bool = False
+) -> stream_txn.TxnPaths:
     feed = work_path(spark, "feeds", "transactions")
     msgs = txn_ops.encode_transactions(tb.transactions_input(spark, sf_dir))
-    msgs.repartition(FEED_FILES).write.text(feed)
+    spread(msgs).write.text(feed)
     # Some messages are sent a second time: each transaction still counts once.
     again = msgs.where(F.pmod(F.xxhash64("value"), F.lit(4)) == 0)
-    again.coalesce(FEED_FILES).write.mode("append").text(feed)
+    again.write.mode("append").text(feed)
     if bad is not None:
         bad.write.mode("append").text(feed)
     paths = stream_txn.TxnPaths(
         table=work_path(spark, "tables", "transactions"),
         counts=work_path(spark, "tables", "txn_lines"),
         checkpoint=work_path(spark, "checkpoints"),
+        minutes=work_path(spark, "tables", "txn_minutes") if keep_minutes else "",
     )
-    stream = stream_ingest.message_stream(spark, "text", feed, max_files_per_trigger=2)
+    stream = stream_ingest.message_stream(spark, "text", feed, max_files_per_trigger=_files_per_trigger(spark))
     q = stream_txn.start_txn_ingest(stream, paths, trigger={"availableNow": True})
     q.awaitTermination()
     if q.exception() is not None:
@@ -764,7 +768,7 @@ def stream_txn_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL_BASKET_ITEMS = f"""
 p AS (
   SELECT l_orderkey, 'Item_' || CAST(l_partkey AS VARCHAR) AS item,
-         {sql_fixed_sum('l_extendedprice', 2)} AS price
+         {sql_fixed_sum('l_extendedprice')} AS price
   FROM lineitem GROUP BY l_orderkey, l_partkey)"""
 
 

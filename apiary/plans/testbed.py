@@ -36,6 +36,8 @@ EVENT_SENSOR_TYPES: dict[str, str] = {
     "purchase": "Movement",
 }
 UNKNOWN_TYPE = "Pressure"
+# Every event type as a known sensor type: a feed without bad messages (fixed values).
+ALL_SENSOR_TYPES: dict[str, str] = EVENT_SENSOR_TYPES | {"signup": "Temperature", "error": "Humidity"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,14 +81,16 @@ def props_k(col: str = "props") -> F.Column:
     return F.get_json_object(F.col(col), "$.k").try_cast("int")
 
 
-def sensor_type_of(event_type: F.Column) -> F.Column:
+def sensor_type_of(event_type: F.Column, types: dict[str, str] = EVENT_SENSOR_TYPES) -> F.Column:
     expr = F.lit(UNKNOWN_TYPE)
-    for ev, st in EVENT_SENSOR_TYPES.items():
+    for ev, st in types.items():
         expr = F.when(event_type == ev, F.lit(st)).otherwise(expr)
     return expr
 
 
-def sensor_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sensor_records(
+    spark: SparkSession, sf_dir: str, types: dict[str, str] = EVENT_SENSOR_TYPES
+) -> DataFrame:
     """Typed sensor snapshots (the message schema) with the event key."""
     # Messages are built per event (JSON encoding): spread a narrow scan.
     e = spread(table(spark, sf_dir, "events"), "event_id")
@@ -111,7 +115,7 @@ def sensor_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("2016-05-20 00:00:00").cast("timestamp").alias("manuf_date"),
         F.floor(value).cast("int").alias("movement"),
         (k >= 50).alias("retired"),
-        sensor_type_of(F.col("event_type")).alias("sensor_type"),
+        sensor_type_of(F.col("event_type"), types).alias("sensor_type"),
         value.cast("float").alias("temperature"),
         F.lit("v1").alias("vendor"),
         F.col("c_mktsegment").alias("wing"),

@@ -149,6 +149,9 @@ TXN_MESSAGE = T.StructType(
     ]
 )
 
+# Fields a transaction message must carry: its id, and the parts of the stored key.
+REQUIRED_TXN_FIELDS: tuple[str, ...] = ("txn_id", "cc_no", "txn_time")
+
 # Per-minute approval rollup.
 TXN_COUNT_MIN = T.StructType(
     [
@@ -166,6 +169,16 @@ TXN_COUNT_MIN = T.StructType(
     ]
 )
 
+# Place of a message in its source; compared field by field (see `sources.messages`).
+SOURCE_POS = T.StructType(
+    [
+        T.StructField("at", T.TimestampType()),
+        T.StructField("name", T.StringType()),
+        T.StructField("block", T.LongType()),
+        T.StructField("row", T.LongType()),
+    ]
+)
+
 # Bounds table of a range lookup: interval (previous hi, hi].
 RANGE_BOUNDS = T.StructType(
     [

@@ -38,6 +38,24 @@ def sensors_from_rows(spark: SparkSession, rows) -> DataFrame:
     return spark.createDataFrame(rows, SENSOR)
 
 
+DAILY_SENSOR = T.StructType(
+    [
+        T.StructField(READING_PARTITION, T.DateType()),
+        T.StructField("bucket_ts", T.TimestampType()),
+        *SENSOR.fields,
+    ]
+)
+
+
+def save_daily_topology(daily: DataFrame, path: str) -> None:
+    """Store the (sensor, day) rows of :func:`apiary.operators.topology.daily_topology`."""
+    daily.select(*DAILY_SENSOR.fieldNames()).write.mode("overwrite").parquet(path)
+
+
+def read_daily_topology(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(DAILY_SENSOR).parquet(path)
+
+
 # Keys of the summary tables (the declared primary keys, plus sensor type).
 SENSOR_SUMMARY_KEY = ("sensor_id", "bucket_ts", "precision", "time", "sensor_type")
 HIVE_SUMMARY_KEY = ("hive", "bucket_ts", "precision", "level", "time", "sensor_type")

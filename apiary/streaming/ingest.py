@@ -7,7 +7,7 @@ files. Each micro-batch goes through ``foreachBatch``:
 1. parse and validate with the same functions as the batch path;
 2. append the good readings to the table partitioned by ``bucket_date``
    and ``batch_id`` (merge-on-read: :func:`read_readings` keeps the newest
-   row per (sensor_id, bucket_ts, time) by batch id and position, and
+   row per (sensor_id, bucket_ts, time) by batch id and place in the source, and
    :func:`compact` merges batch folders into a table of their own);
 3. write the quarantined messages and the batch's line counts, each into a
    ``batch_id`` partition with dynamic overwrite, so a replayed batch
@@ -20,7 +20,7 @@ committed batch.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -31,9 +31,9 @@ from pyspark.sql.streaming import StreamingQuery
 from apiary.operators.ingest import parse_messages, quarantined, to_readings
 from apiary.operators.upsert import append_batch, compact_batches, read_latest
 from apiary.sources.messages import message_stream  # noqa: F401  (re-exported)
-from apiary.schemas import READING_KEY, READING_PARTITION
+from apiary.schemas import READING_KEY, READING_PARTITION, SOURCE_POS
 
-ORDER_COLUMNS = ("batch_id", "batch_seq")
+ORDER_COLUMNS = ("batch_id", "source_pos")
 
 BATCH_COUNTS_ROW = T.StructType(
     [
@@ -88,7 +88,6 @@ def ingest_batch(
             F.count_if(F.col("reason").isNotNull()).alias("quarantined"),
         )
         .withColumn("batch_id", bid)
-        .withColumn("batch_seq", F.monotonically_increasing_id())
         .persist()
     )
     try:
@@ -147,13 +146,13 @@ def read_counts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(BATCH_COUNTS).parquet(path)
 
 
-def read_readings(spark: SparkSession, table: str, where=None) -> DataFrame:
-    """The ingested readings, newest per key (merge-on-read)."""
+def read_readings(spark: SparkSession, table: str, where=None, columns: Sequence[str] | None = None) -> DataFrame:
+    """The ingested readings, newest per key (merge-on-read); with ``columns`` only these, key and order are read."""
     # bucket_date follows from bucket_ts; as a key it lets a day filter on the
     # result reach the scan (partition pruning) instead of de-duplicating
     # every day first.
     return read_latest(
-        spark, table, _stored_schema(), (*READING_KEY, READING_PARTITION), ORDER_COLUMNS, where
+        spark, table, _stored_schema(), (*READING_KEY, READING_PARTITION), ORDER_COLUMNS, where, columns
     )
 
 
@@ -162,7 +161,7 @@ def _stored_schema() -> T.StructType:
 
     return T.StructType(
         STORED_READING.fields
-        + [T.StructField("batch_id", T.LongType()), T.StructField("batch_seq", T.LongType())]
+        + [T.StructField("batch_id", T.LongType()), T.StructField("source_pos", SOURCE_POS)]
     )
 
 

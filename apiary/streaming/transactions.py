@@ -28,9 +28,9 @@ from pyspark.sql.streaming import StreamingQuery
 from apiary.operators.ingest import QUARANTINE_SCHEMA, quarantined
 from apiary.operators.transactions import good_transactions, parse_transaction_messages, txn_count_min
 from apiary.operators.upsert import append_batch, compact_batches, read_latest
-from apiary.schemas import TRANSACTION, TRANSACTION_KEY
+from apiary.schemas import SOURCE_POS, TRANSACTION, TRANSACTION_KEY, TXN_COUNT_MIN
 
-ORDER_COLUMNS = ("batch_id", "batch_seq")
+ORDER_COLUMNS = ("batch_id", "source_pos")
 TXN_PARTITION = "date_text"
 
 LINE_COUNTS = T.StructType(
@@ -48,6 +48,8 @@ class TxnPaths:
     counts: str
     checkpoint: str
     quarantine: str = ""
+    # Folder of the kept per-minute counts; none are kept when empty.
+    minutes: str = ""
 
     def __post_init__(self) -> None:
         self.quarantine = self.quarantine or f"{self.table}-quarantine"
@@ -77,11 +79,13 @@ def txn_batch(
         parse_transaction_messages(batch, strict)
         .observe(seen, F.count(F.lit(1)).alias("lines"), F.count_if(F.col("reason").isNull()).alias("good"))
         .withColumn("batch_id", bid)
-        .withColumn("batch_seq", F.monotonically_increasing_id())
         .persist()
     )
     try:
-        append_batch(good_transactions(parsed, ORDER_COLUMNS), paths.table, TXN_PARTITION, "batch_id")
+        good = good_transactions(parsed, ORDER_COLUMNS)
+        append_batch(good, paths.table, TXN_PARTITION, "batch_id")
+        if paths.minutes:
+            refresh_minutes(good, batch_id, paths.table, paths.minutes)
         _overwrite_batch(quarantined(parsed).withColumn("batch_id", bid), paths.quarantine)
         n_lines, n_txns = seen.get["lines"], seen.get["good"]
         counts = batch.sparkSession.createDataFrame([(n_lines, n_txns, batch_id)], LINE_COUNTS)
@@ -112,7 +116,7 @@ def _stored_schema() -> T.StructType:
     return T.StructType(
         [f for f in TRANSACTION.fields if f.name != TXN_PARTITION]
         + [
-            T.StructField("batch_seq", T.LongType()),
+            T.StructField("source_pos", SOURCE_POS),
             T.StructField(TXN_PARTITION, T.StringType()),
             T.StructField("batch_id", T.LongType()),
         ]
@@ -147,6 +151,57 @@ def read_txn_count_min(spark: SparkSession, table: str, days=None) -> DataFrame:
     return txn_count_min(txns)
 
 
+def refresh_minutes(batch: DataFrame, batch_id: int, table: str, minutes: str) -> None:
+    """Recompute the kept per-minute counts of the hours a batch touches.
+
+    The hours are a short list (a live batch spans few; a batch of history at
+    most 24 a day). Only their days are read (literal partition filter), and only
+    their rows are counted. All minutes of a touched hour are written to the
+    batch's own folders, one a day, and readers take the newest figures of a
+    minute: minutes are never taken back, as a transaction's instant is in its
+    key. The figures come from the newest row per key of the stored table, so
+    late, repeated and corrected messages count once, and a replayed batch
+    replaces its own folders.
+    """
+    spark = batch.sparkSession
+    hour = F.date_trunc("hour", "txn_time")
+    touched = batch.select(TXN_PARTITION, hour.alias("h")).distinct().collect()
+    if not touched:
+        return
+    days = sorted({r[TXN_PARTITION] for r in touched})
+    hours = [F.lit(r["h"]) for r in touched]
+    of_hours = F.col(TXN_PARTITION).isin(days) & hour.isin(hours)
+    txns = read_latest(
+        spark, table, _stored_schema(), (*TRANSACTION_KEY, TXN_PARTITION), ORDER_COLUMNS, of_hours, ["status"]
+    )
+    counts = txn_count_min(txns).withColumn(TXN_PARTITION, F.format_string("%04d-%02d-%02d", "year", "month", "day"))
+    rows = counts.withColumn("batch_id", F.lit(batch_id).cast("long")).hint("rebalance", TXN_PARTITION)
+    append_batch(rows, minutes, TXN_PARTITION, "batch_id")
+
+
+MINUTE_KEY = ("year", "month", "day", "hour", "minute")
+
+
+def _minutes_schema() -> T.StructType:
+    return T.StructType(
+        [*TXN_COUNT_MIN.fields, T.StructField(TXN_PARTITION, T.StringType()), T.StructField("batch_id", T.LongType())]
+    )
+
+
+def read_minutes(spark: SparkSession, minutes: str, days=None) -> DataFrame:
+    """The kept per-minute counts; ``days`` (``date_text`` values) limits the scan to these partitions."""
+    of_days = None if days is None else F.col(TXN_PARTITION).isin([str(d) for d in days])
+    kept = read_latest(spark, minutes, _minutes_schema(), (*MINUTE_KEY, TXN_PARTITION), ["batch_id"], of_days)
+    return kept.select(*TXN_COUNT_MIN.fieldNames())
+
+
+def compact_minutes(spark: SparkSession, minutes: str, days, upto_batch: int | None = None) -> int:
+    """Merge the kept counts' batch folders of ``days``: one row per minute (see :func:`compact_batches`)."""
+    return compact_batches(
+        spark, minutes, _minutes_schema(), MINUTE_KEY, ["batch_id"], [str(d) for d in days], upto_batch, TXN_PARTITION
+    )
+
+
 def read_txn_quarantine(spark: SparkSession, quarantine: str) -> DataFrame:
     """Messages that were not stored: key, raw text and reason."""
     return spark.read.schema(QUARANTINE_SCHEMA).parquet(quarantine)

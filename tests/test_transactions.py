@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -72,13 +73,15 @@ def test_bad_messages_are_quarantined_and_all_columns_stored(spark):
     from apiary.session import work_path
     from apiary.streaming import transactions as st
 
-    good = '{"txn_id": "t", "cc_provider": "p", "country": "c", "notes": "n", "tags": ["a", "b", "a"], "init_status": 7, "txn_time": "2024-01-01 10:00:00.000"}'
+    good = '{"txn_id": "t", "cc_no": "4", "cc_provider": "p", "country": "c", "notes": "n", "tags": ["a", "b", "a"], "init_status": 7, "txn_time": "2024-01-01 10:00:00.000"}'
     bad = {"{": "malformed", '{"txn_id": "u", "amount": "x"}': "malformed", '{"cc_no": "1"}': "missing_field", None: "malformed"}
+    for part in ("cc_no", "txn_time", "txn_id"):
+        bad[json.dumps({k: v for k, v in json.loads(good).items() if k != part})] = "missing_field"
     msgs = spark.createDataFrame([(v,) for v in [good, *bad]], "value string")
     paths = st.TxnPaths(work_path(spark, "q-txn"), work_path(spark, "q-lines"), work_path(spark, "q-ck"), work_path(spark, "q-bad"))
     seen = []
     st.txn_batch(msgs, 0, paths, lambda *n: seen.append(n))
-    assert seen == [(0, 5, 1)]
+    assert seen == [(0, 8, 1)]
     row = st.read_transactions(spark, paths.table).collect()
     assert [(r.txn_id, r.cc_provider, r.country, r.notes, r.tags) for r in row] == [("t", "p", "c", "n", ["a", "b"])]
     assert {r.value: r.reason for r in st.read_txn_quarantine(spark, paths.quarantine).collect()} == bad
