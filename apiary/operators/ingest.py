@@ -153,9 +153,9 @@ def to_readings(parsed: DataFrame, strict: bool = False, keep: Sequence[str] = (
     )
 
 
-def quarantined(parsed: DataFrame) -> DataFrame:
-    """Bad messages: raw text, key and the first reason found."""
-    return parsed.where(F.col("reason").isNotNull()).select("key", "value", "reason")
+def quarantined(parsed: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Bad messages: raw text, key and the first reason found (and the columns ``keep``)."""
+    return parsed.where(F.col("reason").isNotNull()).select("key", "value", "reason", *keep)
 
 
 def readings_from_messages(messages: DataFrame, strict: bool = False) -> DataFrame:

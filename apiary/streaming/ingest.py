@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from apiary.operators.ingest import parse_messages, quarantined, to_readings
+from apiary.operators.ingest import QUARANTINE_SCHEMA, parse_messages, quarantined, to_readings
 from apiary.operators.upsert import append_batch, compact_batches, read_latest
 from apiary.sources.messages import message_stream  # noqa: F401  (re-exported)
 from apiary.schemas import READING_KEY, READING_PARTITION, SOURCE_POS
@@ -94,8 +94,7 @@ def ingest_batch(
         good = to_readings(parsed, strict=strict, keep=list(ORDER_COLUMNS))
         append_batch(good, paths.table, READING_PARTITION, "batch_id")
         (
-            quarantined(parsed)
-            .withColumn("batch_id", bid)
+            quarantined(parsed, ORDER_COLUMNS)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("batch_id")
@@ -143,7 +142,32 @@ def start_ingest(
 
 
 def read_counts(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(BATCH_COUNTS).parquet(path)
+    """Line counts, one row per batch."""
+    counts = read_latest(spark, path, BATCH_COUNTS_ROW, ["batch_id"], ["batch_id"])
+    return counts.select(*BATCH_COUNTS.fieldNames())
+
+
+def quarantine_schema() -> T.StructType:
+    order = [T.StructField("source_pos", SOURCE_POS), T.StructField("batch_id", T.LongType())]
+    return T.StructType([*QUARANTINE_SCHEMA.fields, *order])
+
+
+def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    """Messages that were not stored: key, raw text and reason."""
+    rows = read_latest(spark, path, quarantine_schema(), ORDER_COLUMNS, ["batch_id"])
+    return rows.select(*QUARANTINE_SCHEMA.fieldNames())
+
+
+def compact_quarantine(spark: SparkSession, path: str, upto_batch: int | None = None) -> int:
+    """Merge the batch folders of a quarantine (no row is dropped: batch and place in the source name a message)."""
+    return compact_batches(
+        spark, path, quarantine_schema(), ORDER_COLUMNS, ["batch_id"], [None], upto_batch, partition_col=None
+    )
+
+
+def compact_counts(spark: SparkSession, path: str, schema: T.StructType = BATCH_COUNTS_ROW, upto_batch: int | None = None) -> int:
+    """Merge the batch folders of a table of line counts: one row per batch."""
+    return compact_batches(spark, path, schema, ["batch_id"], ["batch_id"], [None], upto_batch, partition_col=None)
 
 
 def read_readings(spark: SparkSession, table: str, where=None, columns: Sequence[str] | None = None) -> DataFrame:

@@ -25,10 +25,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from apiary.operators.ingest import QUARANTINE_SCHEMA, quarantined
+from apiary.operators.ingest import quarantined
 from apiary.operators.transactions import good_transactions, parse_transaction_messages, txn_count_min
 from apiary.operators.upsert import append_batch, compact_batches, read_latest
 from apiary.schemas import SOURCE_POS, TRANSACTION, TRANSACTION_KEY, TXN_COUNT_MIN
+from apiary.streaming.ingest import read_quarantine
 
 ORDER_COLUMNS = ("batch_id", "source_pos")
 TXN_PARTITION = "date_text"
@@ -86,7 +87,7 @@ def txn_batch(
         append_batch(good, paths.table, TXN_PARTITION, "batch_id")
         if paths.minutes:
             refresh_minutes(good, batch_id, paths.table, paths.minutes)
-        _overwrite_batch(quarantined(parsed).withColumn("batch_id", bid), paths.quarantine)
+        _overwrite_batch(quarantined(parsed, ORDER_COLUMNS), paths.quarantine)
         n_lines, n_txns = seen.get["lines"], seen.get["good"]
         counts = batch.sparkSession.createDataFrame([(n_lines, n_txns, batch_id)], LINE_COUNTS)
         _overwrite_batch(counts, paths.counts)
@@ -204,8 +205,9 @@ def compact_minutes(spark: SparkSession, minutes: str, days, upto_batch: int | N
 
 def read_txn_quarantine(spark: SparkSession, quarantine: str) -> DataFrame:
     """Messages that were not stored: key, raw text and reason."""
-    return spark.read.schema(QUARANTINE_SCHEMA).parquet(quarantine)
+    return read_quarantine(spark, quarantine)
 
 
 def read_line_counts(spark: SparkSession, counts: str) -> DataFrame:
-    return spark.read.schema(LINE_COUNTS).parquet(counts)
+    """Line counts, one row per batch."""
+    return read_latest(spark, counts, LINE_COUNTS, ["batch_id"], ["batch_id"])
