@@ -11,7 +11,8 @@ class, so copies are never compared.
 2. Two sets with Jaccard ``num/den`` or more share a shingle of their prefixes, the
    first ``size - ceil(size * num / den) + 1`` in order. Classes that share one, in
    the same range of sizes, form a block; blocks with the same members are one.
-   Blocks beyond ``CHUNK`` members are split, and pairs of chunks are dealt out.
+   Blocks beyond ``CHUNK`` members or ``CHUNK_TOKENS`` tokens are split, and pairs of chunks are
+   dealt out.
 3. In a block the ordered sets form a trie. It is walked depth first; the counts
    of shingles shared with every other member are kept per node and reused by
    all sets below it; a subtree whose counts plus remaining lengths cannot
@@ -44,14 +45,17 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from apiary.llm.common import join_groups, stage, text_bytes
+from apiary.llm.common import fresh, join_groups, stage, text_bytes
 from apiary.llm.words import BASE_WORD, U64, Words, batches_of_bytes, mix, run_hashes
 
 SHINGLE = 3
 NUM, DEN = 9, 10
 CELL_BITS = 20
 CELLS = 1 << CELL_BITS
+# Members of a chunk, and words of its sets, at most (one larger set stands in a chunk of its kind).
 CHUNK = 1024
+CHUNK_TOKENS = 500_000
+FEW = 16
 STEP = 64
 PART = 1 << 16
 
@@ -196,15 +200,26 @@ class Trie:
         """Jaccard at or above the threshold, if ``shared`` tokens are shared."""
         return (self.num + self.den) * shared >= self.num * (size + self.sizes)
 
-    def _walk(self, shared: np.ndarray, path: np.ndarray, begin: int, end: int, most: int, least: int, others: np.ndarray):
-        """Counts along ``path[begin:end]`` of a subtree with sizes ``least`` to ``most``; None once
-        no other member can reach the threshold."""
+    def _walk(self, shared: np.ndarray, path: np.ndarray, begin: int, end: int, most: int, least: int, possible: np.ndarray, own):
+        """Counts along ``path[begin:end]`` of a subtree (members ``own``) with sizes ``least`` to ``most``, and
+        the members that can still reach the threshold with one of it; None once there is none but itself."""
         for a in range(begin, end, STEP):
             b = min(a + STEP, end)
             shared = self._add(shared, path[a:b])
-            if not (self._enough(shared + (most - b), least) & others).any():
+            possible = possible & self._enough(shared + (most - b), least)
+            # A lone set needs a partner outside of itself; sets of one subtree may link with each other.
+            if not possible.any() or (len(own) == 1 and possible.sum() == possible[own[0]]):
                 return None
-        return shared
+        return shared, possible
+
+    def _sizes_fit(self, sizes: np.ndarray, possible: np.ndarray, own) -> bool:
+        """Whether two sets of the subtree, or one and a possible other, are near enough in size to link."""
+        outside = possible.copy()
+        outside[own] = False
+        if outside.any():
+            return True
+        by_size = np.sort(sizes)
+        return bool((by_size[:-1] * self.den >= by_size[1:] * self.num).any())
 
     def partners(self) -> Iterator[tuple[int, np.ndarray]]:
         """(member, members it may link with); exact for whole sets. Pairs can come from either side."""
@@ -216,31 +231,32 @@ class Trie:
             m = min(len(x), len(y))
             differ = np.flatnonzero(x[:m] != y[:m])
             common[k] = int(differ[0]) if len(differ) else m
-        stack = [(0, np.zeros(n, dtype=np.int64))]
-        everyone = np.ones(n, dtype=bool)
+        stack = [(0, np.zeros(n, dtype=np.int64), np.ones(n, dtype=bool))]
         k = 0
         while k < n:
             i = order[k]
             while stack[-1][0] > common[k]:
                 stack.pop()
-            depth, shared = stack[-1]
+            depth, shared, possible = stack[-1]
             if common[k + 1] > depth:
                 # A node that several sets share: its counts are worked out once.
                 node, below = common[k + 1], k + 1
                 while common[below + 1] >= node:
                     below += 1
-                sizes = self.sizes[[order[j] for j in range(k, below + 1)]]
-                shared = self._walk(shared, self.paths[i], depth, node, int(sizes.max()), int(sizes.min()), everyone)
-                if shared is None:
+                own = order[k : below + 1]
+                sizes = self.sizes[own]
+                walked = self._walk(shared, self.paths[i], depth, node, int(sizes.max()), int(sizes.min()), possible, own)
+                if walked is None or not self._sizes_fit(sizes, walked[1], own):
                     k = below + 1
                     continue
-                stack.append((node, shared))
+                shared, possible = walked
+                stack.append((node, shared, possible))
                 depth = node
-            others = everyone.copy()
-            others[i] = False
-            shared = self._walk(shared, self.paths[i], depth, len(self.paths[i]), int(self.sizes[i]), int(self.sizes[i]), others)
-            if shared is not None:
-                found = self._enough(shared + self._rest(i), self.sizes[i])
+            size = int(self.sizes[i])
+            walked = self._walk(shared, self.paths[i], depth, len(self.paths[i]), size, size, possible, [i])
+            if walked is not None:
+                shared, possible = walked
+                found = possible & self._enough(shared + self._rest(i), size)
                 found[i] = False
                 if found.any():
                     yield i, np.flatnonzero(found)
@@ -330,9 +346,18 @@ def _join_blocks(counts: np.ndarray, n: int, num: int, den: int, exact: bool):
 def _deal(members: DataFrame, tokens: DataFrame, counts: np.ndarray, n: int, num: int, den: int, exact: bool = False) -> DataFrame:
     """Join each block's members to their tokens, split large blocks, run the trie join: (_class, _with, _links)."""
     also = ["_c", "_n"] if exact else []
-    sized = members.groupBy("_block").agg(F.count("*").alias("_members"))
-    chunks = F.ceil(F.col("_members") / CHUNK).cast("long")
-    rows = members.join(sized.where("_members > 1"), "_block").withColumn("_chunks", chunks)
+    # Blocks of few members are never split: their tokens need not be counted.
+    sized = members.groupBy("_block").agg(F.count("*").alias("_members")).where("_members > 1")
+    width = F.size("_tokens") if not exact else F.col("_size")
+    heavy = (
+        members.join(sized.where(F.col("_members") > FEW), "_block")
+        .join(tokens.select("_class", width.cast("long").alias("_width")), "_class")
+        .groupBy("_block")
+        .agg(F.sum("_width").alias("_width"))
+    )
+    chunks = F.greatest(F.ceil(F.col("_members") / CHUNK), F.ceil(F.coalesce("_width", F.lit(0)) / CHUNK_TOKENS))
+    sized = sized.join(heavy, "_block", "left").withColumn("_chunks", F.least(chunks, F.col("_members")).cast("long"))
+    rows = members.join(sized.select("_block", "_chunks"), "_block")
     rows = rows.withColumn("_c", F.pmod(F.xxhash64("_class"), F.col("_chunks")))
     # A member of chunk c meets chunks i <= c as the second and j >= c as the first.
     pair = F.transform(
@@ -473,7 +498,8 @@ def jaccard_groups(docs: DataFrame, shingle: int = SHINGLE, num: int = NUM, den:
 
 def keep_one(docs: DataFrame, shingle: int = 5, num: int = 4, den: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Of each group of near-duplicates the row with the smallest id stays, unchanged."""
-    numbered = stage(docs.withColumn("__row", F.monotonically_increasing_id()), "near-docs")
-    groups = jaccard_groups(numbered, shingle, num, den, id_col, text_col, row=F.col("__row"))
-    stays = groups.where(F.col("_row") == F.col("_keep_row")).select(F.col("_row").alias("__row"))
-    return numbered.join(stays, "__row", "left_semi").drop("__row")
+    row = fresh("row")
+    numbered = stage(docs.withColumn(row, F.monotonically_increasing_id()), "near-docs")
+    groups = jaccard_groups(numbered, shingle, num, den, id_col, text_col, row=F.col(row))
+    stays = groups.where(F.col("_row") == F.col("_keep_row")).select(F.col("_row").alias(row))
+    return numbered.join(stays, row, "left_semi").drop(row)

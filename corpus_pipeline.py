@@ -39,7 +39,7 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every row, and the text they decode to."""
-    return bpe.decode(bpe.encode(docs, bpe.default_path()), bpe.default_path())
+    return bpe.round_trip(docs, bpe.default_path())
 
 
 STAGES = [

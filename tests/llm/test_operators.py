@@ -144,6 +144,25 @@ def test_mixing(docs, no_docs):
     assert mixing.Mix(no_docs).per_document().count() == 0
 
 
+def test_blocks_of_a_shard_are_those_drawn_for_it(docs):
+    mix = mixing.Mix(docs, block=16, shard_words=700)
+    blocks = mix.blocks().collect()
+    taken = mix.per_document().collect()
+    total = {(r.source_size, r.target) for r in taken}
+    shards = -(-int(sum(t for _, t in total)) // 700)
+    assert shards > 5 and {r.shard for r in blocks} <= set(range(shards))
+    got, want = Counter((r._sid, r.shard) for r in blocks), Counter()
+    for sid in {r._sid for r in blocks}:
+        size, target = next((r.source_size, r.target) for r in mix.placed.where(f"_sid = {sid}").collect())
+        _, slots, _ = mixing._plan(size, target, 16, mixing.MOST)
+        drawn = mixing._seed("mix", "shards", sid).multinomial(slots, np.full(shards, 1.0 / shards))
+        want.update({(sid, k): int(n) for k, n in enumerate(drawn) if n})
+    assert got == want
+    assert all(r.words <= 16 and r.words == sum(x.words for x in r.runs) for r in blocks)
+    # another deal of the same slots: the same words are taken
+    assert sum(r.words for r in blocks) == sum(r.taken for r in taken)
+
+
 def test_permutation_is_one():
     for n in (1, 2, 3, 17, 1000):
         assert sorted(mixing.permute(np.arange(n), n, "seed", 1).tolist()) == list(range(n))
@@ -199,12 +218,118 @@ def test_jaccard_links(spark, docs, monkeypatch):
         assert table(got, "_id", "class_id", "n_links") == Counter(want)
 
 
+def test_long_words_with_one_polynomial_are_told_apart(spark):
+    """Thue-Morse words and their complements: equal polynomials modulo 2**64 in every odd base."""
+    x = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    y = "".join("ba"[bin(i).count("1") % 2] for i in range(1024))
+    made = [(1, " ".join([x] * 60)), (2, " ".join([y] * 60)), (3, f"{x} {x}"), (4, f"{y} {y}")]
+    df = spark.createDataFrame(made, "doc_id long, text string")
+    assert {r.n_removed for r in substring_dedup.remove_repeats(df).collect()} == {0}
+    assert all(r.component_id == r._id and r.n_links == 0 for r in jaccard_join.jaccard_groups(df).collect())
+
+
+def test_subtrees_that_cannot_link_are_cut(monkeypatch):
+    """Sets that share a beginning but whose sizes lie too far apart: nothing below the shared node is walked."""
+    walked = []
+    walk = jaccard_join.Trie._walk
+
+    def spy(self, shared, path, begin, end, most, least, possible, own):
+        walked.append(len(own))
+        return walk(self, shared, path, begin, end, most, least, possible, own)
+
+    monkeypatch.setattr(jaccard_join.Trie, "_walk", spy)
+    tokens = [np.arange(n, dtype=np.uint64) << np.uint64(40) for n in (10, 20, 40, 80)]
+    sizes = np.array([len(t) for t in tokens])
+    counts = np.zeros(jaccard_join.CELLS, dtype=np.int32)
+    assert list(jaccard_join.Trie(tokens, sizes, counts, 9, 10).partners()) == []
+    assert walked == [4]
+    near = [*tokens, tokens[3][:78]]
+    found = dict(jaccard_join.Trie(near, np.array([len(t) for t in near]), counts, 9, 10).partners())
+    assert {k: v.tolist() for k, v in found.items()} == {3: [4], 4: [3]}
+
+
+def test_heavy_blocks_are_split_by_tokens(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "CHUNK_TOKENS", 300)
+    monkeypatch.setattr(jaccard_join, "FEW", 2)
+    base = [f"w{i}" for i in range(100)]
+    made = [(k, " ".join([*base[:50], f"x{k}", *base[50:]])) for k in range(17)]
+    got = jaccard_join.jaccard_groups(spark.createDataFrame(made, "doc_id long, text string")).collect()
+    assert {r.component_id for r in got} == {0} and {r.n_links for r in got} == {16}
+
+
+def test_other_characters_take_the_batched_path(monkeypatch):
+    """Curly quotes, dashes, CJK and added tokens: equal to the library, without the piece-by-piece path."""
+    path = bpe.default_path()
+    lib = Tokenizer.from_file(path)
+    words = ["“quoted”", "it’s", "—", "漢字かな", "plain", "don't", "…", "😀", "é", "１２", "<|endoftext|>", "  ", "\u3000x"]
+    rng = np.random.default_rng(3)
+    texts = ["".join(rng.choice(words, 30)) if i % 2 else " ".join(rng.choice(words, 30)) for i in range(60)]
+    monkeypatch.setattr(bpe.Encoder, "_encode_one", lambda *_: 1 / 0)
+    encoder = bpe.Encoder(bpe.load(path))
+    for _ in range(2):  # the second time from memory
+        got = encoder.encode([t.encode() for t in texts])
+        assert [g.tolist() for g in got] == [lib.encode(t, add_special_tokens=False).ids for t in texts]
+    data = np.frombuffer(b" late early mid", dtype=np.uint8)
+    ids, count = bpe.load(path).encode_pieces(data, np.array([11, 0, 5]), np.array([15, 5, 11]))
+    assert count.tolist() == [1, 1, 1] and ids.tolist() == [lib.encode(t, add_special_tokens=False).ids[0] for t in (" mid", " late", " early")]
+
+
 def test_license_scan(docs, no_docs):
     got = {(r.doc_id, r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) for r in licenses.scan(docs).collect()}
     assert (13, 13, 3, 2, 10, "cc-by,gpl,reserved") in got and (0, 0, 0, None, None, "") in got
     assert licenses.scan(docs).count() == len(rows()) and licenses.scan(no_docs).count() == 0
 
 
+def brute_scan(text):
+    words = [w for w in re.split(licenses.SEPARATORS, lower(text)) if w]
+    places, labels, base_labels, score = [], set(), set(), 0.0
+    for phrase, label in licenses.BASE_PHRASES.items():
+        p = phrase.split()
+        at = [i for i in range(len(words)) if words[i : i + len(p)] == p]
+        places += at
+        base_labels |= {label} if at else set()
+    labels |= base_labels
+    for phrase, label in licenses.NOTICES.items():
+        p = phrase.split()
+        meets = {}
+        for i in range(len(words) - 1):
+            for k in range(len(p) - 1):
+                if words[i : i + 2] == p[k : k + 2]:
+                    meets.setdefault(i - k, set()).add(k)
+        spans = []
+        for d in sorted(meets):
+            if spans and d - spans[-1][-1] <= licenses.NEIGHBOUR:
+                spans[-1].append(d)
+            else:
+                spans.append([d])
+        for span in spans:
+            ends = [d + k for d in span for k in meets[d]]
+            whole = max(ends) - min(ends) + 1 <= 2 * (len(p) - 1) + licenses.NEIGHBOUR
+            met = len(set().union(*(meets[d] for d in span))) if whole else max(len(meets[d]) for d in span)
+            if met / (len(p) - 1) >= licenses.LEAST:
+                labels.add(label)
+                score = max(score, met / (len(p) - 1))
+    return (len(words), len(places), min(places, default=None), max(places, default=None),
+            ",".join(sorted(base_labels)), ",".join(sorted(labels)), 1.0 if base_labels else score)
+
+
+def test_license_scan_equals_brute_force(spark, docs):
+    mit = next(p for p in licenses.NOTICES if p.startswith("permission") and len(p) > 200)
+    apache = "Licensed under the Apache License, Version 2.0"
+    cut = mit.split()
+    texts = [
+        "under the bed " * 4, "under the bed " * 6, "under the bed " * 400, mit, f"x {mit.upper()} y", " ".join(cut[:20] + ["extra"] + cut[20:]),
+        " ".join(cut[: len(cut) // 2]), f"{apache} {apache} under the under the", f"all all rights reserved all rights reserved cc by cc, by",
+        "released under the mit released under the license mit", mit.replace("software", "thing"), "by cc general public general public license",
+    ]
+    made = [(i, t) for i, t, *_ in rows()] + [(1000 + i, t) for i, t in enumerate(texts)]
+    got = licenses.scan(spark.createDataFrame(made, "doc_id long, text string").repartition(3))
+    names = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
+    assert table(got, *names) == Counter((i, *brute_scan(t)) for i, t in made)
+    clean = {r.doc_id: r.labels for r in got.collect()}
+    assert clean[1000] == clean[1001] == clean[1002] == "" and clean[1003] == clean[1005] == "mit"
+
+
 def test_nearest_recall_and_cases(spark):
     rng = np.random.default_rng(5)
     x = rng.normal(size=(1500, 24))
