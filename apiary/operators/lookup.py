@@ -28,7 +28,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from apiary.operators.strategy import DEFAULT_BROADCAST_ROWS, join_small
+from apiary.operators.strategy import DEFAULT_BROADCAST_ROWS, bounded, join_small
 from apiary.session import work_path
 
 DEFAULT_BINS = 1024
@@ -71,8 +71,11 @@ def range_lookup(
     """``df`` plus the ``names`` columns of the entry holding ``u``.
 
     The first name column falls back to ``default`` when no entry holds
-    ``u``; the others stay null.
+    ``u``; the others stay null. Bounds beyond ``max_broadcast_rows`` are
+    not binned: both sides are merged instead (:func:`range_lookup_sorted`).
     """
+    if not bounded(bounds, max_broadcast_rows):
+        return range_lookup_sorted(df, u, bounds, names, default, hi)
     ucol = F.col(u) if isinstance(u, str) else u
     probe = df.withColumn("_u", ucol.cast("double")).withColumn("_bin", _bin(F.col("_u"), bins))
     table = binned_bounds(bounds.select(hi, *names), bins, hi).select(
@@ -82,7 +85,8 @@ def range_lookup(
     # holds no matching entry stays, with null names (left join).
     inside = (F.col("_lo").isNull() | (F.col("_u") > F.col("_lo"))) & (F.col("_u") <= F.col("_hi"))
     on = (F.col("_bin") == F.col("_tbin")) & inside
-    joined = join_small(probe, table, on, "left", max_rows=max_broadcast_rows)
+    # A row per bound and bin it begins: at most the checked number and the bins.
+    joined = probe.join(F.broadcast(table), on, "left")
     return joined.drop("_bin", "_tbin", "_lo", "_hi", "_u").withColumn(
         names[0], F.coalesce(F.col(names[0]), F.lit(default))
     )

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from apiary.functions import readings as readings_fn
 from apiary.functions.baskets import item_entries
-from apiary.functions.buckets import bucket
+from apiary.functions.buckets import bucket, bucket_epoch
 from apiary.functions.readings import UUID_PATTERN, latlong, pick_value
 from apiary.operators import (
     aggregate,
@@ -131,6 +131,18 @@ def hive_average(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregate.hive_average(_joined(spark, sf_dir))
 
 
+@query(
+    "hive_report",
+    sql_with(SQL_READINGS, SQL_SENSORS, SQL_JOINED)
+    + "SELECT 'Average for hive ' || hive || ' = ' || CAST(average AS VARCHAR) AS line FROM ("
+    + _hive_sql("joined", True)
+    + ")",
+)
+def hive_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One printable line per hive."""
+    return aggregate.report_lines(hive_average(spark, sf_dir))
+
+
 @query(
     "sensor_day_join",
     sql_with(SQL_READINGS, SQL_SENSORS, SQL_JOINED) + "SELECT * FROM joined",
@@ -239,6 +251,18 @@ for _unit, _expr in _SQL_BUCKET.items():
     )(_bucket_query(_unit))
 
 
+@query(
+    "bucket_epochs",
+    "SELECT event_id, CAST(floor(epoch(ts)) AS BIGINT) AS seconds, "
+    + ", ".join(f"CAST(epoch({expr}) AS BIGINT) AS {unit}_start" for unit, expr in _SQL_BUCKET.items())
+    + " FROM events",
+)
+def bucket_epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The integer form: epoch seconds to the epoch seconds of every unit's start."""
+    r = tb.readings(spark, sf_dir).select("event_id", F.unix_seconds("time").alias("seconds"))
+    return r.select("*", *[bucket_epoch("seconds", unit).alias(f"{unit}_start") for unit in _SQL_BUCKET])
+
+
 # --------------------------------------------------------------------------
 # Messages: parse, validate, choose the value, project, encode
 

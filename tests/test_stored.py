@@ -310,3 +310,40 @@ def test_sorted_lookup_cuts_a_hot_number_and_takes_millions_of_bounds(spark):
     largest = max(r["count"] for r in stored.groupBy("_part").count().collect())
     assert largest < 3 * stored.count() / 16
     assert "BroadcastNestedLoop" not in plan_text(got)
+
+
+# Plans
+
+
+def test_newest_copy_needs_one_exchange_with_a_partial_step(spark):
+    df = sq.newest_by_source(spark, sq.source_order_feed(spark, SF_SMALL))
+    plan = plan_text(df)
+    assert "partial_max_by" in plan and "Python" not in plan
+    # one exchange spreads the narrow test feed, one deals the keys
+    assert plan.count("Exchange hashpartitioning") <= 2 and "BroadcastNestedLoop" not in plan
+
+
+def test_chained_windows_are_two_state_stores_of_one_query(spark):
+    feed = work_path(spark, "t-feed")
+    stream = sq.readings_feed(spark, feed, tb.readings(spark, SF_SMALL), sq.end_of_feed(spark, SF_SMALL))
+    q = sq.finished(ss.start_sensor_hours(stream, work_path(spark, "t-h"), work_path(spark, "t-ck"), delay="60 days", trigger=ONCE))
+    assert {len(p.stateOperators) for p in q.recentProgress if p.stateOperators} == {2}
+    # all windows of the feed were closed and written: what is left is the end mark
+    assert q.recentProgress[-1].stateOperators[0].numRowsTotal <= 1
+
+
+def test_stream_join_broadcasts_the_dimension_and_sums_before_the_shuffle(spark, monkeypatch):
+    seen = []
+    summary = ss.hive_summary
+    monkeypatch.setattr(ss, "hive_summary", lambda df: seen.append(summary(df)) or seen[-1])
+    ss.hive_batch(tb.readings(spark, SF_SMALL), 0, tb.sensors(spark, SF_SMALL), work_path(spark, "t-hive"))
+    plan = plan_text(seen[0])
+    assert "BroadcastHashJoin" in plan and plan.count("partial_sum") >= 2 and "Python" not in plan
+
+
+def test_many_bounds_are_merged_not_broadcast(spark):
+    df = spark.createDataFrame([(i, i / 7) for i in range(8)], "id long, u double")
+    bounds = spark.createDataFrame([(i / 10, f"n{i}") for i in range(1, 11)], "hi double, name string")
+    few, many = (lookup.range_lookup(df, "u", bounds, max_broadcast_rows=n) for n in (100, 3))
+    assert sorted(few.collect()) == sorted(many.collect())
+    assert "Window" in plan_text(many) and "_part" in plan_text(many)
