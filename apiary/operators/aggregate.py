@@ -31,25 +31,25 @@ def fixed_sum(value: Column | str, exact: bool = True) -> Column:
     v = _col(value).cast("double")
     if not exact:
         return F.sum(v)
-    v = finite(v)
+    # Finite values only: NaN and infinities differ from themselves by NaN.
+    v = F.when(v - v == 0, v)
     # Scaling by a power of two, floor and the differences are exact in doubles.
     large = F.when((F.abs(v) >= LARGE) & (F.abs(v) < HUGE), F.floor(v / LARGE))
-    near = F.when(large.isNotNull(), v - large.cast("double") * LARGE).when(F.abs(v) < LARGE, v)
+    near = F.when(F.abs(v) < LARGE, v).when(F.abs(v) < HUGE, v - large.cast("double") * LARGE)
     units = F.floor(near * UNIT)
-    left = near * UNIT - units.cast("double")
-
-    def whole(c: Column) -> Column:
-        return F.coalesce(F.sum(c.cast("decimal(20,0)")), F.lit(0).cast("decimal(30,0)"))
-
-    def plain(c: Column) -> Column:
-        return F.coalesce(F.sum(c), F.lit(0.0))
+    # What is left of a value below one unit, or a value beyond all units.
+    left = F.coalesce(near - units.cast("double") / UNIT, v)
 
+    small, big = (F.sum(c.cast("decimal(20,0)")) for c in (units, large))
     # Small units that add up to large ones are carried, so that nothing cancels in doubles.
-    carry = F.round(whole(units).cast("double") / (UNIT * LARGE))
-    near_zero = whole(units) - carry.cast("decimal(18,0)") * F.lit(int(UNIT * LARGE)).cast("decimal(19,0)")
-    small = (near_zero.cast("double") + plain(left)) / UNIT
-    beyond = plain(F.when(F.abs(v) >= HUGE, v))
-    return F.when(F.count(v) > 0, small + (whole(large).cast("double") + carry) * LARGE + beyond)
+    carry = F.round(small.cast("double") / (UNIT * LARGE))
+    kept = small - carry.cast("decimal(18,0)") * F.lit(int(UNIT * LARGE)).cast("decimal(19,0)")
+    few = (big.isNull()) & (F.abs(small.cast("double")) < UNIT * LARGE / 2)
+    return F.when(few, small.cast("double") / UNIT + F.sum(left)).otherwise(
+        F.coalesce(kept.cast("double") / UNIT, F.lit(0.0))
+        + (F.coalesce(big.cast("double"), F.lit(0.0)) + F.coalesce(carry, F.lit(0.0))) * LARGE
+        + F.sum(left)
+    )
 
 
 def finite(value: Column | str) -> Column:
