@@ -50,12 +50,12 @@ HELD_BUCKETS = 2_000_000
 # Entries of a container before it bursts, and of a trie before its largest subtrees are spilled.
 BURST = 4096
 KEPT = 400_000
-# Distinct words a task remembers before it spills its whole trie and starts anew; a block adds at most
-# 500,000 and a few, so a number always fits WORD_BITS bits.
+# Distinct words a task remembers before it spills its whole trie and starts anew. A block of texts may add
+# two BLOCKs of them before that is seen, so a number always fits WORD_BITS bits.
 REMEMBERED = 400_000
 WORD_BITS = 20
 # Tokens worked on at once.
-BLOCK = 500_000
+BLOCK = 250_000
 PARTS = 64
 NO_LANG = "und"
 

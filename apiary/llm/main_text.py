@@ -57,9 +57,10 @@ PAGE_PARTS = set(
 )
 # Words of class, id and role that name a page part.
 PART_NAMES = set(
-    "ad ads advert adverts advertisement advertising adsense adbox adslot sponsor sponsored sponsors promo promotion "
+    "ad ads adsbygoogle advert adverts advertisement advertising adsense adbox adslot taboola outbrain sponsor sponsored sponsors promo promotion "
     "banner cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe "
-    "subscription signup login comment comments commentlist disqus respond reply replies discussion sidebar menu "
+    "subscription signup login comment comments commentlist disqus respond responses reply replies discussion feedback "
+    "disclaimer sidebar offcanvas menu "
     "nav navbar navigation breadcrumb breadcrumbs footer header masthead topbar toolbar share sharing social related "
     "recommended recommendations widget widgets pagination pager search copyright contentinfo complementary".split()
 )
@@ -67,7 +68,6 @@ PART_NAMES = set(
 _ELSEWHERE = {"has", "with", "no", "without", "not", "is"}
 # These wrap whole pages: their classes name no part.
 _WRAPPERS = {"html", "body", "main"}
-_NO_PART = {"html", "body", "main", "article"}
 # Start tags that end an open paragraph.
 _ENDS_P = set(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 "
@@ -106,7 +106,8 @@ def is_part(name: str, rest: str) -> bool:
         if key in ("class", "id", "role"):
             for token in value.split():
                 words = [w.lower() for w in _NAME_WORD.findall(token)]
-                if name in _NO_PART:
+                if name == "article":
+                    # An article's own classes may tell of its subject; only a whole one names a part.
                     words = [token.lower()]
                 if words and words[0] not in _ELSEWHERE and not PART_NAMES.isdisjoint(words):
                     return True
@@ -214,7 +215,10 @@ def read(source: str) -> Page:
 
 def marked_article(page: Page) -> tuple[int, int] | None:
     """The one article a page marks (the outermost, if they nest)."""
-    outer = [a for a in page.articles if not any(b != a and b[0] <= a[0] and a[1] <= b[1] for b in page.articles)]
+    outer: list[tuple[int, int]] = []
+    for article in sorted(page.articles, key=lambda a: (a[0], -a[1])):
+        if not outer or article[0] >= outer[-1][1]:
+            outer.append(article)
     return outer[0] if len(outer) == 1 else None
 
 
