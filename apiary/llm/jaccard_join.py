@@ -11,8 +11,8 @@ class, so copies are never compared.
 2. Two sets with Jaccard ``num/den`` or more share a shingle of their prefixes, the
    first ``size - ceil(size * num / den) + 1`` in order. Classes that share one, in
    the same range of sizes, form a block; blocks with the same members are one.
-   Blocks beyond ``CHUNK`` members or ``CHUNK_TOKENS`` tokens are split, and pairs of chunks are
-   dealt out.
+   Blocks beyond ``CHUNK`` members (of whole sets: or ``CHUNK_TOKENS`` tokens) are split, and
+   pairs of chunks are dealt out.
 3. In a block the ordered sets form a trie. It is walked depth first; the counts
    of shingles shared with every other member are kept per node and reused by
    all sets below it; a subtree whose counts plus remaining lengths cannot
@@ -346,17 +346,19 @@ def _join_blocks(counts: np.ndarray, n: int, num: int, den: int, exact: bool):
 def _deal(members: DataFrame, tokens: DataFrame, counts: np.ndarray, n: int, num: int, den: int, exact: bool = False) -> DataFrame:
     """Join each block's members to their tokens, split large blocks, run the trie join: (_class, _with, _links)."""
     also = ["_c", "_n"] if exact else []
-    # Blocks of few members are never split: their tokens need not be counted.
     sized = members.groupBy("_block").agg(F.count("*").alias("_members")).where("_members > 1")
-    width = F.size("_tokens") if not exact else F.col("_size")
-    heavy = (
-        members.join(sized.where(F.col("_members") > FEW), "_block")
-        .join(tokens.select("_class", width.cast("long").alias("_width")), "_class")
-        .groupBy("_block")
-        .agg(F.sum("_width").alias("_width"))
-    )
-    chunks = F.greatest(F.ceil(F.col("_members") / CHUNK), F.ceil(F.coalesce("_width", F.lit(0)) / CHUNK_TOKENS))
-    sized = sized.join(heavy, "_block", "left").withColumn("_chunks", F.least(chunks, F.col("_members")).cast("long"))
+    chunks = F.ceil(F.col("_members") / CHUNK)
+    if exact:
+        # Whole sets are counted by their tokens as well; blocks of few members are never split.
+        heavy = (
+            members.join(sized.where(F.col("_members") > FEW), "_block")
+            .join(tokens.select("_class", F.col("_size").alias("_width")), "_class")
+            .groupBy("_block")
+            .agg(F.sum("_width").alias("_width"))
+        )
+        sized = sized.join(heavy, "_block", "left")
+        chunks = F.greatest(chunks, F.ceil(F.coalesce("_width", F.lit(0)) / CHUNK_TOKENS))
+    sized = sized.withColumn("_chunks", F.least(chunks, F.col("_members")).cast("long"))
     rows = members.join(sized.select("_block", "_chunks"), "_block")
     rows = rows.withColumn("_c", F.pmod(F.xxhash64("_class"), F.col("_chunks")))
     # A member of chunk c meets chunks i <= c as the second and j >= c as the first.
