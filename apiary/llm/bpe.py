@@ -30,7 +30,6 @@ import hashlib
 import heapq
 import json
 import os
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,7 +45,6 @@ from apiary.llm.words import NEVER, hash_runs, lookup
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Below U+0530 the installed regex module and the tokenizers library class every character alike.
 _LATER = regex.compile("[\u0530-\U0010ffff]")
-_LATER_BYTES = re.compile(rb"\xd4[\xb0-\xbf]|[\xd5-\xff]")
 # Distinct pieces remembered per task before the memory is cleared.
 REMEMBERED = 1_000_000
 # Failing pieces of at most this many bytes are merged side by side in numpy, longer ones one by one.
@@ -279,11 +277,15 @@ class Bpe:
         if _LATER.search(text) is None:
             return self.split.findall(text)
         # Other characters: the library's own split, whose Unicode tables differ from regex's.
+        return [text[a:b] for _, (a, b) in self.library().pre_tokenize_str(text)]
+
+    def library(self):
+        """The library's splitter of this vocabulary."""
         if self._library is None:
             from tokenizers import Tokenizer
 
             self._library = Tokenizer.from_file(self._path).pre_tokenizer
-        return [text[a:b] for _, (a, b) in self._library.pre_tokenize_str(text)]
+        return self._library
 
     def parts(self, text: str) -> list[str]:
         """Pieces of a text; an added token's string is a piece of its own."""
@@ -310,28 +312,69 @@ def load(path: str) -> Bpe:
     return _LOADED[path]
 
 
-def _character_classes() -> np.ndarray:
-    """Class of each character below U+0530."""
-    out = np.full(0x530, _OTHER, dtype=np.int8)
-    for kind, pattern in ((_LETTER, r"\p{L}"), (_NUMBER, r"\p{N}"), (_BLANK, r"\s")):
-        one = regex.compile(pattern)
-        out[[c for c in range(0x530) if one.match(chr(c))]] = kind
-    out[0x20] = _SPACE
-    return out
-
-
-_CLASS = _character_classes()
+class Characters:
+    """Class of every character in the split rule, by Unicode number. Below U+0530 the installed regex module and
+    the library agree; the library itself is asked for others, once for each that is met in a process."""
+
+    def __init__(self) -> None:
+        self.kind = np.full(0x110000, -1, dtype=np.int8)
+        self.kind[:0x530] = _OTHER
+        for kind, pattern in ((_LETTER, r"\p{L}"), (_NUMBER, r"\p{N}"), (_BLANK, r"\s")):
+            one = regex.compile(pattern)
+            self.kind[[c for c in range(0x530) if one.match(chr(c))]] = kind
+        self.kind[0x20] = _SPACE
+
+    def learn(self, codes: np.ndarray, pre_tokenizer) -> None:
+        for c in np.unique(codes[self.kind[codes] < 0]).tolist():
+            # A character joins a piece of its own class only.
+            found = [k for k, before in ((_LETTER, "a"), (_NUMBER, "1"), (_OTHER, "!")) if self._joins(pre_tokenizer, before + chr(c))]
+            self.kind[c] = found[0] if found else _BLANK
+
+    @staticmethod
+    def _joins(pre_tokenizer, text: str) -> bool:
+        return len(pre_tokenizer.pre_tokenize_str(text)) == 1
+
+
+CHARACTERS = Characters()
+
+
+def code_points(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For every byte of valid UTF-8: the number of its character, and where that begins."""
+    begins = (data & 0xC0) != 0x80
+    lead = np.flatnonzero(begins)
+    first = data[lead].astype(np.int32)
+    code = first.copy()
+    high = np.flatnonzero(first >= 0xC0)
+    at, head = lead[high], first[high]
+    tail = np.zeros((3, len(high)), dtype=np.int32)
+    length = 1 + (head >= 0xE0).astype(np.int8) + (head >= 0xF0)
+    for k in range(3):
+        has = length > k
+        tail[k, has] = data[at[has] + k + 1] & 0x3F
+    code[high] = np.where(
+        length == 1,
+        (head & 0x1F) << 6 | tail[0],
+        np.where(
+            length == 2,
+            (head & 0x0F) << 12 | tail[0] << 6 | tail[1],
+            (head & 0x07) << 18 | tail[0] << 12 | tail[1] << 6 | tail[2],
+        ),
+    )
+    owner = np.cumsum(begins) - 1
+    return code[owner], lead[owner]
 
 
-def split_points(data: np.ndarray, first: np.ndarray) -> np.ndarray:
+def split_points(data: np.ndarray, first: np.ndarray, pre_tokenizer=None) -> np.ndarray:
     """Byte offsets at which pieces start, by the rule of SPLIT, for the texts that
-    start at ``first`` (characters below U+0530 only; every text has a byte or more)."""
+    start at ``first`` (every text has a byte or more, valid UTF-8)."""
     n = len(data)
-    code = data.astype(np.int16)
-    lead = np.flatnonzero(data >= 0xC0)
-    code[lead] = ((code[lead] & 0x1F) << 6) | (data[lead + 1] & 0x3F)
-    kind = _CLASS[code]
-    kind[lead + 1] = kind[lead]
+    if (data >= 0x80).any():
+        code, start_of = code_points(data)
+        if (CHARACTERS.kind[code] < 0).any():
+            CHARACTERS.learn(code, pre_tokenizer)
+    else:
+        code = start_of = None
+    kind = CHARACTERS.kind[data if code is None else code]
     blank = kind <= _SPACE
     group = np.where(blank, _BLANK, kind)
     begins = np.ones(n, dtype=bool)
@@ -348,7 +391,8 @@ def split_points(data: np.ndarray, first: np.ndarray) -> np.ndarray:
     followed = blank[run] & ~text_begins[run_end]
     after = run_end[followed]
     last = after - 1
-    last = last - ((data[last] & 0xC0) == 0x80)
+    if start_of is not None:
+        last = start_of[last]
     starts[last] = True
     starts[after[kind[last] == _SPACE]] = False
     # Contractions: an apostrophe that starts a piece, with letters right after it.
@@ -414,7 +458,7 @@ class Encoder:
         if plain:
             data = np.frombuffer(b"".join(texts[i] for i in plain), dtype=np.uint8)
             edge = np.cumsum([0, *(len(texts[i]) for i in plain)])
-            start = split_points(data, edge[:-1])
+            start = split_points(data, edge[:-1], self.bpe.library())
             end = np.append(start[1:], len(data))
             ids, count = self._pieces(data, start, end)
             upto = np.append(0, np.cumsum(count))[np.searchsorted(start, edge)]
@@ -431,7 +475,7 @@ class Encoder:
         return out
 
     def _encode_others(self, texts: list[bytes], which: list[int], out: list) -> None:
-        """Texts with other characters or added tokens: all their pieces at once, through the same memory."""
+        """Texts with added tokens: all their pieces at once, through the same memory."""
         if not which:
             return
         added = self.bpe.added
@@ -452,7 +496,7 @@ class Encoder:
             out[i] = np.concatenate([*found, ids[upto[begin] : upto[at]]]).astype(np.int32)
 
     def _is_plain(self, text: bytes) -> bool:
-        return (text.isascii() or _LATER_BYTES.search(text) is None) and not any(a in text for a in self.bpe.added_bytes)
+        return not any(a in text for a in self.bpe.added_bytes)
 
     def _encode_one(self, text: bytes) -> np.ndarray:
         out = []

@@ -274,6 +274,18 @@ def test_other_characters_take_the_batched_path(monkeypatch):
     assert count.tolist() == [1, 1, 1] and ids.tolist() == [lib.encode(t, add_special_tokens=False).ids[0] for t in (" mid", " late", " early")]
 
 
+def test_characters_are_classed_as_the_library_does():
+    """Characters of every plane, white space of every kind, combining marks: pieces equal the library's."""
+    path = bpe.default_path()
+    lib = Tokenizer.from_file(path)
+    rng = np.random.default_rng(8)
+    known = [*"ab1! '\t\n\r\x0b\x0c\x1c\x85\xa0\u1680\u2002\u2028\u202f\u3000\u200b\ufeff’“—漢한か१Ⅷ①ªא\u0301\u0903\U0001f9d1\u200d"]
+    anything = [chr(c) for c in rng.integers(0x80, 0x110000, 3000).tolist() if not 0xD800 <= c < 0xE000]
+    texts = ["".join(rng.choice(known + anything[i * 5 : i * 5 + 5], 25)) + "'s" for i in range(500)]
+    got = bpe.Encoder(bpe.load(path)).encode([t.encode() for t in texts])
+    assert [g.tolist() for g in got] == [e.ids for e in lib.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_license_scan(docs, no_docs):
     got = {(r.doc_id, r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) for r in licenses.scan(docs).collect()}
     assert (13, 13, 3, 2, 10, "cc-by,gpl,reserved") in got and (0, 0, 0, None, None, "") in got
