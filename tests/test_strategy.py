@@ -8,7 +8,7 @@ from apiary.plans import catalog
 from support import SF_SMALL, plan_text
 
 
-@pytest.mark.parametrize("name", ["sensor_day_join_keyed", "hive_average", "hive_count_sum", "subday_average"])
+@pytest.mark.parametrize("name", ["sensor_day_join_keyed", "hive_average", "hive_report", "hive_count_sum", "subday_average"])
 def test_a_side_that_fails_the_check_is_merged(spark, monkeypatch, name):
     want = sorted(catalog.QUERIES[name](spark, SF_SMALL).collect())
     monkeypatch.setattr(strategy, "bounded", lambda df, max_rows: False)
